@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, token_counts, url_filters
+from . import decontaminate, exact_dedup, mixing, quality, token_counts, url_filters
 from .base import table
 
 
@@ -23,9 +23,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_url_filters, op5_exact_dedup, op8_mixing)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_url_filters, op5_exact_dedup, op7_decontaminate, op8_mixing, op9_quality)}
 SQL = {"op4_url_filters": url_filters.SQL, "op5_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL}
