@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing, quality, token_counts, url_filters
+from . import decontaminate, exact_dedup, line_dedup, lm_score, mixing, quality, token_counts, url_filters
 from .base import table
 
 
@@ -23,6 +24,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -35,5 +40,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_url_filters, op5_exact_dedup, op7_decontaminate, op8_mixing, op9_quality)}
-SQL = {"op4_url_filters": url_filters.SQL, "op5_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_url_filters, op5_exact_dedup, op6_lm_score, op7_decontaminate, op8_mixing, op9_quality, op10_line_dedup)}
+SQL = {"op4_url_filters": url_filters.SQL, "op5_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op10_line_dedup": line_dedup.SQL}
