@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, line_dedup, lm_score, mixing, quality, token_counts, url_filters
+from . import decontaminate, exact_dedup, jaccard_join, line_dedup, lm_score, mixing, quality, suffix_dedup, token_counts, url_filters
 from .base import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.spans(table(spark, sf_dir, "documents", "doc_id", "text")).drop("removed")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_counts.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filters.rules(spark)
     return url_filters.judge(table(spark, sf_dir, "pages", "page_id", "url"), rules, len(url_filters.HOST_RULES) + len(url_filters.PATTERNS))
@@ -45,5 +53,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_url_filters, op5_exact_dedup, op6_lm_score, op7_decontaminate, op8_mixing, op9_quality, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_jaccard_join, op4_url_filters, op5_exact_dedup, op6_lm_score, op7_decontaminate, op8_mixing, op9_quality, op10_line_dedup)}
 SQL = {"op4_url_filters": url_filters.SQL, "op5_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op10_line_dedup": line_dedup.SQL}
