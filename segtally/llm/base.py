@@ -26,11 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or "*")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the shared folder ``spark.checkpoint.dir``."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share; one of this machine where it is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))  # one machine, as in tests
+        found = spark.sparkContext.getCheckpointDir()
+    return found
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
