@@ -87,12 +87,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """docs with each row as many times as the mix takes it; rows of one doc_id and size are taken alike."""
-    copies = mix(docs, **how).where("taken > 0").groupBy("doc_id", "size").agg((F.max("taken") / F.max("size")).cast("int").alias("_copies"))
+    copies = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_words")).agg((F.max("taken") / F.max("size")).cast("int").alias("_copies"))
     d = docs.withColumn("_size", word_count(F.col("text")))
-    return (
-        d.join(copies, d.doc_id.eqNullSafe(copies.doc_id) & (d._size == copies["size"]))
-        .select(*(d[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
-    )
+    joined = d.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")))
+    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
 
 
 SQL = r"""
