@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int):
+    """Sends at most n rows at a time to Python for what runs inside; for rows of a megabyte."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def lower_ascii(c: F.Column) -> F.Column:
     """A-Z only, as the contracts ask; other letters keep their case."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -62,7 +75,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of an odd base modulo 2^64, and of its inverse."""
     if len(_POW["up"]) < n:
         for key, base in (("up", _P), ("down", pow(_P, -1, 1 << 64))):
-            x = np.full(max(n, BLOCK_BYTES + 4096), base, np.uint64)
+            x = np.full(n + n // 8, base, np.uint64)
             x[0] = 1
             _POW[key] = np.cumprod(x)
     return _POW["up"][:n], _POW["down"][:n]

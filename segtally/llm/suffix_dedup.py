@@ -38,11 +38,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import blocks, cut, mix, powers
+from .base import arrow_rows, blocks, cut, mix, powers
 
 LENGTH, CORE = 100, 50
-BLOCK = 1 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK = 1 << 19
+BUCKET_BYTES = 16 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -176,6 +176,7 @@ def spans(docs: DataFrame) -> DataFrame:
             x = {c: batch.column(c)[r] for c in batch.schema.names}
             raw, offsets, ids = (np.frombuffer(x[c].as_py(), t) for c, t in (("raw", np.uint8), ("offsets", np.int64), ("ids", np.int64)))
             yield x["task"].as_py(), x["block"].as_py(), Block(raw, offsets, ids), x["answers"].as_py() if "answers" in x else []
+        pa.default_memory_pool().release_unused()
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,15 +227,16 @@ def spans(docs: DataFrame) -> DataFrame:
                 yield _batch(rows, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"], [pa.int64()] * 4 + [pa.string(), pa.binary()])
 
     def with_answers(said: DataFrame) -> DataFrame:
-        told = said.groupBy("task").agg(F.collect_list(F.struct("block", "kind", "bucket", "said")).alias("answers"))
+        told = said.repartition(tasks, "task").groupBy("task").agg(F.collect_list(F.struct("block", "kind", "bucket", "said")).alias("answers"))
         mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
         return stored.join(told, "task", "left").select("task", "block", "ids", "offsets", "raw", mine.alias("answers"))
 
-    first = stored.mapInArrow(anchors, "task long, block long, bucket long, ids binary, a binary, b binary")
-    said = cut(first.groupBy("bucket").applyInArrow(_merge(True, 0), SAID))
-    second = with_answers(said).mapInArrow(edges, "task long, block long, bucket long, ids binary, a binary")
-    said = cut(said.union(second.groupBy("bucket").applyInArrow(_merge(False, 1), SAID)))
-    out = cut(with_answers(said).mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"))
+    with arrow_rows(spark, 8):
+        first = stored.mapInArrow(anchors, "task long, block long, bucket long, ids binary, a binary, b binary")
+        said = cut(first.groupBy("bucket").applyInArrow(_merge(True, 0), SAID))
+        second = with_answers(said).mapInArrow(edges, "task long, block long, bucket long, ids binary, a binary")
+        said = cut(said.union(second.groupBy("bucket").applyInArrow(_merge(False, 1), SAID)))
+        out = cut(with_answers(said).mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"))
     spark.sql(f"DROP TABLE {name}")
     return out
 
