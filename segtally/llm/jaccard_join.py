@@ -8,14 +8,16 @@ candidate pair the overlap is counted fragment by fragment, in separate rows,
 and summed per pair.
 
 Equal sets are one node, with the smallest id, before anything is joined. In a
-list of sets that share a shingle, each is first compared with one hub of its
-length only; what that links is one component, and only sets of different
-components are compared with each other afterwards. So a group of copies costs
-its size and not its square, and no link between different texts is lost for
-the components. Components come from alternating large and small stars.
+list of sets that share a shingle, each is first compared with one hub only, in
+``ROUNDS`` rounds with other hubs; what that links is one component, and in the
+end all sets of different components are compared with each other. So a group of
+copies costs its size and not its square, and no link between different texts is
+lost for the components. Candidates must fit by size, by the places of their
+shared shingle, and by bitmaps: sets whose 1,024-bit parities differ in more bits
+than a link leaves single shingles cannot link. Components come from alternating large and small stars.
 
 Defined cases: null or wordless texts have an empty set and are their own
-component; rows of one id are one node; a null id is its own component, null;
+component; rows of one id are one node (of different texts under one id any may stand for it); a null id is its own component, null;
 ids are integers; equal rows get equal results; an empty table gives an empty
 table; other columns are not read.
 """
@@ -24,10 +26,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import blocks, cut, hashes, mix, windows, words
@@ -38,9 +42,11 @@ PERCENT = 75
 #: Shingles set behind all others; only their order depends on it, never the result.
 FREQUENT = 50_000
 FRAGMENTS = 8
+ROUNDS = 4
+LONGS = 16
 #: Fewer ids than this (8 bytes each) are sent to every executor; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 
 
 def sets(raw: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> Iterator[np.ndarray]:
@@ -81,32 +87,36 @@ def _frequent(docs: DataFrame, least: int = 4, held: int = 2_000_000) -> np.ndar
     return np.array([r.h for r in top.collect()], np.int64).view(np.uint64)[::-1]
 
 
-def _nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2 (digest of the set), n, prefix (packed, in global order) of every row."""
-    often = _frequent(docs)
+def _nodes(docs: DataFrame, often: np.ndarray | None = None) -> DataFrame:
+    """doc_id, k1, k2 (digest of the set), n, bits (parities of hash values), and with the frequent shingles prefix (packed, in global order) of every row."""
+    with_prefix, often = often is not None, np.zeros(0, np.uint64) if often is None else often
     order = np.argsort(often)
     shared = docs.sparkSession.sparkContext.broadcast((often[order], order + 1))  # 16 bytes x FREQUENT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, rank = shared.value
         for batch, raw, offsets in blocks(batches):
-            k1, k2, n, prefix = [], [], [], []
+            k1, k2, n, bits, prefix = [], [], [], [], []
             for s in sets(raw, offsets):
                 d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 k1.append(int.from_bytes(d[:8], "big", signed=True))
                 k2.append(int.from_bytes(d[8:], "big", signed=True))
                 n.append(len(s))
+                bits.append(np.packbits((np.bincount((s & np.uint64(64 * LONGS - 1)).astype(np.int64), minlength=64 * LONGS) & 1).astype(bool)).view(np.int64))
+                if not with_prefix:
+                    continue
                 if len(common) and len(s):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     s = s[np.argsort(np.where(common[at] == s, rank[at], 0), kind="stable")]
                 prefix.append(s[: len(s) - need(len(s)) + 1].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(prefix, pa.binary())], ["doc_id", "k1", "k2", "n", "prefix"])
+            out = [batch.column("doc_id"), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.list_(pa.int64()))] + [pa.array(prefix, pa.binary())] * with_prefix
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "k1", "k2", "n", "bits", "prefix"][: len(out)])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, n long, prefix binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, n long, bits array<long>" + ", prefix binary" * with_prefix)
 
 
 def _postings(reps: DataFrame, n_buckets: int) -> DataFrame:
-    """list, doc, n, pos, hub, hub_n, hub_pos: the sets that share a shingle of their prefixes, one list for equal members in a bucket."""
+    """list, doc, n, pos: the sets that share a shingle of their prefixes, one list for equal members in a bucket."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +125,8 @@ def _postings(reps: DataFrame, n_buckets: int) -> DataFrame:
                 length = np.array([len(x) for x in p])
                 t = np.concatenate(p)
                 row = np.repeat(np.arange(len(p)), length)
-                pos = (np.arange(len(t)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
+                pos = (np.arange(len(t)) - np.repeat(np.cumsum(length) - length, length))
+                pos = np.minimum(pos, 65535).astype(np.uint16)  # a smaller place only lets more candidates through
                 b = (mix(t) % np.uint64(n_buckets)).astype(np.int64)
                 o = np.argsort(b, kind="stable")
                 cuts = np.searchsorted(b[o], np.arange(n_buckets + 1))
@@ -130,7 +141,7 @@ def _postings(reps: DataFrame, n_buckets: int) -> DataFrame:
     def lists(table: pa.Table) -> pa.Table:
         get = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table[c]])
         times = get("times", np.int32)
-        doc, n, t, pos = np.repeat(get("ids", np.int64), times), np.repeat(get("n", np.int32), times), get("t", np.uint64), get("pos", np.int32)
+        doc, n, t, pos = np.repeat(get("ids", np.int64), times), np.repeat(get("n", np.int32), times), get("t", np.uint64), get("pos", np.uint16).astype(np.int32)
         u, inverse, size = np.unique(t, return_inverse=True, return_counts=True)
         keep = size[inverse] > 1
         doc, n, pos, g = doc[keep], n[keep], pos[keep], inverse[keep]
@@ -143,44 +154,52 @@ def _postings(reps: DataFrame, n_buckets: int) -> DataFrame:
             sign = np.add.reduceat(mix(doc.view(np.uint64)), start)
             for k in np.argsort(pos[start], kind="stable"):  # of lists with the same members the first in the order
                 seen.setdefault((int(sign[k]), int(end[k] - start[k])), int(k))
-        out = {c: [] for c in ("doc", "n", "pos", "hub", "hub_n", "hub_pos", "list")}
+        out = {c: [np.zeros(0, np.int64)] for c in ("list", "doc", "n", "pos")}
         bucket = table["bucket"][0].as_py()
         for number, k in enumerate(seen.values()):
             i, j = start[k], end[k]
-            hub = np.zeros(j - i, np.int64)
-            while i + hub[-1] < j - 1:  # a hub for each class of lengths, in ascending order
-                too_long = n[i:j] * PERCENT > 100 * n[i + hub[-1]]
-                if not too_long[-1]:
-                    break
-                hub[np.argmax(too_long) :] = np.argmax(too_long)
-            for c, v in (("doc", doc[i:j]), ("n", n[i:j]), ("pos", pos[i:j]), ("hub", doc[i + hub]), ("hub_n", n[i + hub]), ("hub_pos", pos[i + hub]), ("list", np.full(j - i, bucket * (1 << 32) + number))):
+            for c, v in (("list", np.full(j - i, bucket * (1 << 32) + number)), ("doc", doc[i:j]), ("n", n[i:j]), ("pos", pos[i:j])):
                 out[c].append(v)
-        return pa.table({c: np.concatenate([np.zeros(0, np.int64), *v]).astype(np.int64) for c, v in out.items()})
+        return pa.table({c: np.concatenate(v).astype(np.int64) for c, v in out.items()})
 
     return reps.select("doc", "n", "prefix").mapInArrow(deal, "bucket long, ids binary, n binary, times binary, t binary, pos binary").groupBy("bucket").applyInArrow(
-        lists, "doc long, n long, pos long, hub long, hub_n long, hub_pos long, list long")
+        lists, "list long, doc long, n long, pos long")
 
 
-def _possible(n1, p1, n2, p2) -> F.Column:
-    """Whether two sets with a first common shingle at these places can have enough in common."""
-    n1, p1, n2, p2 = map(F.col, (n1, p1, n2, p2))
-    return F.least(n1 - p1, n2 - p2) * (100 + PERCENT) >= PERCENT * (n1 + n2)
+def _close() -> Column:
+    """Whether sets of sizes n and n2 whose first common shingle is at pos and pos2 can link."""
+    return F.expr(f"least(n - pos, n2 - pos2) * {100 + PERCENT} >= {PERCENT} * (n + n2)")
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b of the pairs that link: overlaps of each fragment of the order, summed per pair."""
-    ids = cut(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct())
-    few = ids.count() <= BROADCAST_IDS
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(F.broadcast(ids) if few else ids, "doc", "left_semi")
+def _alike() -> Column:
+    """Whether sets of sizes n and n2 with bitmaps bits and bits2 can link."""
+    apart = reduce(add, (F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits2")[k])) for k in range(LONGS)))
+    return apart * (100 + PERCENT) <= (100 - PERCENT) * (F.col("n") + F.col("n2"))
+
+
+def _links(pairs: DataFrame, n: int, docs: DataFrame) -> DataFrame:
+    """a, b of the pairs that link: overlaps of each fragment of the order, summed per pair.
+
+    The fragments of a's set are made next to the list of its partners, so only they move, to the partner's.
+    """
+    small = F.broadcast if n <= BROADCAST_IDS else lambda df: df  # 16 bytes a pair
+    d = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    partners = pairs.groupBy(F.col("a").alias("doc")).agg(F.collect_list("b").alias("with"))
+    ends = pairs.select(F.col("b").alias("doc")).distinct().withColumn("with", F.lit(None).cast("array<long>"))
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw, offsets in blocks(batches):
-            doc, frag, part = [], [], []
-            for d, s in zip(batch.column("doc").to_pylist(), sets(raw, offsets)):
+        for batch, raw, offsets in blocks(batches, 1 << 19):
+            rows: tuple[list, ...] = [], [], [], []
+            for d, to, s in zip(batch.column("doc").to_pylist(), batch.column("with").to_pylist(), sets(raw, offsets)):
                 cuts = np.searchsorted(s >> np.uint64(32), np.arange(FRAGMENTS + 1, dtype=np.uint64) * np.uint64((1 << 32) // FRAGMENTS))
-                for k in range(FRAGMENTS):
-                    doc.append(d), frag.append(k), part.append(s[cuts[k] : cuts[k + 1]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(frag, pa.int32()), pa.array(part, pa.binary())], ["doc", "frag", "part"])
+                parts = [s[cuts[k] : cuts[k + 1]].tobytes() for k in range(FRAGMENTS)]
+                for b in to or [d]:
+                    for out, values in zip(rows, ([d] * FRAGMENTS, [b] * FRAGMENTS, range(FRAGMENTS), parts)):
+                        out.extend(values)
+                    if len(rows[0]) > 4000:
+                        yield _fragment_rows(rows)
+                        rows = [], [], [], []
+            yield _fragment_rows(rows)
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -188,13 +207,18 @@ def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             n = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(n, pa.int64()), pa.array([len(p) + len(q) for p, q in zip(x, y)], pa.int64())], ["a", "b", "common", "both"])
 
-    parts = cut(wanted.mapInArrow(fragments, "doc long, frag int, part binary").dropDuplicates(["doc", "frag"]))
-    side = lambda end, name: parts.select(F.col("doc").alias(end), "frag", F.col("part").alias(name))
-    met = pairs.select("a", "b").join(side("b", "y"), "b").join(side("a", "x"), ["a", "frag"]).select("a", "b", "x", "y")
-    counted = met.mapInArrow(common, "a long, b long, common long, both long").groupBy("a", "b").agg(F.sum("common").alias("common"), F.sum("both").alias("both"))
+    made = "a long, b long, frag int, part binary"
+    left = d.join(small(partners), "doc").mapInArrow(fragments, made).withColumnRenamed("part", "x")
+    right = d.join(small(ends), "doc").mapInArrow(fragments, made).select("b", "frag", F.col("part").alias("y"))
+    counted = left.join(right, ["b", "frag"]).select("a", "b", "x", "y").mapInArrow(common, "a long, b long, common long, both long")
+    counted = counted.groupBy("a", "b").agg(F.sum("common").alias("common"), F.sum("both").alias("both"))
     return counted.where(100 * F.col("common") >= PERCENT * (F.col("both") - F.col("common"))).select("a", "b")
 
 
+def _fragment_rows(rows: tuple[list, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["a", "b", "frag", "part"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node of links a, b; alternating stars until nothing changes."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
@@ -216,23 +240,32 @@ def similar(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = cut(_nodes(docs))
-    reps = rows.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    posts = cut(_postings(reps, max(16, total // BUCKET_BYTES)))
-    tried = cut(posts.where("doc != hub").where(_possible("n", "pos", "hub_n", "hub_pos")).select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct())
-    first = cut(_links(tried, docs))
-    known = components(first)
-    named = posts.join(known, posts.doc == known.node, "left").select("list", "doc", "n", "pos", F.coalesce("component", "doc").alias("part"))
-    open_ = named.groupBy("list").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("list")
-    named = cut(named.join(open_, "list"))
-    other = named.select("list", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "pos", "part")))
-    rest = (
-        named.join(other, "list").where("doc < doc2 and part != part2").where(_possible("n", "pos", "n2", "pos2"))
-        .select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    )
-    rest = cut(rest)
+    real = F.expr("n > 0 and doc_id is not null")
+    reps = cut(rows.where(real).groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("bits").alias("bits")))
+    prefixes = _nodes(docs, _frequent(docs)).where(real).groupBy("k1", "k2").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    posts = cut(_postings(prefixes, max(16, total // BUCKET_BYTES)))
+    links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
+    bits, bits2 = reps.select("doc", "bits"), reps.select(F.col("doc").alias("doc2"), F.col("bits").alias("bits2"))
+    for turn in range(ROUNDS + 1):  # lists whose sets are one component by now are left out
+        known = components(links)
+        named = posts.join(known, posts.doc == known.node, "left").select("list", "doc", "n", "pos", F.coalesce("component", "doc").alias("part"))
+        hub = F.min(F.struct(F.xxhash64("doc", F.lit(turn)), F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("part").alias("part2")))
+        open_ = named.groupBy("list").agg(F.min("part").alias("p"), F.max("part").alias("q"), hub.alias("hub")).where("p != q").select("list", "hub.doc2", "hub.n2", "hub.pos2", "hub.part2")
+        met = named.join(open_, "list")
+        if turn == ROUNDS:
+            left = cut(met.select(*named.columns).join(bits, "doc"))
+            other = left.select("list", *(F.col(c).alias(f"{c}2") for c in ("doc", "n", "pos", "part", "bits")))
+            pairs = left.join(other, "list").where((F.col("part") != F.col("part2")) & (F.col("doc") < F.col("doc2")) & _close() & _alike())
+        else:
+            met = cut(met)
+            posts = met.select("list", "doc", "n", "pos")
+            pairs = met.where((F.col("part") != F.col("part2")) & _close()).select("doc", "n", "doc2", "n2").distinct().join(bits, "doc").join(bits2, "doc2").where(_alike())
+        pairs = cut(pairs.select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+        tried = tried.union(pairs).union(pairs.select("b", "a"))
+        if n_pairs := pairs.count():
+            links = cut(links.union(_links(pairs, n_pairs, docs)))
     same_set = rows.where("n > 0 and doc_id is not null").select("k1", "k2", "doc_id").join(reps.select("k1", "k2", "doc"), ["k1", "k2"]).where("doc != doc_id").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
-    links = first.union(_links(rest, docs)).union(same_set)
-    final = components(links)
+    final = components(links.union(same_set))
     return rows.join(final, rows.doc_id == final.node, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 

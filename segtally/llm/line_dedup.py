@@ -24,15 +24,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WS
+from .base import WS, cut
 
 MIN_RUN = 3
 
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows whose keys occur more than once, with ``name``: the first position of their class."""
-    classes = rows.groupBy(*keys).agg(F.min("pos").alias("name"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return rows.join(classes, keys).drop(*keys)
+    classes = rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "th", "seq")).alias("name"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    return cut(rows.join(classes, keys).drop(*keys))
 
 
 def repeated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -41,7 +41,7 @@ def repeated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     whole = docs.select("doc_id", F.xxhash64(text).alias("th"), F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s.x.rlike(f"[^{WS}]")).alias("lines"))
     lines = whole.select("doc_id", "th", F.posexplode("lines").alias("seq", "line")).select("doc_id", "th", "seq", F.col("line.i").alias("i"), F.unhex(F.md5("line.x")).alias("id"))
     lines = lines.repartition("doc_id", "th").dropDuplicates(["doc_id", "th", "seq"])
-    rows = _named(lines.withColumn("pos", F.struct("doc_id", "th", "seq")), ["id"])
+    rows = _named(lines, ["id"])
     by = Window.partitionBy("doc_id", "th").orderBy("seq")
     rows = rows.withColumn("at", F.collect_list("i").over(by.rangeBetween(0, min_run - 1)))
     length = 1
@@ -49,7 +49,7 @@ def repeated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         step = min(length, min_run - length)
         rows = rows.withColumn("next", F.first("name").over(by.rangeBetween(step, step))).where("next is not null").withColumnRenamed("name", "half")
         rows, length = _named(rows, ["half", "next"]), length + step
-    later = rows.where("name != pos")
+    later = rows.where(F.col("name") != F.struct("doc_id", "th", "seq"))
     new = F.coalesce(F.col("seq") - F.lag("seq").over(by) > min_run, F.lit(True))
     return later.withColumn("new", new.cast("long")).groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("removed"), F.sum("new").alias("n_runs"))
 
