@@ -58,7 +58,8 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """doc_id, text without the deleted lines, n_lines, n_removed, n_runs of every row of docs."""
     gone = repeated(docs, min_run)
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    found = d.join(gone, d.doc_id.eqNullSafe(gone.doc_id) & (d.th == gone.th), "left").select(d.doc_id, d.text, "removed", "n_runs")
+    gone = gone.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    found = d.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("doc_id", "text", "removed", "n_runs")
     lines = F.split("text", "\n", -1)
     kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n"))
     return found.select(
