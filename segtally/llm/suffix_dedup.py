@@ -143,7 +143,7 @@ def _merge(two_keys: bool, kind: int):
         ends = np.cumsum([len(x.as_py()) // 8 for x in t["ids"]])
         parts = np.split(said, ends[:-1])
         keep = [i for i, x in enumerate(parts) if x.any()]
-        t = t.take(keep)
+        t = t.take(pa.array(keep, pa.int64()))
         return pa.table({"task": t["task"], "block": t["block"], "kind": pa.array([kind] * len(keep), pa.int32()), "bucket": t["bucket"], "said": pa.array([parts[i].tobytes() for i in keep], pa.binary())})
 
     return run

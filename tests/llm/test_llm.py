@@ -122,7 +122,7 @@ def test_others(spark, docs):
 
 
 def test_quality(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
     half = labels.where("doc_id % 2 = 0")
     out = quality.classify(docs, half).join(labels.where("doc_id % 2 = 1"), "doc_id")
     kept = lambda cond: out.where(cond).agg(F.avg(F.col("selected").cast("int"))).first()[0]
