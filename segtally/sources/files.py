@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -95,7 +94,7 @@ class FastqSource(DataSource):
         return "fastq"
 
     def schema(self):
-        return T.StructType.fromDDL("path string, read_no long, header string, sequence string, quality string")
+        return "path string, read_no long, header string, sequence string, quality string"
 
     def reader(self, schema):
         return FastqReader(self.options)
