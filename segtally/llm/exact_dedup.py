@@ -41,9 +41,12 @@ def exact_groups(docs: DataFrame, content_hash=lambda c: F.unhex(F.md5(c))) -> D
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of docs that stay, with all their columns; different texts under one id all stay."""
+    free = next(f"_sha{i}" for i in range(len(docs.columns) + 1) if f"_sha{i}" not in docs.columns)
+    kept = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias(free))
+    rows = docs.withColumn(free, F.sha2(normalised(F.col("text")), 256))
+    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows[free] == kept[free])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", free]).drop(free)
 
 
 SQL = r"""

@@ -111,6 +111,9 @@ def test_decontaminate(spark, docs):
 def test_others(spark, docs):
     g = exact_dedup.exact_groups(docs, lambda c: F.lit("one hash")).collect()  # every text collides
     assert len(g) == len(rows()) and sum(r.kept for r in g) == len({re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t, *_ in rows()})
+    twice = spark.createDataFrame([(1, "a  b", 0), (0, "a b", 1), (1, "c", 2), (1, "c", 3), (None, "d", 4), (None, "e", 5)], "doc_id long, text string, _sha0 int")
+    assert sorted((str(r.doc_id), r.text) for r in exact_dedup.exact_dedup(twice).collect()) == [("0", "a b"), ("1", "c"), ("None", "d"), ("None", "e")]
+    assert exact_dedup.exact_dedup(twice).columns == twice.columns and exact_dedup.exact_dedup(empty(spark)).count() == 0
     m = mixing.mix(docs).collect()
     assert len(m) == len(rows()) and all(r.taken <= 2 * r["size"] for r in m)
     assert mixing.mix(empty(spark)).count() == 0 and mixing.mixed_documents(docs).columns == docs.columns
