@@ -270,6 +270,9 @@ def similar(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The row of docs with the smallest id of each component, with all columns."""
+    """The row of docs with the smallest id of each component, with all columns; of rows without an id one of each text."""
     kept = similar(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates(["doc_id"])
+    free = next(f"_text{i}" for i in range(len(docs.columns) + 1) if f"_text{i}" not in docs.columns)
+    text = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_keep"]), "left_semi")
+    return rows.withColumn(free, text).dropDuplicates(["doc_id", free]).drop(free)

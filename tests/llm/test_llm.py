@@ -86,6 +86,8 @@ def test_jaccard(spark, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(docs).collect()}
     assert got == {i: (len(sets[i]), comp[i]) for i in sets}
     assert jaccard_join.similar(empty(spark)).count() == 0
+    bare = spark.createDataFrame([(None, "d"), (None, "e"), (None, "d"), (1, "d"), (2, "d")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.text) for r in jaccard_join.one_of_each(bare).collect()) == [("1", "d"), ("None", "d"), ("None", "e")]
 
 
 def test_lm(spark, docs):
