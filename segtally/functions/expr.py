@@ -137,3 +137,24 @@ def mean_quality(quality: Column) -> Column:
     """Arithmetic mean of Phred+33 values."""
     total = F.aggregate(F.transform(F.filter(F.split(quality, ""), lambda x: x != ""), lambda x: F.ascii(x) - 33), F.lit(0), lambda a, x: a + x)
     return F.try_divide(total, F.length(quality))
+
+
+def matches(c: Column, pattern: str) -> Column:
+    """Whether the whole text matches, upper or lower case."""
+    return c.rlike(f"(?i)^(?:{pattern})$")
+
+
+def segment_of_path(path: Column, suffix: str) -> Column:
+    """File name without the suffix, or without its last extension where it has another."""
+    name = F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.when(name.endswith(suffix), F.regexp_replace(name, rf"\Q{suffix}\E$", "")).otherwise(F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""))
+
+
+def min_nullsafe(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def selection_reason(count: Column, fasta: Column, bam: Column, median: Column) -> Column:
+    have = F.when(fasta & bam, "FASTA+BAM pair available").when(fasta, "FASTA only").when(bam, "BAM only")
+    depth = F.coalesce(F.concat(F.lit("median depth="), F.regexp_replace(median.cast("string"), r"\.0$", "")), F.lit("no parseable coverage table"))
+    return F.concat_ws("; ", F.concat(F.lit("selected from "), count, F.lit(" candidate(s)")), have, depth)

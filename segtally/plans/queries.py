@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segtally.functions import expr as E
-from segtally.operators import depth, ranking, reads, rollup
+from segtally.operators import depth, ranking, reads, reports, rollup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -322,3 +322,81 @@ def annotation_summary(t):
 @query(None)
 def run_document(t):
     return rollup.run_document(t("nation"), "n_regionkey", F.struct("n_name"), "n_nationkey")
+
+
+@query("""SELECT p_brand AS path, sum(p_partkey % 5 + 1)::BIGINT AS sequences, sum(p_partkey % 5 + 1 - (p_partkey % 3 = 0)::INT)::BIGINT AS passed, sum((p_partkey % 3 = 0)::INT)::BIGINT AS failed FROM part GROUP BY 1""")
+def annotation_totals(t):
+    k, failed = F.col("p_partkey").cast("long"), (F.col("p_partkey") % 3 == 0).cast("long")
+    line = F.format_string(" %d  M%d  fluA-seg%d  H%dN1  %d  %d  %d", k, k, k % 9, k % 7, k % 5 + 1, k % 5 + 1 - failed, failed)
+    return reports.annotation_totals(reports.annotation_models(t("part").select(F.col("p_brand").alias("path"), line.alias("line"))))
+
+
+@query("""SELECT user_id AS path, event_type AS alert, event_id % 2 = 0 AS failure_causing, count(*) AS lines, sum(event_id % 11)::BIGINT AS cases FROM events GROUP BY ALL""")
+def annotation_alerts(t):
+    i = F.col("event_id").cast("long")
+    line = F.concat(i, F.lit(" "), "event_type", F.when(i % 2 == 0, " yes*").otherwise(" no"), F.lit(" low_similarity sequence "), i % 11, F.lit(" 1 what it says"))
+    a = reports.annotation_alerts(t("events").select(F.col("user_id").alias("path"), line.alias("line")))
+    return a.groupBy("path", "alert", "failure_causing").agg(F.count("*").alias("lines"), F.sum("cases").alias("cases"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'Not run' ELSE o_orderstatus END AS status, CASE o_orderstatus WHEN 'P' THEN 'not run: the screen was INDETERMINATE' ELSE o_orderpriority END AS reason,
+ CASE WHEN o_orderstatus <> 'P' THEN (o_custkey % 9)::INT END AS matched_segments, CASE WHEN o_orderstatus <> 'P' THEN o_custkey::VARCHAR END AS ha FROM orders""")
+def genotype_report(t):
+    text = F.concat(
+        F.lit("pident_threshold: 98.0\nconsensus Genotype --> "), "o_orderstatus", F.lit(": "), "o_orderpriority", F.lit("\nOnly "), F.col("o_custkey") % 9,
+        F.lit(" segments >98.0% match found of total 8 segments\nsegments in input file: ha: "), "o_custkey", F.lit(", NA:x at percent identity\n"))
+    gate = F.lit("sample\tstatus\ns1\tH5N1_INDETERMINATE\n")
+    parts = {c: v for c, v in zip(("status", "reason", "threshold", "matched", "inputs", "calls"), reports.parse_genotype_report(F.col("_text")))}
+    d = t("orders").withColumn("_text", F.when(F.col("o_orderstatus") == "P", gate).otherwise(text))
+    return d.select("o_orderkey", parts["status"], parts["reason"], parts["matched"], parts["calls"]["HA"].alias("ha"))
+
+
+@query("""SELECT s_suppkey, 'who.name' AS field, s_name AS value FROM supplier UNION ALL SELECT s_suppkey, 'who.at.nation', s_nationkey::VARCHAR FROM supplier UNION ALL SELECT s_suppkey, 'id', s_suppkey::VARCHAR FROM supplier""")
+def flatten_json(t):
+    at = F.struct(F.col("s_nationkey").alias("nation"))
+    nested = F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.struct(F.col("s_name").alias("name"), at.alias("at")).alias("who")))
+    return reports.flatten_json(t("supplier").withColumn("_json", nested), "s_suppkey", "_json")
+
+
+@query("""SELECT c_nationkey, c_custkey::VARCHAR AS sample, '{"c_mktsegment":"' || c_mktsegment || '"}' AS payload FROM customer""")
+def read_run_documents(t):
+    docs = rollup.run_document(t("customer"), "c_nationkey", F.struct("c_mktsegment"), "c_custkey")
+    return reports.read_run_documents(docs, "c_nationkey")[0]
+
+
+@query("""SELECT l.doc_id, sha256(d.text) AS sha256, CASE WHEN d.text IS NULL THEN 'MISSING' WHEN l.quality = 1 THEN 'MATCH' ELSE 'MISMATCH' END AS checksum_status FROM (SELECT * FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)) l LEFT JOIN documents d USING (doc_id)""")
+def checksums(t):
+    known = t("labels").join(t("documents").select("doc_id", "text"), "doc_id")
+    expected = known.select("doc_id", F.when(F.col("quality") == 1, F.sha2("text", 256)).otherwise("0").alias("expected"))
+    return reports.checksums(t("documents"), "doc_id", "text", expected)
+
+
+@query("SELECT l_suppkey, median(l_quantity) FILTER (l_returnflag <> 'R') AS coverage_median FROM lineitem GROUP BY 1")
+def coverage_median(t):
+    depth_text = F.when(F.col("l_returnflag") == "R", "NA").otherwise(F.col("l_quantity").cast("string"))
+    return reports.coverage_median(t("lineitem").select("l_suppkey", F.lit("x").alias("Depth (text)"), depth_text.alias("Coverage Depth")), ["l_suppkey"])
+
+
+@query("""WITH s AS (SELECT l_orderkey, l_linenumber, l_returnflag = 'R' AS c, l_partkey BETWEEN 950 AND 1050 AS n, l_linenumber % 2 = 0 AS mp, l_discount <= 0.05 AS d FROM lineitem),
+ q AS (SELECT l_orderkey, l_linenumber, CASE WHEN c THEN 'PASS' ELSE 'FAIL' END AS c, CASE WHEN NOT mp THEN 'REVIEW' WHEN n THEN 'PASS' ELSE 'FAIL' END AS length_status, CASE WHEN d THEN 'PASS' ELSE 'FAIL' END AS n_content_status FROM s)
+SELECT l_orderkey, l_linenumber, length_status, n_content_status, CASE WHEN c = 'PASS' AND length_status = 'PASS' AND n_content_status = 'PASS' THEN 'PASS' WHEN length_status = 'REVIEW' THEN 'REVIEW' ELSE 'FAIL' END AS overall_status FROM q""")
+def backfill_qc(t):
+    segment = F.when(F.col("l_linenumber") % 2 == 0, "MP").otherwise("other")
+    old = t("lineitem").select("l_orderkey", "l_linenumber", segment.alias("segment"), F.col("l_partkey").alias("length"), F.col("l_discount").alias("n_fraction"),
+                               F.when(F.col("l_returnflag") == "R", "pass").otherwise("fail").alias("coverage_status"), F.lit("NA").alias("length_status"))
+    return reports.backfill_qc(old, 0.05).select("l_orderkey", "l_linenumber", "length_status", "n_content_status", "overall_status")
+
+
+@query(f"""WITH r AS ({ROLLUP}), f AS (SELECT *, concat_ws('; ', CASE WHEN pass_n < 8 THEN 'fewer_than_8_pass_segments' END, CASE WHEN fail_n > 0 THEN 'coverage_failures' END, CASE WHEN detected = 0 THEN 'no_consensus_segments' END,
+ CASE WHEN fail_n > 0 OR missing_n > 0 THEN 'Medaka: ' || fail_n || ' failed segment(s); ' || missing_n || ' IRMA fallback segment(s)' END) AS t FROM r)
+SELECT o_custkey, t <> '' AS review_required, nullif(t, '') AS review_reason FROM f""")
+def derive_review(t):
+    r = _rollup(t)
+    flags = E.review_flags(F.col("pass_n"), F.lit("NOT_DETECTED"), F.col("fail_n"), F.col("detected"), F.lit(0))
+    r = r.select("o_custkey", "fail_n", "missing_n", F.col("pass_n").alias("pass_segments"), E.genome_status(F.col("pass_n")).alias("genome_status"), flags.alias("review_flags"))
+    return reports.merge_reason(reports.derive_review(r), "fail_n", "missing_n").select("o_custkey", "review_required", "review_reason")
+
+
+@query("""SELECT p_partkey, 'Name' AS metric, p_name AS value FROM part UNION ALL SELECT p_partkey, 'Subtype', upper(p_brand) FROM part""")
+def metric_table(t):
+    return reports.metric_table(t("part"), "p_partkey", {"Name": F.col("p_name"), "Subtype": F.upper("p_brand")})
