@@ -2,10 +2,11 @@
 
 A rule is a regular expression over host and path (the text host || path, where
 the host is in lower case) with the literal tokens that every url it fits holds
-whole. Tokens of urls are counted over all urls; each rule is indexed under its
-token that the fewest urls hold. A url's tokens fetch the rules indexed under
-them, and only those run their regular expressions. Rules without a whole token
-are indexed under "", a token that every url has.
+whole, one list for each branch of an alternation. Tokens of urls, cut at ".", "/"
+and "-", are counted over all urls; each branch is indexed under its token that the
+fewest urls hold. A url's tokens fetch the rules indexed under them, and only those
+run their regular expressions. Rules without a whole token, as those that ask for
+the beginning of a label only, are indexed under "", a token that every url has.
 
 Each distinct url is judged once; urls of many rows come back by a join that
 adaptive execution splits. Of the rules that fit, those written as host and path
@@ -19,6 +20,8 @@ rows are judged alike; an empty table gives an empty table; other columns are no
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +29,8 @@ from .base import lower_ascii
 
 #: (verdict, host and path) of the contract.
 HOST_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
-#: (verdict, pattern, literal tokens) that give the method's own verdict where no host rule fits.
-PATTERNS = [("block", r"^(?:[^/]*\.)?adult-[^./]*\.", ["example"]), ("block", r"^(?:[^/]*\.)?(?:casino|porn)[^./]*\.", []), ("block", r"/(?:login|signup)(?:/|$)", [])]
+#: (verdict, pattern, literal tokens of each branch) that give the method's own verdict where no host rule fits.
+PATTERNS = [("block", r"^(?:[^/]*\.)?adult-[^./]*\.", [["adult"]]), ("block", r"^(?:[^/]*\.)?(?:casino|porn)[^./]*\.", []), ("block", r"/(?:login|signup)(?:/|$)", [["login"], ["signup"]])]
 #: More rules than this are joined by a shuffle; fewer are sent to every executor (1,000 bytes a rule at most).
 BROADCAST_RULES = 20_000
 
@@ -41,19 +44,19 @@ def path(url: Column) -> Column:
 
 
 def tokens(place: Column) -> Column:
-    """Whole labels of the host and whole segments of the path, once each."""
-    return F.array_distinct(F.split(place, r"[./]"))
+    """Labels of the host and segments of the path, cut at dashes too, once each."""
+    return F.array_distinct(F.split(place, r"[./-]"))
 
 
 def rules(spark: SparkSession, host_rules=HOST_RULES, patterns=PATTERNS) -> DataFrame:
-    """rule, verdict, regex, tokens, kind (0: host and path, 1: pattern)."""
+    """rule, verdict, regex, tokens, kind (0: host and path, 1: pattern), branch: a row for each branch of a rule."""
     made = []
     for verdict, rule in host_rules:
         h, slash, p = rule.partition("/")
-        whole = h.split(".") + [x for x in p.split("/")[:-1] if "." not in x]
-        made.append((rule, verdict, rf"^(?:[^/]*\.)?\Q{rule}\E" if slash else rf"^(?:[^/]*\.)?\Q{rule}\E(?:/|$)", [x for x in whole if x], 0))
-    made += [(pattern, verdict, pattern, words, 1) for verdict, pattern, words in patterns]
-    return spark.createDataFrame(made, "rule string, verdict string, regex string, tokens array<string>, kind int")
+        whole = re.split("[./-]", h + "/" + p.rpartition("/")[0])
+        made.append((rule, verdict, rf"^(?:[^/]*\.)?\Q{rule}\E" if slash else rf"^(?:[^/]*\.)?\Q{rule}\E(?:/|$)", [x for x in whole if x], 0, 0))
+    made += [(pattern, verdict, pattern, words, 1, k) for verdict, pattern, branches in patterns for k, words in enumerate(branches or [[]])]
+    return spark.createDataFrame(made, "rule string, verdict string, regex string, tokens array<string>, kind int, branch int")
 
 
 def judge(pages: DataFrame, rule_table: DataFrame, n_rules: int) -> DataFrame:
@@ -64,10 +67,10 @@ def judge(pages: DataFrame, rule_table: DataFrame, n_rules: int) -> DataFrame:
     literal = rule_table.select(F.explode("tokens").alias("token")).distinct()
     counts = urls.join(small(literal), "token").groupBy("token").count()
     rarest = (
-        rule_table.select("rule", "kind", F.explode_outer("tokens").alias("token")).join(small(counts), "token", "left")
-        .groupBy("rule", "kind").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token"))["token"].alias("token"))
+        rule_table.select("rule", "kind", "branch", F.explode_outer("tokens").alias("token")).join(small(counts), "token", "left")
+        .groupBy("rule", "kind", "branch").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token"))["token"].alias("token"))
     )
-    index = rule_table.drop("tokens").join(small(rarest), ["rule", "kind"]).withColumn("token", F.coalesce("token", F.lit("")))
+    index = rule_table.drop("tokens").join(small(rarest), ["rule", "kind", "branch"]).withColumn("token", F.coalesce("token", F.lit("")))
     best = (
         urls.join(small(index), "token").where(F.expr("place rlike regex"))
         .groupBy("url").agg(F.min(F.struct("kind", (-F.length("rule")).alias("_long"), F.col("verdict") == "allow", "rule", "verdict")).alias("best"))

@@ -135,3 +135,12 @@ def test_quality(spark):
     assert kept("quality = 0") < 0.7
     assert quality.classify(docs.limit(0), labels).count() == 0
     assert quality.classify(docs.limit(5), labels.limit(0)).where("selected").count() == 5
+
+
+def test_url_tokens(spark):
+    urls = ["http://adult-videos.com/x", "http://a.adult-b.org", "http://adultery.com/x", "http://x.org/signup", "http://x.org/a/login/b", "http://x.org/login-page", "http://bigcasino.org/", "http://casinobig.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    rules = url_filters.rules(spark, [*url_filters.HOST_RULES, ("block", "my-site.org/a-b.c/")])
+    assert [r.verdict for r in url_filters.judge(pages, rules, 9).orderBy("page_id").collect()] == ["block", "block", "allow", "block", "block", "allow", "allow", "block"]
+    dashed = spark.createDataFrame([(0, "http://www.my-site.org/a-b.c/d"), (1, "http://site.org/a-b.c/d")], "page_id int, url string")
+    assert [r.verdict for r in url_filters.judge(dashed, rules, 9).orderBy("page_id").collect()] == ["block", "allow"]
