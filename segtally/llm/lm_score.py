@@ -4,13 +4,15 @@ N-grams (words with their ends, and pairs) are counted over all training texts.
 The filter holds an n-gram of quantised log count q as q keys (n-gram, 1..q); a
 count is read by probing 1, 2, ... until a key is missing. It is built in
 segments, one per bucket of the n-gram hashes, by the tasks that sum the bucket's
-counts, and broadcast: ``MAX_FILTER_BYTES`` bounds it. Pairs seen once are left
-out; where the filter would be larger, the smallest count of a pair that goes in
-rises until it fits.
+counts; every n-gram goes in, at every size, and the segments stay in the shared
+folder and grow with the input.
 
-The exact base score needs exact counts. The most frequent words, ``HOT_WORDS``
-at most, are broadcast with theirs; all other occurrences are sent by hash bucket
-to the sums themselves, and the answers come back added up per document.
+Texts are taken in blocks. Each block asks for its distinct n-grams once, by bucket;
+a bucket answers from its segment and, for words, with the exact counts that the
+base score needs; the answers meet the block, which is scored there. The most
+frequent words, ``HOT_WORDS`` at most, and pairs, ``MAX_FILTER_BYTES`` at most, are
+broadcast with the answers that their buckets would give, and are not asked for:
+this saves probes and changes no score.
 
 Counts travel as packed arrays of 64-bit hashes in binary columns, a few rows per
 task and bucket; the number of buckets follows the input.
@@ -28,10 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window
+import pyarrow.ipc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import blocks, cut, hashes, mix, words
+from .base import blocks, cut, flat, hashes, mix, words
 
 END = np.uint64(0xE4D)
 ADD = 0.1
@@ -101,12 +105,21 @@ class Filter:
         return out
 
 
+def planes(h: np.ndarray) -> bytes:
+    """Sorted hashes, first bytes first, so that the bytes they share are pressed in a shuffle."""
+    return h.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _hashes_of(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint8).reshape(8, -1).T.copy().view(np.uint64)[:, 0] for x in column)])
+
+
 def _packed(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows) if rows else [()] * len(names), kinds)], names)
 
 
 def _counts(train: DataFrame, n_buckets: int) -> DataFrame:
-    """One row a bucket: sorted hashes and exact counts of words and pairs."""
+    """One row a bucket: the filter's segment, sorted hashes of words with counts and levels, and those of pairs seen more than once with levels."""
 
     def emit(parts: list) -> pa.RecordBatch:
         rows = []
@@ -119,7 +132,7 @@ def _counts(train: DataFrame, n_buckets: int) -> DataFrame:
             cuts = np.searchsorted(b[order], np.arange(n_buckets + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 sel = order[cuts[k] : cuts[k + 1]]
-                rows.append((int(k), kind, u[sel].tobytes(), c[sel].tobytes()))
+                rows.append((int(k), kind, planes(u[sel]), c[sel].tobytes()))
         return _packed(rows, ["bucket", "kind", "h", "c"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,18 +151,32 @@ def _counts(train: DataFrame, n_buckets: int) -> DataFrame:
         out = []
         for kind in (0, 1):
             own = t.filter(pa.compute.equal(t["kind"], kind))
-            h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in own["h"])])
+            h = _hashes_of(own["h"])
             c = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_py(), np.int32) for x in own["c"])])
             u, at = np.unique(h, return_inverse=True)
             n = np.bincount(at, weights=c).astype(np.int64)
-            out.append((u, n) if kind == 0 else (u[n > 1], n[n > 1]))
+            out.append((u, n))
         (wh, wc), (ph, pc_) = out
-        sizes = [int((level(pc_[pc_ >= m]) - 2).sum()) for m in 2 ** np.arange(1, 20)]
+        seg = build(np.concatenate([wh, ph]), np.concatenate([level(wc), level(pc_)]))
+        lm, fh = Filter([seg.tobytes()]), ph[pc_ > 1]
+        wl, fl = lm.levels(wh).astype(np.uint8), lm.levels(fh).astype(np.uint8)
         hist = np.bincount(np.floor(np.log2(np.maximum(wc, 1))).astype(np.int64), minlength=48)
-        return pa.table({"bucket": t["bucket"][:1], "wh": [wh.tobytes()], "wc": [wc.tobytes()], "ph": [ph.tobytes()], "pc": [pc_.tobytes()], "words": [len(wh)], "tokens": [int(wc.sum())], "word_keys": [int(level(wc).sum())], "pair_keys": [sizes], "hist": [hist.tolist()]})
+        return pa.table({"bucket": t["bucket"][:1], "seg": [seg.tobytes()], "wh": [wh.tobytes()], "wc": [wc.tobytes()], "wl": [wl.tobytes()], "fh": [fh.tobytes()], "fl": [fl.tobytes()], "words": [len(wh)], "tokens": [int(wc.sum())], "hist": [hist.tolist()], "pair_hist": [np.bincount(fl, minlength=256).tolist()]})
 
     return train.select("text").mapInArrow(count, "bucket long, kind int, h binary, c binary").groupBy("bucket").applyInArrow(
-        add, "bucket long, wh binary, wc binary, ph binary, pc binary, words long, tokens long, word_keys long, pair_keys array<long>, hist array<long>")
+        add, "bucket long, seg binary, wh binary, wc binary, wl binary, fh binary, fl binary, words long, tokens long, hist array<long>, pair_hist array<long>")
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_py(), kind) for x in column if x.is_valid)])
+
+
+def _found(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position of each h in the sorted known, and whether it is there."""
+    if not len(known):
+        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return at, known[at] == h
 
 
 def score(docs: DataFrame, hot_words: int = HOT_WORDS, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
@@ -161,90 +188,98 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS, max_filter_bytes: int = M
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(8, total // BUCKET_BYTES)
     counts = cut(_counts(d.where("not held_out"), n_buckets))
-    sums = counts.select("words", "tokens", "word_keys", *(F.col("pair_keys")[k].alias(f"k{k}") for k in range(19)), *(F.col("hist")[k].alias(f"h{k}") for k in range(48))).groupBy().sum().first()
-    v, n, word_keys = (x or 0 for x in sums[:3])
-    pair_keys, hist = [x or 0 for x in sums[3:22]], [x or 0 for x in sums[22:]]
-    low = next((2 << k for k in range(19) if (word_keys + pair_keys[k]) * BITS_PER_KEY <= 8 * max_filter_bytes), 1 << 20)
+    sums = counts.select("words", "tokens", *(F.col("hist")[k].alias(f"h{k}") for k in range(48)), *(F.col("pair_hist")[k].alias(f"p{k}") for k in range(256))).groupBy().sum().first()
+    v, n = (x or 0 for x in sums[:2])
+    hist, pair_hist = [x or 0 for x in sums[2:50]], [x or 0 for x in sums[50:]]
     hot = next(1 << k for k in range(1, 49) if sum(hist[k:]) <= hot_words)  # words seen once always go by bucket, at every size
+    low = next(k for k in range(1, 257) if 9 * sum(pair_hist[k:]) <= max_filter_bytes)
 
-    def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for k, wh, wc, ph, pn in zip(*(b.column(x) for x in ("bucket", "wh", "wc", "ph", "pc"))):
-                wh, wc, ph, pn = (np.frombuffer(x.as_py(), t) for x, t in zip((wh, wc, ph, pn), (np.uint64, np.int64) * 2))
-                h = np.concatenate([wh, ph[pn >= low]])
-                seg = build(h, np.concatenate([level(wc), level(pn[pn >= low]) - 2]))
-                rows.append((k.as_py(), seg.tobytes(), wh[wc >= hot].tobytes(), wc[wc >= hot].astype(np.int32).tobytes()))
-            yield _packed(rows, ["bucket", "seg", "wh", "wc"], [pa.int64(), pa.binary(), pa.binary(), pa.binary()])
-
-    made = {r.bucket: r for r in counts.select("bucket", "wh", "wc", "ph", "pc").mapInArrow(segment, "bucket long, seg binary, wh binary, wc binary").toLocalIterator()}
-    lm = Filter([bytes(made[k].seg) if k in made else bytes(8) for k in range(n_buckets)])
-    hh = np.frombuffer(b"".join(bytes(r.wh) for r in made.values()), np.uint64)
-    hc = np.frombuffer(b"".join(bytes(r.wc) for r in made.values()), np.int32)
+            for wh, wc, wl, fh, fl in zip(*(b.column(x) for x in ("wh", "wc", "wl", "fh", "fl"))):
+                wh, wc, wl, fh, fl = (np.frombuffer(x.as_py(), t) for x, t in zip((wh, wc, wl, fh, fl), (np.uint64, np.int64, np.uint8, np.uint64, np.uint8)))
+                rows.append((wh[wc >= hot].tobytes(), wc[wc >= hot].tobytes(), wl[wc >= hot].tobytes(), fh[fl >= low].tobytes(), fl[fl >= low].tobytes()))
+            yield _packed(rows, ["wh", "wc", "wl", "fh", "fl"], [pa.binary()] * 5)
+
+    made = list(counts.select("wh", "wc", "wl", "fh", "fl").mapInArrow(frequent, "wh binary, wc binary, wl binary, fh binary, fl binary").toLocalIterator())
+    hh, hc, hl, fh, fl = (np.frombuffer(b"".join(bytes(r[x]) for r in made), t) for x, t in (("wh", np.uint64), ("wc", np.int64), ("wl", np.uint8), ("fh", np.uint64), ("fl", np.uint8)))
     made.clear()
-    order = np.argsort(hh)
-    model = sc.broadcast((lm, hh[order], hc[order]))  # at most max_filter_bytes and 12 bytes a hot word
+    order, forder = np.argsort(hh), np.argsort(fh)
+    model = sc.broadcast((hh[order], hc[order], hl[order], fh[forder], fl[forder]))  # at most 17 bytes a hot word and max_filter_bytes
     whole = np.log10(n + ADD * (v + 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, hh, hc = model.value
-        for batch, raw, offsets in blocks(batches):
-            row, h, before, pair = grams(raw, offsets)
-            m = len(offsets) - 1
-            u, at = np.unique(h, return_inverse=True)
-            pos = np.minimum(np.searchsorted(hh, u), max(0, len(hh) - 1))
-            exact = np.where(hh[pos] == u, hc[pos], 0) if len(hh) else np.zeros(len(u), np.int64)
-            c = exact[at]
-            known = np.bincount(row, weights=c > 0, minlength=m).astype(np.int64)
-            base = np.bincount(row, weights=np.where(c > 0, np.log10(c + ADD) - whole, 0), minlength=m)
-            approx = count_of(lm.levels(u))
-            up, pat = np.unique(pair, return_inverse=True)
-            plevel = lm.levels(up)
-            pairs = count_of(np.where(plevel > 0, plevel + 2, 0))[pat]
-            ub = np.unique(before)
-            context = count_of(lm.levels(ub))[np.searchsorted(ub, before)]
-            single = (approx[at] + ADD) / (n + ADD * (v + 1))
-            p = PAIR_WEIGHT * np.minimum(1.0, pairs / np.maximum(context, 1)) + (1 - PAIR_WEIGHT) * single
-            score_ = np.bincount(row, weights=np.log10(np.minimum(p, 1.0)), minlength=m)
-            tail = np.flatnonzero(c == 0)
-            tail = tail[np.argsort(h[tail] % np.uint64(n_buckets), kind="stable")]
-            th, tb, td = h[tail], (h[tail] % np.uint64(n_buckets)).astype(np.int64), row[tail]
-            cuts = np.searchsorted(tb, np.arange(n_buckets + 1))
-            k1, k2 = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("k1", "k2"))
-            rows = [(None, None, None, None, None, None, None, int(k), th[i:j].tobytes(), k1[td[i:j]].tobytes(), k2[td[i:j]].tobytes()) for k in np.flatnonzero(np.diff(cuts)) for i, j in [(cuts[k], cuts[k + 1])]]
-            ids = batch.column("doc_id")
-            docs_ = pa.RecordBatch.from_arrays(
-                [ids, batch.column("held_out"), pa.array(np.bincount(row, minlength=m)), pa.array(known), pa.array(base), pa.array(score_), batch.column("k1"), batch.column("k2")]
-                + [pa.nulls(m, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary())], names)
-            yield docs_
-            if rows:
-                r = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(rows), t) for t in docs_.schema.types[:8]] + [pa.array(x, t) for x, t in zip(r[7:], docs_.schema.types[8:])], names)
-
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "score", "k1", "k2", "bucket", "h", "d1", "d2"]
-    id_key = F.coalesce(F.col("doc_id") if kind == "bigint" else F.xxhash64("doc_id"), F.lit(0))
-    keyed = d.withColumn("k1", id_key).withColumn("k2", F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = cut(keyed.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, k1 long, k2 long, bucket long, h binary, d1 binary, d2 binary"))
+    def by_bucket(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order by bucket, and the n_buckets + 1 cuts."""
+        b = (h % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(b, kind="stable")
+        return order, np.searchsorted(b[order], np.arange(n_buckets + 1))
+
+    def bodies_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch, _, _ in blocks(batches):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield _packed([(number, sink.getvalue().to_pybytes())], ["block", "body"], [pa.int64(), pa.binary()])
+            number += 1
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hh, _, _, fh, _ = model.value
+        for number, body in ((x, y) for b in batches for x, y in zip(b["block"], b["body"])):
+            _, h, _, pair = grams(*flat(pa.ipc.open_stream(body.as_py()).read_all()["text"]))
+            rows, asked = [], []
+            for known, x in ((hh, np.unique(h)), (fh, np.unique(pair))):
+                x = x[~_found(known, x)[1]]
+                order, cuts = by_bucket(x)
+                asked.append((x[order], cuts))
+            (w, wcuts), (p, pcuts) = asked
+            for k in np.flatnonzero(np.diff(wcuts) + np.diff(pcuts)):
+                rows.append((number.as_py(), int(k), planes(w[wcuts[k] : wcuts[k + 1]]), planes(p[pcuts[k] : pcuts[k + 1]])))
+            yield _packed(rows, ["block", "bucket", "w", "p"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        h, d1, d2 = (np.concatenate([np.zeros(0, t), *(np.frombuffer(x.as_py(), t) for x in asked[c])]) for c, t in (("h", np.uint64), ("d1", np.int64), ("d2", np.int64)))
-        wh, wc = (np.frombuffer(known[c][0].as_py(), t) if known.num_rows else np.zeros(0, t) for c, t in (("wh", np.uint64), ("wc", np.int64)))
-        c = np.zeros(len(h))
-        if len(wh):
-            pos = np.minimum(np.searchsorted(wh, h), len(wh) - 1)
-            c = np.where(wh[pos] == h, wc[pos], 0)
-        order = np.lexsort((d2, d1))
-        d1, d2, c = d1[order], d2[order], c[order]
-        new = np.concatenate([[True], (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])]) if len(d1) else np.zeros(0, bool)
-        g = np.cumsum(new) - 1
-        return pa.table({"k1": d1[new], "k2": d2[new], "more": np.bincount(g, weights=c > 0, minlength=new.sum()).astype(np.int64), "tail": np.bincount(g, weights=np.log10(c + ADD) - whole, minlength=new.sum()).astype(float)})
-
-    asked = both.where("bucket is not null").select("bucket", "h", "d1", "d2")
-    tails = asked.groupBy("bucket").cogroup(counts.select("bucket", "wh", "wc").groupBy("bucket")).applyInArrow(answer, "k1 long, k2 long, more long, tail double")
-    tails = tails.groupBy("k1", "k2").agg(F.sum("more").alias("more"), F.sum("tail").alias("tail"))
-    alike = F.count("*").over(Window.partitionBy("k1", "k2"))  # equal rows have asked as often as they stand
-    return both.where("bucket is null").join(tails, ["k1", "k2"], "left").withColumn("alike", alike).select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce(F.col("more") / F.col("alike"), F.lit(0)).cast("long")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce(F.col("tail") / F.col("alike"), F.lit(0.0))).alias("base_score"), "score",
-    )
+        w, p = (_hashes_of(asked[x]) for x in "wp")
+        wh, wc, wl = (_joined(known[x], t) for x, t in (("wh", np.uint64), ("wc", np.int64), ("wl", np.uint8)))
+        lm = Filter([known["seg"][0].as_py() if known.num_rows else bytes(8)])
+        at, ok = _found(wh, w)
+        c, l = np.zeros(len(w), np.int64), np.zeros(len(w), np.uint8)
+        c[ok], l[ok] = wc[at[ok]], wl[at[ok]]
+        l[~ok] = lm.levels(w[~ok])
+        pl = lm.levels(p).astype(np.uint8)
+        wat, pat = (np.cumsum([0, *(len(x.as_py()) // 8 for x in asked[y])]) for y in "wp")
+        rows = [(b.as_py(), k.as_py(), c[wat[i] : wat[i + 1]].tobytes(), l[wat[i] : wat[i + 1]].tobytes(), pl[pat[i] : pat[i + 1]].tobytes()) for i, (b, k) in enumerate(zip(asked["block"], asked["bucket"]))]
+        return pa.Table.from_batches([_packed(rows, ["block", "bucket", "wc", "wl", "pl"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])])
+
+    def meet(bodies: pa.Table, answers: pa.Table) -> pa.Table:
+        hh, hc, hl, fh, fl = model.value
+        batch = pa.ipc.open_stream(bodies["body"][0].as_py()).read_all().combine_chunks()
+        raw, offsets = flat(batch["text"])
+        row, h, before, pair = grams(raw, offsets)
+        m = len(offsets) - 1
+        answers = answers.sort_by("bucket")
+
+        def filled(u: np.ndarray, known: np.ndarray, values: np.ndarray, sent: str) -> np.ndarray:
+            at, ok = _found(known, u)
+            out, missing = np.zeros(len(u), values.dtype), np.flatnonzero(~ok)
+            out[ok] = values[at[ok]]
+            out[missing[by_bucket(u[missing])[0]]] = _joined(answers[sent], values.dtype.type)
+            return out
+
+        u, at = np.unique(h, return_inverse=True)
+        c, approx = filled(u, hh, hc, "wc")[at], count_of(filled(u, hh, hl, "wl"))
+        known = np.bincount(row, weights=c > 0, minlength=m).astype(np.int64)
+        base = np.bincount(row, weights=np.log10(c + ADD) - whole, minlength=m)
+        up, pat = np.unique(pair, return_inverse=True)
+        pairs = count_of(filled(up, fh, fl, "pl"))[pat]
+        context = np.concatenate([approx[np.searchsorted(u, END)][None], approx[at[:-1]]])  # the token before, END at first
+        single = (approx[at] + ADD) / (n + ADD * (v + 1))
+        p = PAIR_WEIGHT * np.minimum(1.0, pairs / np.maximum(context, 1)) + (1 - PAIR_WEIGHT) * single
+        score_ = np.bincount(row, weights=np.log10(np.minimum(p, 1.0)), minlength=m)
+        return pa.table({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": np.bincount(row, minlength=m), "n_known": known, "base_score": base, "score": score_})
+
+    bodies = cut(d.mapInArrow(bodies_of, "block long, body binary"))
+    asked = bodies.mapInArrow(ask, "block long, bucket long, w binary, p binary")
+    answers = asked.groupBy("bucket").cogroup(counts.select("bucket", "seg", "wh", "wc", "wl").groupBy("bucket")).applyInArrow(answer, "block long, bucket long, wc binary, wl binary, pl binary")
+    met = bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return met.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

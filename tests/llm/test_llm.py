@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import pytest
 from oracle import compare, connect
@@ -100,6 +101,21 @@ def test_lm(spark, docs):
     assert lm_score.score(empty(spark)).count() == 0
 
 
+def test_lm_keeps_every_pair(spark, docs):
+    """Neither pairs seen once nor the bounds of what is broadcast change a score."""
+    pairs = [(i, "%s c%d d%d" % (x, i, i), None, 1, 2, "n", 3) for i, x in enumerate(["a b", "a b", "b a", "a e", "b e"] * 40)]
+    text = spark.createDataFrame(pairs, SCHEMA)
+    held = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    train = [i for i, *_ in pairs if zlib.crc32(str(i).encode()) % 10]
+    once, never = f"c{train[0]} d{train[0]}", f"c{train[0]} d{train[1]}"
+    more = spark.createDataFrame([(held, once, None, 1, 2, "n", 3), (held, never, None, 1, 2, "n", 3)], SCHEMA)
+    got = sorted(r.score for r in lm_score.score(text.unionByName(more)).where(F.col("doc_id") == held).collect())
+    assert got[1] - got[0] > 0.5  # one of them has a pair that the training texts hold once
+    whole = sorted((str(r.doc_id), r.n_known, r.base_score, r.score) for r in lm_score.score(docs).collect())
+    bound = sorted((str(r.doc_id), r.n_known, r.base_score, r.score) for r in lm_score.score(docs, hot_words=2, max_filter_bytes=1).collect())
+    assert [x[:2] for x in whole] == [x[:2] for x in bound] and all(abs(a - b) < 1e-9 for x, y in zip(whole, bound) for a, b in zip(x[2:], y[2:]))
+
+
 def test_decontaminate(spark, docs):
     text = rows()[6][1].split(" ")
     items = spark.createDataFrame([("x", " ".join(text[5:20])), ("y", "W1 nothing here"), ("z", None), (None, " ".join(text[40:55])), ("s", "w%s" % text[0][1:])], "item_id string, text string")
