@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Fewer k-mers of queries than this are sent to every executor; more are joined by a shuffle.
+BROADCAST_KMERS = 500_000
+
 
 def filter_reads(reads: DataFrame, quality: Column, length: Column, least_quality: float, least_length: int) -> DataFrame:
     """reads with ``reason``: low_quality, too_short (in that order) or passed."""
@@ -37,17 +40,27 @@ def trim_end(sequence: Column, adapter: str, window: int) -> Column:
     return F.when(at > 0, F.substring(sequence, at + len(adapter), F.length(sequence))).otherwise(sequence)
 
 
-def kmer_candidates(q: DataFrame, r: DataFrame, q_id: str, r_id: str, text: str, k: int, least: int, top: int, most: int = 100_000) -> DataFrame:
-    """q_id, r_id, shared, containment: the best references of each query by distinct shared k-mers; k-mers in more than ``most`` references are not used."""
+def kmer_candidates(q: DataFrame, r: DataFrame, q_id: str, r_id: str, text: str, k: int, least: int, top: int) -> DataFrame:
+    """q_id, r_id, shared, containment: the best references of each query by distinct shared k-mers, however many references hold one.
+
+    K-mers that the same queries hold are one set: each reference counts its k-mers of
+    a set, and only these counts meet the queries of the set. Texts are cut into pieces
+    first, as taking a substring reads the text before it.
+    """
+    piece = 500
 
     def kmers(df: DataFrame, key: str) -> DataFrame:
-        places = F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1)))
-        return df.where(F.length(text) >= k).select(key, F.explode(F.array_distinct(F.transform(places, lambda i: F.col(text).substr(i, F.lit(k))))).alias("kmer"))
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - k) / piece).cast("int")), lambda i: F.col(text).substr(i * piece + 1, F.lit(piece + k - 1)))
+        places = F.sequence(F.lit(1), F.length("_piece") - k + 1)
+        parts = df.where(F.length(text) >= k).select(key, F.explode(pieces).alias("_piece"))
+        return parts.select(key, F.explode(F.array_distinct(F.transform(places, lambda i: F.col("_piece").substr(i, F.lit(k))))).alias("kmer"))
 
-    a, b = kmers(q, q_id), kmers(r, r_id)
-    usual = b.join(a.select("kmer").distinct(), "kmer", "left_semi")
-    rare = usual.groupBy("kmer").count().where(F.col("count") <= most).select("kmer")
+    a, b = kmers(q, q_id).distinct(), kmers(r, r_id)
     n = a.groupBy(q_id).agg(F.count("*").alias("_n"))
-    m = a.join(usual.join(rare, "kmer"), "kmer").groupBy(q_id, r_id).agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    sets = a.groupBy("kmer").agg(F.struct(F.bit_xor(F.xxhash64(q_id)).alias("x"), F.bit_xor(F.xxhash64(q_id, F.lit(1))).alias("y")).alias("_set"))
+    members = a.join(sets, "kmer").select("_set", q_id).distinct()
+    small = F.broadcast if sets.count() <= BROADCAST_KMERS else lambda df: df
+    held = b.join(small(sets), "kmer").repartition(r_id).dropDuplicates([r_id, "kmer"]).groupBy(r_id, "_set").agg(F.count("*").alias("_c"))
+    m = held.join(members, "_set").groupBy(q_id, r_id).agg(F.sum("_c").alias("shared")).where(F.col("shared") >= least)
     m = m.join(n, q_id).withColumn("containment", F.col("shared") / F.col("_n")).drop("_n")
     return m.withColumn("_r", F.row_number().over(Window.partitionBy(q_id).orderBy(F.desc("shared"), r_id))).where(F.col("_r") <= top).drop("_r")

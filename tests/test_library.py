@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from segtally.functions import expr as E
-from segtally.operators import depth, ranking, rollup
+from segtally.operators import depth, ranking, reads, rollup
 from segtally.plans import queries as plans
 from segtally.sources import files
 
@@ -66,3 +66,13 @@ def test_files(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("sample_id\thost \n s1 \tNA\n\t\n")
     assert [tuple(r) for r in files.read_table(spark, str(tmp_path / "m.tsv")).collect()] == [("s1", "NA")]
     assert [r["sample"] for r in files.discover_samples(spark, str(tmp_path), ".fastq").collect()] == ["a"]
+
+
+def test_kmers_of_many_references(spark):
+    text = "the license line that all of them hold"
+    docs = spark.range(100_001).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    items = spark.createDataFrame([("a", text), ("a", text), ("b", "x" * 990 + text), ("c", "y" * 50)], "item_id string, text string")
+    out = reads.kmer_candidates(items, docs, "item_id", "doc_id", "text", 24, 5, 2).orderBy("item_id", "doc_id").collect()
+    n = len(text) - 23
+    assert [(r.item_id, r.doc_id, r.shared) for r in out] == [("a", 0, n), ("a", 1, n), ("b", 0, n), ("b", 1, n)]
+    assert out[0].containment == 1.0 and out[2].containment < 1.0
