@@ -7,7 +7,8 @@ family is seen by its stem), and the share of words that only repeat the one
 before. A document's log weight is the sum over its distinct n-grams of
 log target/raw, the smaller of the two. Ratios are pulled to 0 by ``SURE``
 standard errors and left out under ``LEAST``, so n-grams seen a few times say
-nothing; every n-gram adds ``SLACK``, so that long documents do not fail by chance.
+nothing. A margin is added, the same for every length: the least that keeps ``KEEP``
+of the good labelled documents, each weighed by models fitted without its fold.
 The documents kept are the Gumbel top-k of the log weights, k being the number of
 documents whose weight is over 1.
 
@@ -34,9 +35,11 @@ from pyspark.sql import functions as F
 from .base import _ALNUM, _LOWER, _WS, _spans, blocks, cut, hashes, mix
 
 BITS = 18
-SURE, LEAST, SLACK = 2.5, 1.5, 0.01
+SURE, LEAST = 2.5, 1.5
 #: Labelled documents that the models are fitted on, at most.
 SAMPLE = 20_000
+#: Good labelled documents that the margin keeps, and folds that it is found on.
+KEEP, FOLDS = 0.99, 4
 TEMPERATURE = 0.1
 
 
@@ -63,19 +66,37 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return u >> BITS, u & ((1 << BITS) - 1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+def ratios_of(counts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log ratios, 2 x 2^BITS, and the log odds of the labels, 2."""
+    seen = counts + 0.5
+    ratios, odds = np.zeros((2, 1 << BITS), np.float32), np.full(2, 50.0)
+    for k in (1, 2):
+        if n[0] and n[k]:
+            r = np.log(seen[0] / n[0]) - np.log(seen[k] / n[k])
+            r = np.sign(r) * np.maximum(0, np.abs(r) - SURE * np.sqrt(1 / seen[0] + 1 / seen[k]))
+            ratios[k - 1] = np.where(np.abs(r) < LEAST, 0, r)
+            odds[k - 1] = np.log(n[0] / n[k])
+    return ratios, odds
+
+
+def weigh(row: np.ndarray, bucket: np.ndarray, n_rows: int, ratios: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    return np.min([np.bincount(row, weights=ratios[k][bucket], minlength=n_rows) + odds[k] for k in (0, 1)], axis=0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratios, 2 x 2^BITS, and the log odds of the labels with the margin, 2."""
     worst = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
-    chosen = worst.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.when(F.col("t") == 1, 2).when(F.col("q") == 1, 0).otherwise(1).alias("kind"))
-    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("kind", "text")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    chosen = worst.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.when(F.col("t") == 1, 2).when(F.col("q") == 1, 0).otherwise(1).alias("kind"), fold.alias("fold"))
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("kind", "fold", "text")
     chunk = BITS - 4
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros((3, 1 << BITS), np.int32), np.zeros(3, np.int64)
+        total, n = np.zeros((3 * FOLDS, 1 << BITS), np.int32), np.zeros(3 * FOLDS, np.int64)
         for batch, raw, offsets in blocks(batches):
-            kind = batch.column("kind").to_numpy()
+            kind = batch.column("kind").to_numpy() * FOLDS + batch.column("fold").to_numpy()
             row, bucket = features(raw, offsets)
-            for k in range(3):
+            for k in np.unique(kind):
                 n[k] += (kind == k).sum()
                 total[k] += np.bincount(bucket[kind[row] == k], minlength=1 << BITS).astype(np.int32)
         out = []
@@ -87,25 +108,32 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
         yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out) if out else [()] * 4, (pa.int32(), pa.binary(), pa.binary(), pa.int64()))], ["part", "at", "n", "docs"])
 
     def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(1 << chunk, np.int64)
+        total = np.zeros(1 << chunk, np.int32)
         for at, n in zip(t["at"], t["n"]):
             total[np.frombuffer(at.as_py(), np.int32) & ((1 << chunk) - 1)] += np.frombuffer(n.as_py(), np.int32)
         return pa.table({"part": t["part"][:1], "n": pa.array([total.tobytes()], pa.binary()), "docs": pa.array([sum(t["docs"].to_pylist())], pa.int64())})
 
     parts = labelled.mapInArrow(count, "part int, at binary, n binary, docs long").groupBy("part").applyInArrow(add, "part int, n binary, docs long")
-    counts, n = np.zeros((3, 16, 1 << chunk)), np.zeros(3)
-    for r in parts.collect():  # 48 rows of 128 kB at most
-        counts[r.part // 16, r.part % 16] = np.frombuffer(r.n, np.int64)
+    counts, n = np.zeros((3 * FOLDS, 16, 1 << chunk), np.int32), np.zeros(3 * FOLDS)
+    for r in parts.collect():  # 192 rows of 64 kB at most
+        counts[r.part // 16, r.part % 16] = np.frombuffer(r.n, np.int32)
         n[r.part // 16] = r.docs
-    seen = counts.reshape(3, -1) + 0.5
-    ratios, odds = np.zeros((2, 1 << BITS), np.float32), np.full(2, 50.0)
-    for k in (1, 2):
-        if n[0] and n[k]:
-            r = np.log(seen[0] / n[0]) - np.log(seen[k] / n[k])
-            r = np.sign(r) * np.maximum(0, np.abs(r) - SURE * np.sqrt(1 / seen[0] + 1 / seen[k]))
-            ratios[k - 1] = np.where(np.abs(r) < LEAST, 0, r)
-            odds[k - 1] = np.log(n[0] / n[k])
-    return ratios, odds
+    counts, n = counts.reshape(3, FOLDS, -1), n.reshape(3, FOLDS)
+    total, n_total = counts.sum(axis=1), n.sum(axis=1)
+    ratios, odds = ratios_of(total, n_total)
+    if not n_total[0]:
+        return ratios, odds
+    without = docs.sparkSession.sparkContext.broadcast([ratios_of(total - counts[:, f], n_total - n[:, f]) for f in range(FOLDS)])  # 8 MB
+
+    def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw, offsets in blocks(batches):
+            row, bucket = features(raw, offsets)
+            w = np.array([weigh(row, bucket, batch.num_rows, *model) for model in without.value])
+            yield pa.RecordBatch.from_arrays([pa.array(w[batch.column("fold").to_numpy(), np.arange(batch.num_rows)])], ["w"])
+
+    weights = labelled.where("kind = 0").mapInArrow(held_out, "w double").toArrow()["w"].to_numpy()  # a number a document of the sample
+    without.unpersist()
+    return ratios, odds + max(0.0, -np.quantile(weights, 1 - KEEP))
 
 
 def top_k(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_000) -> DataFrame:
@@ -137,7 +165,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
         for batch, raw, offsets in blocks(batches):
             row, bucket = features(raw, offsets)
             n = np.bincount(row, minlength=len(offsets) - 1)
-            w = np.min([np.bincount(row, weights=r[k][bucket], minlength=len(n)) + o[k] for k in (0, 1)], axis=0) + SLACK * n
+            w = weigh(row, bucket, len(n), r, o)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(w)], ["doc_id", "n_grams", "log_weight"])
 
     kind = dict(docs.dtypes)["doc_id"]

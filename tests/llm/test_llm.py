@@ -160,3 +160,11 @@ def test_url_tokens(spark):
     assert [r.verdict for r in url_filters.judge(pages, rules, 9).orderBy("page_id").collect()] == ["block", "block", "allow", "block", "block", "allow", "allow", "block"]
     dashed = spark.createDataFrame([(0, "http://www.my-site.org/a-b.c/d"), (1, "http://site.org/a-b.c/d")], "page_id int, url string")
     assert [r.verdict for r in url_filters.judge(dashed, rules, 9).orderBy("page_id").collect()] == ["block", "allow"]
+
+
+def test_quality_toxic(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    out = quality.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").join(docs.select("doc_id", F.size(F.split("text", r"\s+")).alias("n")), "doc_id").toPandas()
+    toxic = out[out.toxic == 1]
+    assert toxic.selected.mean() < 0.32
+    assert toxic[toxic.n >= 500].selected.mean() < 0.25  # length does not outvote toxic n-grams
