@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,12 +14,18 @@ TRUE_WORDS = ["true", "yes", "y", "1", "on"]
 UNKNOWN_WORDS = ["", "NA", "N/A", "NONE", "NO_HIT", "UNDETERMINED"]
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at its ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def clean(c: Column) -> Column:
-    return F.coalesce(F.trim(c), F.lit(""))
+    return F.coalesce(strip(c), F.lit(""))
 
 
-def parse_bool(c: Column) -> Column:
-    return F.lower(clean(c)).isin(TRUE_WORDS)
+def parse_bool(c: Column, run_level: bool = False) -> Column:
+    """Whether the text is a word for true; run tables know ``t`` too."""
+    return F.lower(clean(c)).isin([*TRUE_WORDS, "t"] if run_level else TRUE_WORDS)
 
 
 def first_nonempty(*cs: Column) -> Column:
@@ -69,9 +77,20 @@ def coverage_status(median: Column, breadth: Column, depth: float, least: float)
     return F.when((median >= depth) & (breadth >= least), "PASS").otherwise("FAIL")
 
 
-def segment_status(present: Column, error: Column, positions: Column, coverage: Column, length: Column, n: Column) -> Column:
+def segment_states(present: Column, error: Column, depth_error: Column, positions: Column, coverage: Column, length: Column, n: Column) -> dict[str, Column]:
+    """The four statuses of a segment. Inputs that are not there, then a broken sequence, then broken depths, then no positions decide before the measures do."""
+    no_depth = F.coalesce(positions, F.lit(0)) == 0
     good = (coverage == "PASS") & length.isin("PASS", "WARNING") & (n == "PASS")
-    return F.when(~present, "MISSING").when(error, "ERROR").when(F.coalesce(positions, F.lit(0)) == 0, "MISSING").when(good, "PASS").otherwise("FAIL")
+    either = lambda measured: F.when(~present, "MISSING").when(error, "ERROR").otherwise(measured)
+    return {
+        "coverage_status": F.when(~present, "MISSING").when(error, "NA").when(depth_error, "ERROR").when(no_depth, "MISSING").otherwise(coverage),
+        "length_status": either(length), "n_content_status": either(n),
+        "status": either(F.when(depth_error, "ERROR").when(no_depth, "MISSING").when(good, "PASS").otherwise("FAIL")),
+    }
+
+
+def segment_status(present: Column, error: Column, positions: Column, coverage: Column, length: Column, n: Column) -> Column:
+    return segment_states(present, error, F.lit(False), positions, coverage, length, n)["status"]
 
 
 def query_coverage(aligned: Column, query: Column) -> Column:
@@ -89,7 +108,7 @@ def normalize_screen(c: Column, strict: bool = False) -> Column:
 
 
 def normalize_unknown(c: Column) -> Column:
-    return F.when(F.upper(clean(c)).isin(UNKNOWN_WORDS), "Unknown").otherwise(F.trim(c))
+    return F.when(F.upper(clean(c)).isin(UNKNOWN_WORDS), "Unknown").otherwise(strip(c))
 
 
 def extract_subtype(c: Column, prefix: str) -> Column:
@@ -105,7 +124,7 @@ def genome_status(n: Column, full: int = 8) -> Column:
 
 
 def display_alias(*cs: Column) -> Column:
-    return F.coalesce(*(F.when(~F.upper(clean(c)).isin("", "UNKNOWN"), F.trim(c)) for c in cs), F.lit("Unknown"))
+    return F.coalesce(*(F.when(~F.upper(clean(c)).isin("", "UNKNOWN"), strip(c)) for c in cs), F.lit("Unknown"))
 
 
 def review_flags(pass_n: Column, screen: Column, failed: Column, consensus: Column, multiple: Column) -> Column:
@@ -116,10 +135,20 @@ def review_flags(pass_n: Column, screen: Column, failed: Column, consensus: Colu
     return first_nonempty(F.array_join(F.array_compact(flags), ";"), F.lit("NONE"))
 
 
+def selectors(model: Column) -> list[Column]:
+    """The consensus and variant selectors of a model; null without one."""
+    return [F.concat(model, F.lit(f":{kind}")).alias(f"{kind}_selector") for kind in ("consensus", "variant")]
+
+
 def header_value(c: Column, key: str) -> Column:
     return F.nullif(F.regexp_extract(c, rf"(?:^|\s){key}=(\S+)", 1), F.lit(""))
 
 
+def retention_changes(before: Column, after: Column, rate_before: Column, rate_after: Column, adapters: Column) -> list[Column]:
+    """Change of a rate in percentage points, and the share of reads with adapters (null if unknown)."""
+    return [*retention(before, after), (100 * (rate_after - rate_before)).alias("rate_points"), F.try_divide(adapters, before).alias("adapter_fraction")]
+
+
 def retention(before: Column, after: Column) -> list[Column]:
     return [F.greatest(before - after, F.lit(0)).alias("removed"), F.coalesce(F.try_divide(after, before), F.lit(0.0)).alias("retained")]
 
@@ -133,6 +162,16 @@ def format_fixed(c: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", c.cast("double"))
 
 
+def format_general(c: Column, digits: int = 6) -> Column:
+    """Text with ``digits`` significant digits, the shorter of fixed and scientific form, for sinks only."""
+    x = c.cast("double")
+    science = F.format_string(f"%.{digits - 1}e", x)
+    power = F.regexp_extract(science, r"e([+-]\d+)$", 1).cast("int")
+    fixed = reduce(lambda out, k: out.when(power == k, F.format_string(f"%.{digits - 1 - k}f", x)), range(-3, digits), F.when(power == -4, F.format_string(f"%.{digits + 3}f", x)))
+    short = F.coalesce(fixed, science)
+    return F.when(x == 0, "0").otherwise(F.regexp_replace(F.regexp_replace(short, r"(\.\d*?)0+(?=e|$)", "$1"), r"\.(?=e|$)", ""))
+
+
 def mean_quality(quality: Column) -> Column:
     """Arithmetic mean of Phred+33 values."""
     total = F.aggregate(F.transform(F.filter(F.split(quality, ""), lambda x: x != ""), lambda x: F.ascii(x) - 33), F.lit(0), lambda a, x: a + x)
@@ -158,3 +197,15 @@ def selection_reason(count: Column, fasta: Column, bam: Column, median: Column)
     have = F.when(fasta & bam, "FASTA+BAM pair available").when(fasta, "FASTA only").when(bam, "BAM only")
     depth = F.coalesce(F.concat(F.lit("median depth="), F.regexp_replace(median.cast("string"), r"\.0$", "")), F.lit("no parseable coverage table"))
     return F.concat_ws("; ", F.concat(F.lit("selected from "), count, F.lit(" candidate(s)")), have, depth)
+
+
+def qc_reason(status: Column, depth: float, breadth: float, most_n: float) -> Column:
+    """Why a segment has its status."""
+    rule = f"PASS asks for median depth >= {depth:.2f}, breadth >= {breadth:.3f}, N fraction <= {most_n:.4f} and a length in its bounds"
+    return F.when(status == "MISSING", "inputs or reference positions are missing").when(status == "ERROR", "an input could not be read").otherwise(rule)
+
+
+def screen_reason(name: str, flag: Column, contig: Column) -> Column:
+    """Why one side of a screen says nothing; null if it does."""
+    bad = F.coalesce(flag, F.lit("MISSING"))
+    return F.when(bad != "PASS", F.concat(F.lit(f"{name} QC="), bad)).when(F.upper(clean(contig)).isin("", "NA", "MISSING"), f"{name} contig unavailable")

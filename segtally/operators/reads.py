@@ -43,23 +43,35 @@ def trim_end(sequence: Column, adapter: str, window: int) -> Column:
 def kmer_candidates(q: DataFrame, r: DataFrame, q_id: str, r_id: str, text: str, k: int, least: int, top: int) -> DataFrame:
     """q_id, r_id, shared, containment: the best references of each query by distinct shared k-mers, however many references hold one.
 
-    K-mers that the same queries hold are one set: each reference counts its k-mers of
-    a set, and only these counts meet the queries of the set. Texts are cut into pieces
-    first, as taking a substring reads the text before it.
+    A window of k letters holds a whole seed, one of the pieces of (k + 1) // 2 letters
+    that a reference is cut into; so only windows round seeds that some query holds are
+    made and compared whole. K-mers that the same queries hold are one set: each
+    reference counts its k-mers of a set, and only these counts meet the queries of
+    the set. Texts are cut into chunks first, as taking a substring reads what stands before it.
     """
-    piece = 500
+    seed = (k + 1) // 2
+    chunk = seed * max(1, 480 // seed)
 
-    def kmers(df: DataFrame, key: str) -> DataFrame:
-        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - k) / piece).cast("int")), lambda i: F.col(text).substr(i * piece + 1, F.lit(piece + k - 1)))
-        places = F.sequence(F.lit(1), F.length("_piece") - k + 1)
-        parts = df.where(F.length(text) >= k).select(key, F.explode(pieces).alias("_piece"))
-        return parts.select(key, F.explode(F.array_distinct(F.transform(places, lambda i: F.col("_piece").substr(i, F.lit(k))))).alias("kmer"))
+    def chunks(df: DataFrame, key: str) -> DataFrame:
+        made = F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - k) / chunk).cast("int")), lambda i: F.substring(F.col(text), i * chunk + 1, F.lit(chunk + k - 1)))
+        return df.where(F.length(text) >= k).select(key, F.explode(made).alias("_chunk"))
 
-    a, b = kmers(q, q_id).distinct(), kmers(r, r_id)
+    def cut(first, last, size: int) -> Column:
+        return F.transform(F.sequence(first, last), lambda i: F.substring(F.col("_chunk"), i, F.lit(size)))
+
+    own = chunks(q, q_id)
+    a = own.select(q_id, F.explode(cut(F.lit(1), F.length("_chunk") - k + 1, k)).alias("kmer")).distinct()
     n = a.groupBy(q_id).agg(F.count("*").alias("_n"))
     sets = a.groupBy("kmer").agg(F.struct(F.bit_xor(F.xxhash64(q_id)).alias("x"), F.bit_xor(F.xxhash64(q_id, F.lit(1))).alias("y")).alias("_set"))
     members = a.join(sets, "kmer").select("_set", q_id).distinct()
-    small = F.broadcast if sets.count() <= BROADCAST_KMERS else lambda df: df
+    small = F.broadcast if a.count() <= BROADCAST_KMERS else lambda df: df
+    seeds = own.select(F.explode(cut(F.lit(1), F.length("_chunk") - seed + 1, seed)).alias("_seed")).distinct()
+    numbers = F.sequence(F.lit(0), F.floor(F.length("_chunk") / seed).cast("int") - 1)
+    placed = F.transform(numbers, lambda i: F.struct(i.alias("no"), F.substring(F.col("_chunk"), i * seed + 1, F.lit(seed)).alias("_seed")))
+    near = chunks(r, r_id).select(r_id, "_chunk", F.explode(placed).alias("_p")).select(r_id, "_chunk", "_p.no", "_p._seed").join(small(seeds), "_seed", "left_semi")
+    first = F.greatest(F.lit(1), F.col("no") * seed + 1 - (k - seed))
+    last = F.least(F.col("no") * seed + 1, F.length("_chunk") - k + 1)
+    b = near.where(first <= last).select(r_id, F.explode(cut(first, last, k)).alias("kmer"))
     held = b.join(small(sets), "kmer").repartition(r_id).dropDuplicates([r_id, "kmer"]).groupBy(r_id, "_set").agg(F.count("*").alias("_c"))
     m = held.join(members, "_set").groupBy(q_id, r_id).agg(F.sum("_c").alias("shared")).where(F.col("shared") >= least)
     m = m.join(n, q_id).withColumn("containment", F.col("shared") / F.col("_n")).drop("_n")

@@ -10,9 +10,26 @@ from pyspark.sql import functions as F
 from segtally.functions import expr as E
 
 
+#: A closed list of levels has at most so many rows; only such a list is sent to every executor.
+MOST_LEVELS = 10_000
+
+
+def closed_list(levels: DataFrame, most: int = MOST_LEVELS) -> DataFrame:
+    """levels for a broadcast; more than ``most`` rows raise, so that no large table is sent by mistake."""
+    if levels.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} levels: not a closed list")
+    return F.broadcast(levels)
+
+
 def segment_grid(samples: DataFrame, levels: DataFrame) -> DataFrame:
-    """Every sample with every level; levels is the closed list of segments, a few rows."""
-    return samples.crossJoin(F.broadcast(levels))
+    """Every sample with every level; levels is the closed list of segments."""
+    found = [x[0] if len(x) == 1 else tuple(x) for x in levels.distinct().limit(MOST_LEVELS + 1).collect()]
+    if len(found) > MOST_LEVELS:
+        raise ValueError(f"more than {MOST_LEVELS} levels: not a closed list")
+    name = levels.columns[0]
+    if len(levels.columns) > 1:
+        return samples.crossJoin(closed_list(levels))
+    return samples.withColumn(name, F.explode(F.array(*(F.lit(x).cast(levels.schema[0].dataType) for x in found)))) if found else samples.withColumn(name, F.lit(None).cast(levels.schema[0].dataType)).limit(0)
 
 
 def coverage_table(grid: DataFrame, keys: list[str], *parts: DataFrame) -> DataFrame:
@@ -61,11 +78,34 @@ def stage_wide(status: DataFrame, key: str, stage: str, stages: list[str], value
     return w.select(key, *(F.coalesce(F.col(f"`{s}`"), F.lit("NOT_RECORDED")).alias(s) for s in stages))
 
 
+def stage_status_wide(grid: DataFrame, status: DataFrame, keys: list[str], stage: str, stages: list[str], values: list[str]) -> DataFrame:
+    """Every grid row with a column <stage>_<value> each; blank or absent is NOT_RECORDED, values other than reasons in upper case."""
+    w = status.groupBy(*keys).pivot(stage, stages).agg(*(F.max(E.clean(F.col(v))).alias(v) for v in values))
+    found = lambda s, v: w.columns[len(keys) + stages.index(s) * len(values) + values.index(v)]
+    j = grid.join(w, keys, "left")
+
+    def shown(s: str, v: str) -> Column:
+        c = E.first_nonempty(F.col(f"`{found(s, v)}`"))
+        return (c if v == "reason" else F.upper(F.when(c == "", "NOT_RECORDED").otherwise(c))).alias(f"{s}_{v}")
+
+    return j.select(*grid.columns, *(shown(s, v) for s in stages for v in values))
+
+
+def stage_rollup(wide: DataFrame, key: str) -> DataFrame:
+    """Six counts a sample from stage_status_wide with the stages inference, consensus (status, source) and variant."""
+    i, c, v, source = (F.col(x) for x in ("inference_status", "consensus_status", "variant_status", "consensus_source"))
+    any_ = lambda word: (i == word) | (c == word)
+    return wide.groupBy(key).agg(
+        F.count_if((i != "NOT_RECORDED") | (c != "NOT_RECORDED") | (v != "NOT_RECORDED")).alias("status_records"), F.count_if((c == "SUCCESS") & (source == "MEDAKA")).alias("polished_segments"),
+        F.count_if(source == "IRMA_FALLBACK").alias("fallback_segments"), F.count_if(any_("FAILED") | (v == "FAILED")).alias("failed_segments"),
+        F.count_if(any_("SKIPPED_QC")).alias("skipped_qc_segments"), F.count_if(v == "FAILED").alias("variant_failed_segments"))
+
+
 def stage_status(flag: Column, inference: Column, tool_ok: Column, soft: bool = True) -> list[Column]:
     """status, source and reason of polishing. Without soft a failure raises."""
     s = [
-        (flag != "PASS", "SKIPPED_QC", "NONE", "segment_qc_failed"), (inference == "SKIPPED_QC", "SKIPPED_QC", "NONE", "inference_skipped_qc"),
-        (inference == "FAILED", "FAILED", "IRMA_FALLBACK", "medaka_inference_failed"), ((inference == "SUCCESS") & tool_ok, "SUCCESS", "MEDAKA", "polishing_completed"),
+        (F.coalesce(flag, F.lit("")) != "PASS", "SKIPPED_QC", "NONE", "segment_qc_failed"), (inference == "SKIPPED_QC", "SKIPPED_QC", "NONE", "inference_skipped_qc"),
+        (inference == "FAILED", "FAILED", "IRMA_FALLBACK", "medaka_inference_failed"), ((inference == "SUCCESS") & F.coalesce(tool_ok, F.lit(False)), "SUCCESS", "MEDAKA", "polishing_completed"),
         (inference == "SUCCESS", "FAILED", "IRMA_FALLBACK", "medaka_consensus_failed"),
     ]
     end = ("FAILED", "IRMA_FALLBACK", "invalid_inference_state")

@@ -2,102 +2,178 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from segtally.functions import expr as E
+from segtally.operators.reports import flatten_json
 
 
 def path_part(pattern: str) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
-def discover_samples(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
-    """sample, path, bytes of folder/{sample}suffix; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", F.col("length").alias("bytes"))
-    return files.withColumn("sample", F.regexp_extract("path", rf"([^/]+)\Q{suffix}\E$", 1)).dropDuplicates(["sample"])
+def with_keys(df: DataFrame, keys: dict[str, str] | None) -> DataFrame:
+    """df with a column for each of keys, name to pattern: the pattern's first group in the path of the file."""
+    return df.select(*(path_part(p).alias(n) for n, p in (keys or {}).items()), "*")
+
+
+def discover_samples(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """sample, path, bytes of folder/pattern, pattern being like ``{sample}.fastq.gz``; of several paths of a sample the first; contents are not read."""
+    before, found, after = pattern.partition("{sample}")
+    if not found:
+        raise ValueError(f"no {{sample}} in {pattern!r}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{before.rpartition('/')[2]}*{after}").load(folder).select("path", F.col("length").alias("bytes"))
+    name = F.nullif(F.regexp_extract("path", rf"(?:^|/)\Q{before}\E([^/]+)\Q{after}\E$", 1), F.lit(""))
+    return files.withColumn("sample", name).where("sample is not null").groupBy("sample").agg(F.min("path").alias("path"), F.min_by("bytes", "path").alias("bytes"))
 
 
-def read_table(spark: SparkSession, paths, sep: str = "\t") -> DataFrame:
-    """Names and values trimmed, everything a string; NA stays NA; blank rows are dropped."""
-    df = spark.read.csv(paths, sep=sep, header=True, inferSchema=False)
-    df = df.select(*(F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c.lstrip("﻿").strip()) for c in df.columns))
-    return df.where(F.concat_ws("", *df.columns) != "")
+def read_table(spark: SparkSession, paths, sep: str = "\t", keys: dict[str, str] | None = None) -> DataFrame:
+    """Names and values trimmed, everything a string; quotes double and may hold line feeds; NA stays NA; blank rows are dropped."""
+    df = spark.read.csv(paths, sep=sep, header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
+    values = [E.clean(F.col(f"`{c}`")).alias(c.lstrip("\ufeff").strip()) for c in df.columns]
+    blank = F.concat_ws("", *(E.clean(F.col(f"`{c}`")) for c in df.columns)) == ""
+    return df.where(~blank).select(*(path_part(p).alias(n) for n, p in (keys or {}).items()), *values)
 
 
 def read_flags(spark: SparkSession, paths, pattern: str) -> DataFrame:
-    return spark.read.text(paths, wholetext=True).select(path_part(pattern).alias("key"), F.coalesce(F.nullif(F.trim(F.regexp_replace("value", r"\s+", "")), F.lit("")), F.lit("MISSING")).alias("flag"))
+    return spark.read.text(paths, wholetext=True).select(path_part(pattern).alias("key"), F.coalesce(F.nullif(F.regexp_replace("value", r"\s+", ""), F.lit("")), F.lit("MISSING")).alias("flag"))
+
+
+def _file_lines(spark: SparkSession, paths) -> DataFrame:
+    """path, line_no, line: the lines of every file by number, however its blocks are read; any store and codec of Spark's readers."""
+    t = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    sizes = t.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("path", "block", (before - F.col("first")).alias("shift"))
+    return t.join(sizes, ["path", "block"]).select("path", (F.col("id") + F.col("shift")).alias("line_no"), "line")
+
 
+def read_fasta(spark: SparkSession, paths, keys: dict[str, str] | None = None, strict: bool = False) -> DataFrame:
+    """path, keys, id, sequence (upper case, white space out) of every record; a record begins at a line that starts with ``>``.
 
-def read_fasta(spark: SparkSession, paths) -> DataFrame:
-    """path, id, sequence (upper case, white space out) of every record."""
-    t = spark.read.option("lineSep", ">").text(paths).select(F.col("_metadata.file_path").alias("path"), "value").where("trim(value) != ''")
-    lines = F.split("value", r"\r?\n")
-    return t.select("path", F.split(lines[0], r"\s")[0].alias("id"), F.upper(F.regexp_replace(F.array_join(F.slice(lines, 2, F.size(lines)), ""), r"\s", "")).alias("sequence"))
+    strict: one row a file, with ``error`` where the file has no record, several, or an empty one.
+    """
+    lines = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), *(path_part(p).alias(n) for n, p in (keys or {}).items()), F.split("value", r"(?m)^>").alias("records"))
+    names = ["path", *(keys or {})]
+    record = lambda r: F.struct(F.split(r, r"\s", 2)[0].alias("id"), F.upper(F.regexp_replace(F.regexp_replace(r, r"^[^\r\n]*", ""), r"\s", "")).alias("sequence"))
+    lines = lines.select(*names, F.transform(F.slice("records", 2, F.size("records")), record).alias("r"))
+    if not strict:
+        return lines.select(*names, F.explode("r").alias("r")).select(*names, "r.id", "r.sequence")
+    error = F.when(F.size("r") == 0, "no record").when(F.size("r") > 1, "several records").when(F.col("r")[0]["sequence"] == "", "empty sequence")
+    good = lambda c: F.when(error.isNull(), F.col("r")[0][c])
+    return lines.select(*names, good("id").alias("id"), good("sequence").alias("sequence"), error.alias("error"))
 
 
-def read_depth(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.csv(paths, schema="contig string, pos int, depth int", sep="\t", mode="FAILFAST")
+def read_depth(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
+    """keys, contig, pos, depth; other than three fields or integers raise."""
+    return with_keys(spark.read.csv(paths, schema="contig string, pos int, depth int", sep="\t", mode="FAILFAST"), keys)
 
 
-def read_hits(spark: SparkSession, paths) -> DataFrame:
-    """12 columns of tabular hits; rows of fewer are an error, further fields are not read."""
-    names = "query_id subject_accession subject_title percent_identity:double alignment_length:int query_length:int query_start:int query_end:int subject_start:int subject_end:int evalue:double bit_score:double".split()
-    t = spark.read.text(paths).where("trim(value) != ''").withColumn("f", F.split("value", "\t"))
-    t = t.withColumn("f", F.when(F.size("f") >= 12, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("fewer than 12 fields: "), "value"))))
-    return t.select(*(F.col("f")[i].try_cast(n.partition(":")[2] or "string").alias(n.partition(":")[0]) for i, n in enumerate(names)))
+# The twelve columns of tabular hits, in order.
+HIT_COLUMNS = {
+    "query_id": "string", "subject_accession": "string", "subject_title": "string", "percent_identity": "double", "alignment_length": "int", "query_length": "int",
+    "query_start": "int", "query_end": "int", "subject_start": "int", "subject_end": "int", "evalue": "double", "bit_score": "double",
+}
 
 
-def read_lines(spark: SparkSession, paths) -> DataFrame:
+def read_hits(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
+    """keys and 12 columns of tabular hits; rows of fewer fields and values that are no numbers raise, further fields are not read."""
+    t = with_keys(spark.read.text(paths), keys).where("trim(value) != ''").withColumn("_f", F.split("value", "\t"))
+    t = t.withColumn("_f", F.when(F.size("_f") >= 12, F.col("_f")).otherwise(F.raise_error(F.concat(F.lit("fewer than 12 fields: "), "value"))))
+
+    def field(i: int, kind: str) -> Column:
+        c = F.col("_f")[i]
+        return c if kind == "string" else F.coalesce(E.strip(c).try_cast(kind), F.raise_error(F.concat(F.lit("no number: "), "value")).cast(kind))
+
+    return t.select(*(keys or {}), *(field(i, kind).alias(name) for i, (name, kind) in enumerate(HIT_COLUMNS.items())))
+
+
+def read_lines(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
     """Lines without comments and blanks, of lists and variant files."""
-    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("line")).where("line != '' and not startswith(line, '#')")
+    return with_keys(spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "_metadata", E.strip(F.col("value")).alias("line")), keys).drop("_metadata").where("line != '' and not startswith(line, '#')")
+
+
+def read_annotation_lists(passed: DataFrame, failed: DataFrame, *keys: str) -> DataFrame:
+    """keys, seq, status: the first word of each line of the two lists."""
+    one = lambda df, status: df.select(*keys, F.split("line", r"\s+")[0].alias("seq"), F.lit(status).alias("status"))
+    return one(passed, "PASS").unionByName(one(failed, "FAIL"))
 
 
 def read_alerts(lines: DataFrame, token: int = 0) -> DataFrame:
     low = F.lower("line")
-    return lines.select("path", F.split("line", r"\s+")[token].alias("seq"), (low.contains("fatal") | low.contains(" fail")).alias("fatal"))
+    return lines.select(*(c for c in lines.columns if c != "line"), F.split("line", r"\s+")[token].alias("seq"), (low.contains("fatal") | low.contains(" fail")).alias("fatal"))
 
 
-def read_alignments(spark: SparkSession, paths) -> DataFrame:
-    t = spark.read.text(paths).where("not startswith(value, '@')").select(F.split("value", "\t").alias("f"))
-    return t.select(F.col("f")[2].alias("contig"), F.col("f")[1].cast("int").alias("flag"), F.col("f")[3].cast("int").alias("pos"), F.col("f")[5].alias("cigar")).where("(flag & 1796) = 0")
+# Where a read report holds each field.
+READ_QC_FIELDS = {
+    "reads_before": "summary.before_filtering.total_reads", "bases_before": "summary.before_filtering.total_bases", "q20_rate_before": "summary.before_filtering.q20_rate", "q30_rate_before": "summary.before_filtering.q30_rate",
+    "reads_after": "summary.after_filtering.total_reads", "bases_after": "summary.after_filtering.total_bases", "q20_rate_after": "summary.after_filtering.q20_rate", "q30_rate_after": "summary.after_filtering.q30_rate",
+    "reads_passed": "filtering_result.passed_filter_reads", "reads_low_quality": "filtering_result.low_quality_reads", "reads_too_short": "filtering_result.too_short_reads", "reads_with_adapters": "adapter_cutting.adapter_trimmed_reads",
+}
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+def read_qc_fields(text: Column) -> list[Column]:
+    """The twelve fields of a read report, as text; NA where one is not there."""
+    return [F.coalesce(F.get_json_object(text, f"$.{path}"), F.lit("NA")).alias(name) for name, path in READ_QC_FIELDS.items()]
 
 
-class FastqReader(DataSourceReader):
-    def __init__(self, options):
-        self.files = options["files"].split("\n")
+def read_read_qc_json(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
+    t = with_keys(spark.read.text(paths, wholetext=True), keys)
+    return t.select(*(keys or {}), *read_qc_fields(F.col("value")))
 
-    def partitions(self):
-        return [_File(f) for f in self.files]
 
-    def read(self, partition):
-        import gzip
+def read_alignments(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Mapped primary alignments (keys, contig, flag, pos, cigar), and the references of the headers (keys, contig, length)."""
+    t = with_keys(spark.read.text(paths), keys)
+    names = list(keys or {})
+    f = F.split("value", "\t")
+    rows = t.where("not startswith(value, '@')").select(*names, f[2].alias("contig"), f[1].cast("int").alias("flag"), f[3].cast("int").alias("pos"), f[5].alias("cigar")).where("(flag & 1796) = 0")
+    field = lambda tag: F.regexp_extract("value", rf"\t{tag}:([^\t]*)", 1)
+    refs = t.where("startswith(value, '@SQ\t')").select(*names, field("SN").alias("contig"), field("LN").cast("long").alias("length")).distinct()
+    return rows, refs
 
-        with (gzip.open if partition.path.endswith(".gz") else open)(partition.path, "rt", encoding="utf-8", errors="replace") as f:
-            lines = iter(f)
-            for n, header in enumerate(lines, 1):
-                rest = [next(lines, None) for _ in range(3)]
-                if not header.startswith("@") or None in rest:
-                    raise ValueError(f"record {n} of {partition.path} is broken")
-                yield partition.path, n, header.strip(), rest[0].strip(), rest[2].strip()
 
+def list_artifacts(spark: SparkSession, root: str, sample: str) -> DataFrame:
+    """sample, contig, segment, kind, path, bytes of sequences, alignments and coverage tables below root; sample: pattern of the path. Contigs of no known segment are left out; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("bytes"))
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    low = F.lower(name)
+    kind = F.when(low.rlike(r"\.(fasta|fa|fas|fna)$"), "fasta").when(low.endswith(".bam"), "bam").when(low.endswith("-coverage.txt"), "coverage")
+    contig = F.when(low.endswith("-coverage.txt"), F.regexp_replace(name, r"(?i)-coverage\.txt$", "")).otherwise(F.regexp_replace(name, r"\.[^.]*$", ""))
+    found = files.select(F.regexp_extract("path", sample, 1).alias("sample"), contig.alias("contig"), E.segment_of_contig(contig).alias("segment"), kind.alias("kind"), "path", "bytes")
+    return found.where("kind is not null and segment is not null")
 
-class FastqSource(DataSource):
-    """format("fastq"), option files (paths, one a line): one partition a file, records numbered; paths that every executor can open."""
 
-    @classmethod
-    def name(cls):
-        return "fastq"
+def read_stage_status(spark: SparkSession, paths, keys: dict[str, str]) -> DataFrame:
+    """keys, status, source, reason of the first data row of each status table; empty files give nothing. keys as those of with_keys, by path."""
+    t = _file_lines(spark, paths).where("trim(line) != ''")
+    n = F.row_number().over(Window.partitionBy("path").orderBy("line_no"))
+    t = t.withColumn("_n", n).where("_n <= 2").groupBy("path").agg(F.max(F.when(F.col("_n") == 1, F.col("line"))).alias("h"), F.max(F.when(F.col("_n") == 2, F.col("line"))).alias("v")).where("v is not null")
+    names, values = F.transform(F.split("h", "\t"), E.strip), F.split("v", "\t")
+    get = lambda *cs: F.coalesce(*(E.strip(F.try_element_at(values, F.nullif(F.array_position(names, c), F.lit(0)).cast("int"))) for c in cs))
+    return t.select(*(F.regexp_extract("path", p, 1).alias(n) for n, p in keys.items()), get("status").alias("status"), get("consensus_source", "source").alias("source"), get("reason").alias("reason"))
 
-    def schema(self):
-        return "path string, read_no long, header string, sequence string, quality string"
 
-    def reader(self, schema):
-        return FastqReader(self.options)
+def read_fastq(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
+    """path, keys, read_no, header, sequence, quality of every record of four lines; a header without ``@`` and a short last record raise.
+
+    Lines are numbered by the blocks in which they are read, so one large plain file is
+    read by many tasks, from any store and codec that Spark reads.
+    """
+    at = F.col("line_no") % 4
+    pick = lambda i: F.max(F.when(at == i, F.col("line")))
+    r = _file_lines(spark, paths).groupBy("path", (F.floor(F.col("line_no") / 4) + 1).alias("read_no")).agg(pick(0).alias("header"), pick(1).alias("sequence"), pick(2).alias("_plus"), pick(3).alias("quality"), F.count("*").alias("_n"))
+    broken = F.raise_error(F.concat(F.lit("broken record "), F.col("read_no").cast("string"), F.lit(" of "), "path"))
+    header = F.when((F.col("_n") == 4) & F.col("header").startswith("@"), E.strip(F.col("header"))).otherwise(broken)
+    return r.select("path", *(F.regexp_extract("path", p, 1).alias(n) for n, p in (keys or {}).items()), "read_no", header.alias("header"), E.strip(F.col("sequence")).alias("sequence"), E.strip(F.col("quality")).alias("quality"))
+
+
+def read_manifest_record(spark: SparkSession, paths, keys: dict[str, str]) -> DataFrame:
+    """The first row of each one-row table, by keys of the path."""
+    t = read_table(spark, paths, keys=keys)
+    line = F.concat_ws("\t", *t.columns)
+    return t.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(line))).where("_r = 1").drop("_r")
 
 
 def write_table(df: DataFrame, path: str, columns: list[str], sep: str = "\t") -> None:
@@ -107,3 +183,27 @@ def write_table(df: DataFrame, path: str, columns: list[str], sep: str = "\t") -
 def write_fasta(seqs: DataFrame, path: str, by: str = "sample") -> None:
     """One folder a sample, records in the order of ``ord``; empty sequences are left out."""
     (seqs.where("sequence != ''").repartition(by).sortWithinPartitions(by, "ord").select(by, F.concat(F.lit(">"), "id", F.lit("\n"), "sequence").alias("value")).write.partitionBy(by).text(path))
+
+
+def write_by_sample(df: DataFrame, path: str, by: tuple[str, ...] = ("sample",)) -> None:
+    """Parquet, one folder a sample (and segment); rows of one are written by the tasks that hold them."""
+    df.write.partitionBy(*by).parquet(path)
+
+
+def write_validation_report(counts: DataFrame, issues: DataFrame, path: str) -> None:
+    """One text line for each counter (name, value) and each issue (level, message); errors raise after the report is written."""
+    lines = counts.select(F.lit(0).alias("o"), F.concat_ws("\t", "name", F.col("value").cast("string")).alias("value"))
+    lines = lines.unionByName(issues.select(F.lit(1).alias("o"), F.concat_ws("\t", "level", F.col("key").cast("string"), "message").alias("value")))
+    lines.orderBy("o", "value").select("value").write.text(path)
+    if not issues.where("level = 'ERROR'").isEmpty():
+        raise ValueError(f"errors in the metadata, see {path}")
+
+
+def write_provenance(df: DataFrame, path: str, run: str = "run", document: str = "document") -> None:
+    """path/json: a document a run; path/fields: run, field, value, sorted within each run."""
+    df.select(document).write.text(f"{path}/json")
+    flatten_json(df, run, document).repartition(run).sortWithinPartitions(run, "field").write.csv(f"{path}/fields", sep="\t", header=True, emptyValue="")
+
+
+def write_run_document(df: DataFrame, path: str, document: str = "document") -> None:
+    df.select(document).write.text(path)

@@ -59,13 +59,12 @@ def test_candidates_and_stage(spark):
 
 def test_files(spark, tmp_path):
     (tmp_path / "a.fastq").write_text("@r1 x\nACGT\n+\nIIII\n@r2\nAC\n+\nII\n")
-    spark.dataSource.register(files.FastqSource)
-    assert [r.read_no for r in spark.read.format("fastq").option("files", str(tmp_path / "a.fastq")).load().collect()] == [1, 2]
+    assert sorted((r.read_no, r.header, r.sequence, r.quality) for r in files.read_fastq(spark, str(tmp_path / "a.fastq")).collect()) == [(1, "@r1 x", "ACGT", "IIII"), (2, "@r2", "AC", "II")]
     (tmp_path / "x.fasta").write_text(">c1 d\nac\ngt\n>c2\nNN\n")
     assert [(r.id, r.sequence) for r in files.read_fasta(spark, str(tmp_path / "x.fasta")).collect()] == [("c1", "ACGT"), ("c2", "NN")]
     (tmp_path / "m.tsv").write_text("sample_id\thost \n s1 \tNA\n\t\n")
     assert [tuple(r) for r in files.read_table(spark, str(tmp_path / "m.tsv")).collect()] == [("s1", "NA")]
-    assert [r["sample"] for r in files.discover_samples(spark, str(tmp_path), ".fastq").collect()] == ["a"]
+    assert [r["sample"] for r in files.discover_samples(spark, str(tmp_path), "{sample}.fastq").collect()] == ["a"]
 
 
 def test_kmers_of_many_references(spark):
