@@ -7,7 +7,9 @@ no Python string is made for a document.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -28,9 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share; one of this machine where it is unset."""
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share; one of this machine where it is unset and the master is local."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))  # one machine, as in tests
         found = spark.sparkContext.getCheckpointDir()
     return found
@@ -42,6 +46,49 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+class Scratch:
+    """Tables of intermediate rows in the shared folder, which go when they are superseded."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.paths = spark, f"{shared_folder(spark)}/segtally-{uuid.uuid4().hex}", {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{len(self.paths)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)  # the frame is held, so that its id stays its own
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        for f in frames:
+            remove(self.spark, self.paths[id(f)][0])
+
+    def drop_all_but(self, *frames: DataFrame) -> None:
+        """For the end, when only these tables are still read by what is returned."""
+        self.drop(*(f for k, (_, f) in self.paths.items() if k not in {id(x) for x in frames}))
+
+
+def free_name(stem: str, *taken: list[str]) -> str:
+    """A column name that none of the lists holds, in any case of letters."""
+    used = {c.lower() for names in taken for c in names}
+    return next(n for n in (f"{stem}{i}" for i in range(len(used) + 1)) if n.lower() not in used)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, n: int):
     """Sends at most n rows at a time to Python for what runs inside; for rows of a megabyte."""
@@ -68,6 +115,9 @@ _ALNUM[48:58] = _ALNUM[97:123] = _ALNUM[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _P = 0x9E3779B97F4A7C15 | 1
+#: The first 0 to 8 bytes of a little-endian value.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG_WORD = 256
 _POW = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -133,11 +183,23 @@ def words(raw: np.ndarray, offsets: np.ndarray, alnum: bool = False) -> tuple[np
 
 
 def hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range, the same wherever the range stands."""
-    up, down = powers(len(low) + 1)
-    total = np.zeros(len(low) + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of each byte range, the same wherever the range stands.
+
+    Eight bytes at a time go through a bijection that mixes all that came before, so
+    no sums of powers cancel; ranges of over ``LONG_WORD`` bytes are hashed by BLAKE2.
+    """
+    n = (ends - starts).astype(np.int64)
+    eight = np.ndarray(len(low) + 1, "<u8", np.concatenate([low, np.zeros(8, np.uint8)]), strides=(1,))
+    h = mix(n.astype(np.uint64) + np.uint64(_P))
+    far = n > LONG_WORD
+    todo, k = np.flatnonzero((n > 0) & ~far), 0
+    while len(todo):
+        rest = n[todo] - k
+        h[todo] = mix(h[todo] ^ ((eight[starts[todo] + k] & _FIRST[np.minimum(rest, 8)]) * np.uint64(_P)))
+        todo, k = todo[rest > 8], k + 8
+    for i in np.flatnonzero(far):
+        h[i] = int.from_bytes(hashlib.blake2b(low[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def windows(h: np.ndarray, size: int) -> np.ndarray:
@@ -148,3 +210,12 @@ def windows(h: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = out * np.uint64(_P) + h[k : len(h) - size + 1 + k]
     return mix(out)
+
+
+def by_bucket(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the keys by bucket, the buckets that occur, and where each begins in that order, with the end behind."""
+    b = (keys % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(b, kind="stable")
+    b = b[order]
+    start = np.flatnonzero(np.diff(b, prepend=-1))
+    return order, b[start], np.append(start, len(b))
