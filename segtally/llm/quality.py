@@ -2,25 +2,28 @@
 
 Two kinds of raw text stand against the target text: documents labelled of low
 quality, and toxic ones. Each of the three is a generative model of hashed
-n-grams: words and runs of signs, pairs of them, beginnings of words (a word
-family is seen by its stem), and the share of words that only repeat the one
-before. A document's log weight is the sum over its distinct n-grams of
+n-grams: words and runs of signs, pairs of them, beginnings of words of 4, 6 and 8
+letters (a word family is seen by its stem), the share of words that only repeat the
+one before, and the share of words in capitals. A document's log weight is the sum over its distinct n-grams of
 log target/raw, the smaller of the two. Ratios are pulled to 0 by ``SURE``
 standard errors and left out under ``LEAST``, so n-grams seen a few times say
 nothing. A margin is added, the same for every length: the least that keeps ``KEEP``
 of the good labelled documents, each weighed by models fitted without its fold.
 The documents kept are the Gumbel top-k of the log weights, k being the number of
-documents whose weight is over 1.
+documents whose weight is over 1. Keys carry the noise of a hash of the id at full
+scale, so reruns agree; rows of one id and text are drawn alike.
 
 The models are fitted on at most ``sample`` labelled documents (a documented
-bound; the smallest hashes of their ids are taken) and hold 2^18 buckets; all
+bound; the smallest hashes of their ids are taken) and hold 2^20 buckets; all
 documents are scored by their whole text. The k-th key is found by narrowing
 histograms, never by sorting all rows in one task.
 
 Defined cases: null and "" have no n-grams and weigh as the labels' odds do;
 labels that are null or contradict each other count as the worst of them; without
-labels of one kind that kind's models say nothing; equal keys go by id; repeated
-rows are scored alike; an empty table gives an empty table.
+labels of one kind that kind's models say nothing; rows with the key of the last
+one selected are selected with it; repeated rows are scored alike; a text of any
+length is one row of one task, which holds about forty times its bytes; an empty
+table gives an empty table; other columns come through, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,18 +32,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import _ALNUM, _LOWER, _WS, _spans, blocks, cut, hashes, mix
+from .base import _ALNUM, _LOWER, _WS, _spans, blocks, cut, free_name, hashes, mix
 
-BITS = 18
-SURE, LEAST = 2.5, 1.5
+BITS = 20
+BEGINNINGS = (4, 6, 8)
+SURE, LEAST = 2.0, 1.0
 #: Labelled documents that the models are fitted on, at most.
 SAMPLE = 20_000
 #: Good labelled documents that the margin keeps, and folds that it is found on.
 KEEP, FOLDS = 0.99, 4
-TEMPERATURE = 0.1
+TEMPERATURE = 1.0
 
 
 def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,10 +61,17 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     pair = mix(h[:-1] * np.uint64(3) + h[1:])
     n = len(offsets) - 1
     repeats = np.bincount(row[:-1][same & (h[:-1] == h[1:])], minlength=n)
-    share = -(-8 * repeats // np.maximum(1, np.bincount(row, minlength=n)))
-    again = np.flatnonzero(share)
-    grams = [h, pair[same], *(mix(hashes(low, s, np.minimum(e, s + k)) + np.uint64(k)) for k in (4, 5)), mix(share[again].astype(np.uint64) + np.uint64(77))]
-    rows = [row, row[:-1][same], row, row, again]
+    large = np.concatenate([[0], np.cumsum((raw >= 65) & (raw <= 90))])
+    capitals = np.bincount(row[large[e] - large[s] > 1], minlength=n)
+    grams, rows = [h, pair[same]], [row, row[:-1][same]]
+    for seed, count in ((77, repeats), (177, capitals)):
+        share = -(-8 * count // np.maximum(1, np.bincount(row, minlength=n)))
+        grams.append(mix(share[share > 0].astype(np.uint64) + np.uint64(seed)))
+        rows.append(np.flatnonzero(share))
+    for k in BEGINNINGS:
+        long = np.flatnonzero(e - s >= k)
+        grams.append(mix(hashes(low, s[long], s[long] + k) + np.uint64(k)))
+        rows.append(row[long])
     u = np.sort((np.concatenate(rows).astype(np.int64) << BITS) | (np.concatenate(grams) >> np.uint64(64 - BITS)).astype(np.int64))
     u = u[np.concatenate([[True], u[1:] != u[:-1]])] if len(u) else u
     return u >> BITS, u & ((1 << BITS) - 1)
@@ -115,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
 
     parts = labelled.mapInArrow(count, "part int, at binary, n binary, docs long").groupBy("part").applyInArrow(add, "part int, n binary, docs long")
     counts, n = np.zeros((3 * FOLDS, 16, 1 << chunk), np.int32), np.zeros(3 * FOLDS)
-    for r in parts.collect():  # 192 rows of 64 kB at most
+    for r in parts.collect():  # 192 rows of 256 kB at most
         counts[r.part // 16, r.part % 16] = np.frombuffer(r.n, np.int32)
         n[r.part // 16] = r.docs
     counts, n = counts.reshape(3, FOLDS, -1), n.reshape(3, FOLDS)
@@ -123,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     ratios, odds = ratios_of(total, n_total)
     if not n_total[0]:
         return ratios, odds
-    without = docs.sparkSession.sparkContext.broadcast([ratios_of(total - counts[:, f], n_total - n[:, f]) for f in range(FOLDS)])  # 8 MB
+    without = docs.sparkSession.sparkContext.broadcast([ratios_of(total - counts[:, f], n_total - n[:, f]) for f in range(FOLDS)])  # 32 MB
 
     def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in blocks(batches):
@@ -136,29 +147,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     return ratios, odds + max(0.0, -np.quantile(weights, 1 - KEEP))
 
 
-def top_k(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_000) -> DataFrame:
-    """rows with ``selected`` for the k largest keys; equal keys go by doc_id. Rows are read several times: cut them before."""
-    lo, hi = rows.agg(F.min(key), F.max(key)).first()
-    inside, above, need, col = F.lit(True), F.lit(False), k, F.col(key)
-    while lo is not None and hi > lo:
+def kth_largest(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_000) -> float | None:
+    """The k-th largest value of key; None if k is 0 or there are fewer. Rows are read several times: cut them before."""
+    col, (lo, hi, n) = F.col(key), rows.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not 0 < k <= n:
+        return None
+    inside, need = F.lit(True), k
+    while n > small and hi > lo:
         bin_: Column = F.least(F.floor((col - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1))
-        counts = dict(rows.where(inside).groupBy(bin_.alias("b")).count().collect())  # one row a bin
-        at = bins - 1
-        while at > 0 and need - counts.get(at, 0) >= 0:
-            need -= counts.get(at, 0)
-            at -= 1
-        above, inside = above | (inside & (bin_ > at)), inside & (bin_ == at)
-        if counts.get(at, 0) <= small or counts.get(at, 0) == sum(counts.values()) and (hi - lo) < 1e-9:
-            break
-        lo, hi = lo + at * (hi - lo) / bins, lo + (at + 1) * (hi - lo) / bins
-    edge = rows.where(inside).withColumn("selected", F.row_number().over(Window.orderBy(F.desc(key), "doc_id")) <= need)
-    return rows.where(~inside).withColumn("selected", above).unionByName(edge)
+        found = {r.b: r for r in rows.where(inside).groupBy(bin_.alias("b")).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).collect()}  # one row a bin
+        at = next(b for b in sorted(found, reverse=True) if (need := need - found[b].n) <= 0)
+        need, inside = need + found[at].n, inside & (col >= found[at].lo) & (col <= found[at].hi)
+        if (found[at].lo, found[at].hi, found[at].n) == (lo, hi, n):
+            break  # values a rounding apart
+        lo, hi, n = found[at].lo, found[at].hi, found[at].n
+    if hi == lo or n > small:
+        return lo
+    return rows.where(inside).orderBy(F.desc(key)).limit(need).agg(F.min(key)).first()[0]
+
+
+def top_k(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_000) -> DataFrame:
+    """rows with ``selected`` for the k largest keys, and for all that equal the last of them."""
+    last = kth_largest(rows, key, min(k, rows.count()), bins, small)
+    return rows.withColumn("selected", F.lit(False) if last is None else F.coalesce(F.col(key) >= F.lit(last), F.lit(False)))
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, n_grams, log_weight, gumbel_key of every row of docs."""
+    """doc_id, text_hash, n_grams, log_weight, gumbel_key of every row of docs."""
     ratios, odds = fit(docs, labels, sample)
-    model = docs.sparkSession.sparkContext.broadcast((ratios, odds))  # 2 MB
+    model = docs.sparkSession.sparkContext.broadcast((ratios, odds))  # 8 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r, o = model.value
@@ -166,21 +183,24 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
             row, bucket = features(raw, offsets)
             n = np.bincount(row, minlength=len(offsets) - 1)
             w = weigh(row, bucket, len(n), r, o)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(w)], ["doc_id", "n_grams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(n), pa.array(w)], ["doc_id", "text_hash", "n_grams", "log_weight"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_grams long, log_weight double")
+    scored = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").mapInArrow(run, f"doc_id {kind}, text_hash long, n_grams long, log_weight double")
     u = (F.xxhash64(F.col("doc_id"), F.lit("gumbel")).bitwiseAND((1 << 52) - 1).cast("double") + 0.5) / float(1 << 52)
     return scored.withColumn("gumbel_key", F.col("log_weight") - TEMPERATURE * F.log(-F.log(u)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """score() with ``selected``: the Gumbel top-k."""
-    rows = cut(score(docs, labels, sample))
+    rows = cut(score(docs, labels, sample).drop("text_hash"))
     return top_k(rows, "gumbel_key", rows.where("log_weight > 0").count())
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs whose document is selected, with all their columns."""
-    out = classify(docs, labels, sample).where("selected").select(F.col("doc_id").alias("_keep"))
-    return docs.join(out, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    """The rows of docs that are selected, with all their columns; rows of one id stand or fall by their own texts."""
+    key, text = free_name("_key", docs.columns), free_name("_text", docs.columns)
+    rows = docs.withColumn(text, F.xxhash64(F.coalesce("text", F.lit(""))))
+    scored = cut(score(docs, labels, sample))
+    out = top_k(scored, "gumbel_key", scored.where("log_weight > 0").count()).where("selected").select(F.col("doc_id").alias(key), "text_hash").distinct()
+    return rows.join(out, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text) == F.col("text_hash")), "left_semi").drop(text)
