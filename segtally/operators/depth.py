@@ -11,12 +11,13 @@ from segtally.functions import expr as E
 from segtally.operators.rollup import closed_list
 
 
-def depth_stats(depth: DataFrame, keys: list[str], value: str, threshold: float) -> DataFrame:
-    """positions, median, mean, min, max and breadth of each key; exact median over all references of a key."""
+def depth_stats(depth: DataFrame, keys: list[str], value: str, threshold: float, contig: str | None = None) -> DataFrame:
+    """positions, median, mean, min, max and breadth of each key; exact median over all references of a key, whose names are listed with ``contig``."""
     c = F.col(value)
+    names = [F.array_join(F.array_sort(F.collect_set(contig)), ",").alias("contigs")] if contig else []
     return depth.groupBy(*keys).agg(
         F.count(c).alias("positions"), F.median(c).alias("median_depth"), F.avg(c).alias("mean_depth"), F.min(c).alias("min_depth"),
-        F.max(c).alias("max_depth"), F.avg(F.when(c >= threshold, 1.0).otherwise(0.0)).alias("breadth_covered"))
+        F.max(c).alias("max_depth"), F.avg(F.when(c >= threshold, 1.0).otherwise(0.0)).alias("breadth_covered"), *names)
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame, key: str, overrides: dict[str, tuple[int, int]] | None = None) -> DataFrame:

@@ -14,17 +14,25 @@ def filter_reads(reads: DataFrame, quality: Column, length: Column, least_qualit
     return reads.withColumn("reason", F.when(quality < least_quality, "low_quality").when(length < least_length, "too_short").otherwise("passed"))
 
 
-def read_qc_summary(flagged: DataFrame, keys: list[str], length: str) -> DataFrame:
+def read_qc_summary(flagged: DataFrame, keys: list[str], length: str, quality: str | None = None) -> DataFrame:
+    """Reads and bases before and after the filter with the reasons; with a Phred+33 quality text also the shares of bases of at least Q20 and Q30."""
     kept = F.col("reason") == "passed"
+    bases = {"before": F.col(length), "after": F.when(kept, F.col(length))}
+    rates = []
+    for when, of in (("before", F.lit(True)), ("after", kept)) if quality else ():
+        for name, good in (("q20", "[5-~]"), ("q30", "[?-~]")):
+            rates.append(F.coalesce(F.try_divide(F.sum(F.when(of, F.regexp_count(quality, F.lit(good)))), F.sum(bases[when])), F.lit(0.0)).alias(f"{name}_rate_{when}"))
     return flagged.groupBy(*keys).agg(
-        F.count("*").alias("reads_before"), F.sum(length).alias("bases_before"), F.count_if(kept).alias("reads_after"), F.coalesce(F.sum(F.when(kept, F.col(length))), F.lit(0)).alias("bases_after"),
-        F.count_if(F.col("reason") == "low_quality").alias("low_quality"), F.count_if(F.col("reason") == "too_short").alias("too_short"))
+        F.count("*").alias("reads_before"), F.sum(length).alias("bases_before"), F.count_if(kept).alias("reads_after"), F.coalesce(F.sum(bases["after"]), F.lit(0)).alias("bases_after"),
+        F.count_if(F.col("reason") == "low_quality").alias("low_quality"), F.count_if(F.col("reason") == "too_short").alias("too_short"), *rates)
 
 
-def read_set_stats(reads: DataFrame, keys: list[str], length: str) -> DataFrame:
+def read_set_stats(reads: DataFrame, keys: list[str], length: str, quality: str | None = None) -> DataFrame:
+    """quality: column of a read's mean quality."""
+    more = [F.avg(quality).alias("mean_quality"), F.median(quality).alias("median_quality")] if quality else []
     return reads.groupBy(*keys).agg(
         F.count("*").alias("reads"), F.sum(length).alias("bases"), F.avg(length).alias("mean_length"), F.median(length).alias("median_length"),
-        F.stddev(length).alias("sd_length"), F.max(length).alias("max_length"))
+        F.stddev(length).alias("sd_length"), F.max(length).alias("max_length"), *more)
 
 
 def end_kmers(reads: DataFrame, sequence: Column, k: int, top: int) -> DataFrame:
@@ -40,6 +48,19 @@ def trim_end(sequence: Column, adapter: str, window: int) -> Column:
     return F.when(at > 0, F.substring(sequence, at + len(adapter), F.length(sequence))).otherwise(sequence)
 
 
+def trim_ends(sequence: Column, adapters: list[str], window: int) -> list[Column]:
+    """sequence without the adapters that stand within ``window`` letters of either end and all beyond them, and whether any was cut."""
+    size = F.length(sequence)
+    near = F.least(size, F.lit(window))
+    head, tail = F.substring(sequence, F.lit(1), near), F.substring(sequence, size - near + 1, near)
+    starts = [F.when(F.locate(a, head) > 0, F.locate(a, head) + len(a) - 1).otherwise(0) for a in adapters]
+    first = F.greatest(F.lit(0), *starts, F.lit(0))
+    ends = [F.when(F.locate(a, tail) > 0, size - near + F.locate(a, tail) - 1).otherwise(size) for a in adapters]
+    last = F.least(size, *ends, size)
+    last = F.when(last > first, last).otherwise(F.when(first > 0, size).otherwise(last))  # of a short read the start wins
+    return [F.substring(sequence, first + 1, F.greatest(last - first, F.lit(0))).alias("sequence"), ((first > 0) | (last < size)).alias("trimmed")]
+
+
 def kmer_candidates(q: DataFrame, r: DataFrame, q_id: str, r_id: str, text: str, k: int, least: int, top: int) -> DataFrame:
     """q_id, r_id, shared, containment: the best references of each query by distinct shared k-mers, however many references hold one.
 

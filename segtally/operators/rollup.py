@@ -36,6 +36,33 @@ def coverage_table(grid: DataFrame, keys: list[str], *parts: DataFrame) -> DataF
     return reduce(lambda a, b: a.join(b, keys, "left"), parts, grid)
 
 
+def segment_table(grid: DataFrame, manifest: DataFrame, stats: DataFrame, flags: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each grid row with measures and statuses as text: what QC measured comes before the manifest, that before a default.
+
+    manifest: contig, fasta_length, status, candidate_count, selection_status,
+    selection_reason; stats: columns of the same names and measures, any of them absent;
+    flags: flag.
+    """
+    tables = {"s": stats, "m": manifest, "f": flags}
+    j = grid
+    for short, t in tables.items():
+        j = j.join(t.select(*keys, *(F.col(c).cast("string").alias(f"_{short}_{c}") for c in t.columns if c not in keys)), keys, "left")
+
+    def first(*names: str, default: str) -> Column:
+        there = [F.col(f"_{n}") for n in names if f"_{n}" in j.columns]
+        return E.first_nonempty(*(E.strip(c) for c in there), F.lit(default))
+
+    count = F.coalesce(first("m_candidate_count", "s_candidate_count", default="0").try_cast("int"), F.lit(0))
+    status = first("s_status", "f_flag", default="MISSING")
+    selection = E.first_nonempty(first("m_selection_status", "s_selection_status", default=""), F.when(count > 1, "MULTIPLE_CANDIDATES").when(count == 1, "UNIQUE").otherwise("MISSING"))
+    plain = {"median_depth": "NA", "mean_depth": "NA", "breadth_covered": "NA", "n_count": "0", "n_fraction": "NA", "expected_length_min": "NA", "expected_length_max": "NA", "maximum_n_fraction": "NA"}
+    return j.select(
+        *grid.columns, first("s_contig", "m_contig", default="NA").alias("contig"), first("s_consensus_length", "m_fasta_length", default="0").alias("length"), first("s_positions", default="0").alias("coverage_positions"),
+        *(first(f"s_{c}", default=d).alias(c) for c, d in plain.items()), first("s_coverage_status", "f_flag", default="MISSING").alias("coverage_status"), first("s_length_status", default="NA").alias("length_status"),
+        first("s_n_content_status", default="NA").alias("n_content_status"), status.alias("overall_status"), status.alias("coverage_flag"), first("m_status", default="MISSING").alias("assembly_status"),
+        count.alias("candidate_count"), selection.alias("selection_status"), first("m_selection_reason", default="").alias("selection_reason"), first("s_qc_reason", default="").alias("qc_reason"))
+
+
 def pair_artifacts(artifacts: DataFrame) -> DataFrame:
     """sample, contig, and the first path and bytes of each kind."""
     return artifacts.groupBy("sample", "contig").pivot("kind", ["fasta", "bam", "coverage"]).agg(F.min("path").alias("path"), F.min_by("bytes", "path").alias("bytes"))

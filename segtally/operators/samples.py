@@ -214,3 +214,20 @@ def compare_runs(fields: DataFrame, run: str = "run") -> DataFrame:
     return fields.groupBy("field").agg(F.count_distinct(F.coalesce("value", F.lit("null"))).alias("distinct_values"), F.count_distinct(run).alias("runs"))
 
 
+
+
+def run_report(run: DataFrame) -> dict[str, DataFrame]:
+    """The tables of a run report, from run_summary: completeness and screen overviews, samples that need attention or review, and distributions."""
+    title = {"sample_id": "Sample", "host": None, "potential_subtype": "Subtype", "pass_segments": "Passing segments", "genome_status": None, "h5n1_screen": "H5N1 screen", "review_required": None, "review_reason": None}
+    depth_ = E.min_nullsafe(*(F.col(f"{x}_median_depth").try_cast("double") for x in ("ha", "na")))
+    return {
+        "overview": rollup.overview(run, "genome_status", ["Complete", "Near-complete", "Partial", "Failed"]), "screens": rollup.overview(run, "h5n1_screen", ["DETECTED", "NOT_DETECTED", "INDETERMINATE", "MISSING"]),
+        "attention": report_view(attention(run), title), "review": report_view(run.where("review_required"), title), "samples": report_view(run, title),
+        "ha_calls": ranking.order_by_count(run, "ha_call"), "na_calls": ranking.order_by_count(run, "na_call"), "passing_segments": rollup.histogram(run, "pass_segments", 1, 8), "minimum_depths": equal_bins(run.withColumn("_depth", depth_), "_depth"),
+    }
+
+
+def sample_report(summary: DataFrame, wide: DataFrame, counts: DataFrame, key: str = "sample") -> dict[str, DataFrame]:
+    """The tables of all sample reports: header cards, the variants of each segment, and notes where polishing fell back or failed."""
+    changed = wide.where((F.col("consensus_source") == "IRMA_FALLBACK") | F.col("inference_status").isin("FAILED") | F.col("consensus_status").isin("FAILED"))
+    return {"cards": sample_cards(summary, key), "variants": variant_table(wide, counts, [key, "segment"]), "notes": changed.select(key, "segment", "consensus_status", "consensus_source", E.first_nonempty(F.col("consensus_reason"), F.col("inference_reason")).alias("reason"))}

@@ -153,6 +153,9 @@ def test_jobs_from_files(spark, tmp_path):
     run = {x.sample_id: x for x in jobs.run_job(spark, str(root), [s]).collect()}
     assert (run["s1"].ha_call, run["s1"].genome_status, run["s1"].fallback_segments, run["s1"].polished_segments, run["s2"].status_records) == ("H5", "Near-complete", 1, 1, 0)
     assert run["s1"].review_reason.endswith("Medaka: 1 failed segment(s); 1 IRMA fallback segment(s)")
+    report = samples.run_report(jobs.run_job(spark, str(root), [s]))
+    assert dict(rows(report["overview"], "status", "n")) == {"Complete": 0, "Near-complete": 1, "Partial": 0, "Failed": 1} and report["attention"].columns[:2] == ["Sample", "Host"]
+    assert rows(report["ha_calls"]) == [("H5", 1), ("Unknown", 1)] and report["minimum_depths"].agg(F.sum("n")).first()[0] == 1 and report["review"].count() == 2
     assert rows(samples.attention(s), "sample") == [("s1",)]
     assert {x.metric: x.value for x in samples.sample_cards(s.where("sample = 's1'")).collect()}["Passing segments"] == "7/8"
 
@@ -197,3 +200,27 @@ def test_small_operators(spark):
     got = [(r.g, r.x, r.read_no) for r in ranking.renumber(spark.createDataFrame([("a", None), ("a", 5), ("a", 1), (None, 2), (None, 2)], "g string, x int"), ["g"], ["x"]).collect()]
     assert sorted(got, key=str) == sorted([("a", None, 1), ("a", 1, 2), ("a", 5, 3), (None, 2, 1), (None, 2, 2)], key=str)
     assert rows(samples.compare_runs(spark.createDataFrame([("r1", "a", "1"), ("r2", "a", "2"), ("r1", "b", None), ("r2", "b", None)], "run string, field string, value string"))) == [("a", 2, 2), ("b", 1, 2)]
+
+
+def test_segment_table(spark):
+    keys = "sample string, segment string"
+    grid = spark.createDataFrame([("s", "HA"), ("s", "NA")], keys)
+    manifest = spark.createDataFrame([("s", "HA", "A_HA", 1700, "READY", 2, "", "best")], keys + ", contig string, fasta_length int, status string, candidate_count int, selection_status string, selection_reason string")
+    stats = spark.createDataFrame([("s", "HA", " ", 1600, "FAIL", 9.5)], keys + ", contig string, consensus_length int, status string, median_depth double")
+    out = {r.segment: r for r in rollup.segment_table(grid, manifest, stats, spark.createDataFrame([("s", "HA", "PASS")], keys + ", flag string"), ["sample", "segment"]).collect()}
+    ha, na = out["HA"], out["NA"]
+    assert (ha.contig, ha.length, ha.overall_status, ha.coverage_status, ha.selection_status, ha.median_depth, ha.candidate_count) == ("A_HA", "1600", "FAIL", "PASS", "MULTIPLE_CANDIDATES", "9.5", 2)
+    assert (na.contig, na.length, na.overall_status, na.assembly_status, na.selection_status, na.length_status) == ("NA", "0", "MISSING", "MISSING", "MISSING", "NA")
+
+
+def test_reads(spark):
+    from segtally.operators import reads
+
+    r = spark.createDataFrame([("a", "xxADAPmidADyy", "5555"), ("a", "plain", "!!??"), ("a", "ADAP", ""), ("b", "longertailADzz", "I")], "k string, seq string, q string")
+    assert rows(r.select(*reads.trim_ends(F.col("seq"), ["ADAP", "AD"], 6))) == sorted([("mid", True), ("plain", False), ("", True), ("longertail", True)])
+    flagged = r.withColumn("reason", F.when(F.col("seq") == "plain", "too_short").otherwise("passed")).withColumn("n", F.length("q"))
+    s = {x.k: x for x in reads.read_qc_summary(flagged, ["k"], "n", "q").collect()}
+    assert (s["a"].q20_rate_before, s["a"].q30_rate_before, s["a"].q20_rate_after, s["a"].q30_rate_after, s["b"].q30_rate_after) == (6 / 8, 2 / 8, 1.0, 0.0, 1.0)
+    assert reads.read_set_stats(flagged, ["k"], "n", "n").where("k = 'a'").first().median_quality == 4.0
+    d = spark.createDataFrame([("k", "c2", 1.0), ("k", "c1", 3.0)], "k string, c string, v double")
+    assert depth.depth_stats(d, ["k"], "v", 2, "c").first().contigs == "c1,c2"
