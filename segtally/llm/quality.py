@@ -8,7 +8,8 @@ one before, and the share of words in capitals. A document's log weight is the s
 log target/raw, the smaller of the two. Ratios are pulled to 0 by ``SURE``
 standard errors and left out under ``LEAST``, so n-grams seen a few times say
 nothing. A margin is added, the same for every length: the least that keeps ``KEEP``
-of the good labelled documents, each weighed by models fitted without its fold.
+of the good labelled documents, each weighed by models fitted without its fold;
+copies of a text are one document there.
 The documents kept are the Gumbel top-k of the log weights, k being the number of
 documents whose weight is over 1. Keys carry the noise of a hash of the id at full
 scale, so reruns agree; rows of one id and text are drawn alike.
@@ -39,7 +40,7 @@ from .base import _ALNUM, _LOWER, _WS, _spans, blocks, cut, free_name, hashes, m
 
 BITS = 20
 BEGINNINGS = (4, 6, 8)
-SURE, LEAST = 2.0, 1.0
+SURE, LEAST = 2.5, 1.5
 #: Labelled documents that the models are fitted on, at most.
 SAMPLE = 20_000
 #: Good labelled documents that the margin keeps, and folds that it is found on.
@@ -97,9 +98,10 @@ def weigh(row: np.ndarray, bucket: np.ndarray, n_rows: int, ratios: np.ndarray,
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Log ratios, 2 x 2^BITS, and the log odds of the labels with the margin, 2."""
     worst = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
-    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
-    chosen = worst.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.when(F.col("t") == 1, 2).when(F.col("q") == 1, 0).otherwise(1).alias("kind"), fold.alias("fold"))
-    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("kind", "fold", "text")
+    chosen = worst.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.when(F.col("t") == 1, 2).when(F.col("q") == 1, 0).otherwise(1).alias("kind"))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    # copies count once, and stand in one fold: a group of them would make its rare words look sure
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("kind", F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int").alias("fold"), text.alias("same"), "text").dropDuplicates(["kind", "same"]).select("kind", "fold", "text")
     chunk = BITS - 4
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
