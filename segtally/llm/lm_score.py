@@ -1,54 +1,57 @@
 """LM scoring with a log-frequency Bloom filter.
 
-N-grams (words with their ends, and pairs) are counted over all training texts.
+N-grams (words with their ends, pairs and triples) are counted over all training texts.
 The filter holds an n-gram of quantised log count q as q keys (n-gram, 1..q); a
 count is read by probing 1, 2, ... until a key is missing. It is built in
 segments, one per bucket of the n-gram hashes, by the tasks that sum the bucket's
-counts; every n-gram goes in, at every size, and the segments stay in the shared
-folder and grow with the input.
-
-Texts are taken in blocks. Each block asks for its distinct n-grams once, by bucket;
-a bucket answers from its segment and, for words, with the exact counts that the
-base score needs; the answers meet the block, which is scored there. The most
-frequent words, ``HOT_WORDS`` at most, and pairs, ``MAX_FILTER_BYTES`` at most, are
-broadcast with the answers that their buckets would give, and are not asked for:
-this saves probes and changes no score.
-
-Counts travel as packed arrays of 64-bit hashes in binary columns, a few rows per
-task and bucket; the number of buckets follows the input.
+counts; every n-gram goes in, at every size, so the filter grows with the input. It
+is not broadcast: the probes come to the segments.
+
+Texts are stored in blocks. Each block sends its distinct n-grams once, by bucket, with
+their counts in its training texts; a bucket sums the counts of all blocks, builds its
+segment, probes it for every list that was sent and answers each block, for words also
+with the exact counts that the base score needs. Blocks are stored once, bucketed by the task
+that made them, and the answers come to them, where they are scored. An n-gram is as smooth as its context is rare: each order is mixed with
+the one below in proportion to the count of its context (a Dirichlet prior), so that
+the probabilities of all words after a context sum to one but for quantisation.
+
+Lists travel as packed arrays in binary columns, a few rows per block and bucket:
+words as 64-bit hashes, pairs and triples as the 32 bits of theirs that the bucket does
+not tell. A frequent n-gram is one entry of each block, so no bucket is hot, and the
+number of buckets follows the input.
 
 Defined cases: null is "" and has one token, its end; a null id counts as the text
 "" in the split; rows that repeat both id and text are scored alike, and count as
 often as they stand in the table; an empty training set gives every token the
-probability of the smoothing alone; an empty table gives an empty table.
+probability of the smoothing alone; a text of any length is one block of one task,
+which holds about thirty times its bytes; an empty table gives an empty table; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import pyarrow.ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import blocks, cut, flat, hashes, mix, words
+from .base import arrow_rows, blocks, by_bucket, cut, flat, hashes, mix, words
 
 END = np.uint64(0xE4D)
 ADD = 0.1
-#: Weight of pairs against single words.
-PAIR_WEIGHT = 0.2
-HOT_WORDS = 3_000_000
-MAX_FILTER_BYTES = 64 << 20
-BITS_PER_KEY, PROBES = 10, 5
-BUCKET_BYTES = 8 << 20
+#: Counts by which the order below is weighed in pairs and triples.
+PAIR_PRIOR, TRIPLE_PRIOR = 500.0, 10.0
+BITS_PER_KEY, PROBES = 14, 7
+BUCKET_BYTES, BLOCK = 8 << 20, 3 << 20
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, word hash, hash of the word before, pair hash of every token; a text starts after an end."""
+    """Row, word hash, pair hash and triple hash of every token; a text starts after two ends, and of its first token the triple is left out (0)."""
     low, s, e, at = words(raw, offsets)
     n = np.diff(at) + 1
     row = np.repeat(np.arange(len(n)), n)
@@ -57,229 +60,195 @@ def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     inner = np.ones(len(row), bool)
     inner[last] = False
     h[inner] = hashes(low, s, e)
-    before = np.concatenate([[END], h[:-1]]).astype(np.uint64)
-    return row, h, before, mix(before * np.uint64(3) + h + np.uint64(11))
+    pair = mix(np.concatenate([[END], h[:-1]]).astype(np.uint64) * np.uint64(3) + h + np.uint64(11))
+    triple = mix(np.concatenate([[END], pair[:-1]]).astype(np.uint64) * np.uint64(5) + h + np.uint64(29))
+    triple[np.concatenate([[0], last[:-1] + 1])[: len(n)]] = 0
+    return row, h, pair, triple
 
 
 def level(count: np.ndarray) -> np.ndarray:
-    """Quantised log count: half powers of two from 1."""
-    return 1 + np.floor(2 * np.log2(np.maximum(count, 1)) + 1e-9).astype(np.int64)
+    """Quantised log count: half powers of two from 1; 0 for none."""
+    return np.where(count > 0, 1 + np.floor(2 * np.log2(np.maximum(count, 1)) + 1e-9), 0).astype(np.int64)
 
 
 def count_of(levels: np.ndarray) -> np.ndarray:
     """Middle of the counts that have a level; 0 for none."""
-    return np.where(levels == 0, 0.0, np.where(levels == 1, 1.0, 2.0 ** ((levels - 1) / 2) * 2**0.25))
+    return np.where(levels == 0, 0.0, np.where(levels <= 3, np.maximum(levels - 1, 1), 2.0 ** ((levels - 1) / 2) * 2**0.25))
 
 
-def places(h: np.ndarray, j: int, bits: np.ndarray) -> list[np.ndarray]:
+def places(h: np.ndarray, j: int, bits: np.uint64) -> Iterator[np.ndarray]:
     a, b = mix(h + np.uint64(2 * j + 1)), mix(h ^ np.uint64(0xA5A5A5A5 + j)) | np.uint64(1)
-    return [((a + np.uint64(k) * b) % bits).astype(np.int64) for k in range(PROBES)]
-
-
-def build(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A segment of the filter, in whole bytes."""
-    bits = max(64, int(levels.sum()) * BITS_PER_KEY + 7 & ~7)
-    seg = np.zeros(bits, bool)
-    for j in range(1, int(levels.max(initial=0)) + 1):
-        for p in places(h[levels >= j], j, np.uint64(bits)):
-            seg[p] = True
-    return np.packbits(seg, bitorder="little")
+    for k in range(PROBES):
+        yield ((a + np.uint64(k) * b) % bits).astype(np.int64)
 
 
 class Filter:
-    def __init__(self, segments: list[bytes]):
-        sizes = np.array([len(s) for s in segments], np.int64)
-        self.data = np.frombuffer(b"".join(segments), np.uint8)
-        self.bits, self.start, self.n = (sizes * 8).astype(np.uint64), np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.uint64(len(segments))
+    """A segment: counts by levels, in ``BITS_PER_KEY`` bits a key."""
+
+    def __init__(self, h: np.ndarray, levels: np.ndarray):
+        self.bits = np.uint64(max(64, int(levels.sum()) * BITS_PER_KEY))
+        self.seen = np.zeros(int(self.bits), bool)
+        for j in range(1, int(levels.max(initial=0)) + 1):
+            for p in places(h[levels >= j], j, self.bits):
+                self.seen[p] = True
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         out, live, j = np.zeros(len(h), np.int64), np.arange(len(h)), 1
-        seg = (h % self.n).astype(np.int64)
         while len(live):
             ok = np.ones(len(live), bool)
-            for p in places(h[live], j, self.bits[seg[live]]):
-                ok &= (self.data[self.start[seg[live]] + (p >> 3)] >> (p & 7).astype(np.uint8)) & 1 == 1
+            for p in places(h[live], j, self.bits):
+                ok &= self.seen[p]
             live = live[ok]
             out[live] = j
             j += 1
         return out
 
 
-def planes(h: np.ndarray) -> bytes:
-    """Sorted hashes, first bytes first, so that the bytes they share are pressed in a shuffle."""
-    return h.view(np.uint8).reshape(-1, 8).T.tobytes()
+def planes(x: np.ndarray) -> bytes:
+    """Values, first bytes first, so that the bytes they share are pressed in a shuffle."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
 
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind)[:, 0] if data else np.zeros(0, kind)
 
-def _hashes_of(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint8).reshape(8, -1).T.copy().view(np.uint64)[:, 0] for x in column)])
+
+def press(data: bytes) -> bytes:
+    """Compressed, behind its length in eight bytes; checkpoints press nothing themselves."""
+    return len(data).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+
+
+def opened(data: bytes) -> bytes:
+    n = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], n, codec="zstd", asbytes=True) if n else b""
 
 
 def _packed(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*rows) if rows else [()] * len(names), kinds)], names)
 
 
-def _counts(train: DataFrame, n_buckets: int) -> DataFrame:
-    """One row a bucket: the filter's segment, sorted hashes of words with counts and levels, and those of pairs seen more than once with levels."""
-
-    def emit(parts: list) -> pa.RecordBatch:
-        rows = []
-        for kind in (0, 1):
-            h = np.concatenate([p[kind][0] for p in parts])
-            u, at = np.unique(h, return_inverse=True)
-            c = np.bincount(at, weights=np.concatenate([p[kind][1] for p in parts])).astype(np.int32)
-            b = (u % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            cuts = np.searchsorted(b[order], np.arange(n_buckets + 1))
-            for k in np.flatnonzero(np.diff(cuts)):
-                sel = order[cuts[k] : cuts[k + 1]]
-                rows.append((int(k), kind, planes(u[sel]), c[sel].tobytes()))
-        return _packed(rows, ["bucket", "kind", "h", "c"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-        for _, raw, offsets in blocks(batches):
-            _, h, _, pair = grams(raw, offsets)
-            parts.append(tuple(np.unique(x, return_counts=True) for x in (h, pair)))
-            held += len(h)
-            if held > 2_000_000:
-                yield emit(parts)
-                parts, held = [], 0
-        if parts:
-            yield emit(parts)
-
-    def add(t: pa.Table) -> pa.Table:
-        out = []
-        for kind in (0, 1):
-            own = t.filter(pa.compute.equal(t["kind"], kind))
-            h = _hashes_of(own["h"])
-            c = np.concatenate([np.zeros(0, np.int32), *(np.frombuffer(x.as_py(), np.int32) for x in own["c"])])
-            u, at = np.unique(h, return_inverse=True)
-            n = np.bincount(at, weights=c).astype(np.int64)
-            out.append((u, n))
-        (wh, wc), (ph, pc_) = out
-        seg = build(np.concatenate([wh, ph]), np.concatenate([level(wc), level(pc_)]))
-        lm, fh = Filter([seg.tobytes()]), ph[pc_ > 1]
-        wl, fl = lm.levels(wh).astype(np.uint8), lm.levels(fh).astype(np.uint8)
-        hist = np.bincount(np.floor(np.log2(np.maximum(wc, 1))).astype(np.int64), minlength=48)
-        return pa.table({"bucket": t["bucket"][:1], "seg": [seg.tobytes()], "wh": [wh.tobytes()], "wc": [wc.tobytes()], "wl": [wl.tobytes()], "fh": [fh.tobytes()], "fl": [fl.tobytes()], "words": [len(wh)], "tokens": [int(wc.sum())], "hist": [hist.tolist()], "pair_hist": [np.bincount(fl, minlength=256).tolist()]})
-
-    return train.select("text").mapInArrow(count, "bucket long, kind int, h binary, c binary").groupBy("bucket").applyInArrow(
-        add, "bucket long, seg binary, wh binary, wc binary, wl binary, fh binary, fl binary, words long, tokens long, hist array<long>, pair_hist array<long>")
-
-
-def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_py(), kind) for x in column if x.is_valid)])
-
-
-def _found(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Position of each h in the sorted known, and whether it is there."""
-    if not len(known):
-        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-    return at, known[at] == h
-
-
-def score(docs: DataFrame, hot_words: int = HOT_WORDS, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+#: Columns of a list: of words, pairs and triples what names them and how often they stand in the block's training texts.
+SENT = ["w", "wc", "p", "pc", "t", "tc"]
+KINDS = [np.uint64, np.int32, np.uint32, np.int32, np.uint32, np.int32]
+
+
+def short(h: np.ndarray) -> np.ndarray:
+    """The 32 bits of a hash that stand for an n-gram within its bucket."""
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
+def distinct(x: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in the order of lists: by bucket, then by value; their buckets, where each begins, and the place of every x."""
+    u, at = np.unique(x, return_inverse=True)
+    order, found, cuts = by_bucket(u, n_buckets)
+    back = np.empty(len(u), np.int64)
+    back[order] = np.arange(len(u))
+    return u[order], found, cuts, back[at]
+
+
+def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int = BLOCK) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs."""
-    sc = docs.sparkSession.sparkContext
-    kind = dict(docs.dtypes)["doc_id"]
+    spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
     split = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     d = docs.select("doc_id", "text", split.alias("held_out"))
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = max(8, total // BUCKET_BYTES)
-    counts = cut(_counts(d.where("not held_out"), n_buckets))
-    sums = counts.select("words", "tokens", *(F.col("hist")[k].alias(f"h{k}") for k in range(48)), *(F.col("pair_hist")[k].alias(f"p{k}") for k in range(256))).groupBy().sum().first()
-    v, n = (x or 0 for x in sums[:2])
-    hist, pair_hist = [x or 0 for x in sums[2:50]], [x or 0 for x in sums[50:]]
-    hot = next(1 << k for k in range(1, 49) if sum(hist[k:]) <= hot_words)  # words seen once always go by bucket, at every size
-    low = next(k for k in range(1, 257) if 9 * sum(pair_hist[k:]) <= max_filter_bytes)
-
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for wh, wc, wl, fh, fl in zip(*(b.column(x) for x in ("wh", "wc", "wl", "fh", "fl"))):
-                wh, wc, wl, fh, fl = (np.frombuffer(x.as_py(), t) for x, t in zip((wh, wc, wl, fh, fl), (np.uint64, np.int64, np.uint8, np.uint64, np.uint8)))
-                rows.append((wh[wc >= hot].tobytes(), wc[wc >= hot].tobytes(), wl[wc >= hot].tobytes(), fh[fl >= low].tobytes(), fl[fl >= low].tobytes()))
-            yield _packed(rows, ["wh", "wc", "wl", "fh", "fl"], [pa.binary()] * 5)
-
-    made = list(counts.select("wh", "wc", "wl", "fh", "fl").mapInArrow(frequent, "wh binary, wc binary, wl binary, fh binary, fl binary").toLocalIterator())
-    hh, hc, hl, fh, fl = (np.frombuffer(b"".join(bytes(r[x]) for r in made), t) for x, t in (("wh", np.uint64), ("wc", np.int64), ("wl", np.uint8), ("fh", np.uint64), ("fl", np.uint8)))
-    made.clear()
-    order, forder = np.argsort(hh), np.argsort(fh)
-    model = sc.broadcast((hh[order], hc[order], hl[order], fh[forder], fl[forder]))  # at most 17 bytes a hot word and max_filter_bytes
-    whole = np.log10(n + ADD * (v + 1))
-
-    def by_bucket(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order by bucket, and the n_buckets + 1 cuts."""
-        b = (h % np.uint64(n_buckets)).astype(np.int64)
-        order = np.argsort(b, kind="stable")
-        return order, np.searchsorted(b[order], np.arange(n_buckets + 1))
+    n_buckets = max(8, total // bucket_bytes)
 
     def bodies_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch, _, _ in blocks(batches):
+        task, number = TaskContext.get().partitionId(), 0
+        for batch, _, _ in blocks(batches, block_bytes):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_batch(batch)
-            yield _packed([(number, sink.getvalue().to_pybytes())], ["block", "body"], [pa.int64(), pa.binary()])
+            yield _packed([(task, number, sink.getvalue().to_pybytes())], ["task", "block", "body"], [pa.int64(), pa.int64(), pa.binary()])
             number += 1
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hh, _, _, fh, _ = model.value
-        for number, body in ((x, y) for b in batches for x, y in zip(b["block"], b["body"])):
-            _, h, _, pair = grams(*flat(pa.ipc.open_stream(body.as_py()).read_all()["text"]))
-            rows, asked = [], []
-            for known, x in ((hh, np.unique(h)), (fh, np.unique(pair))):
-                x = x[~_found(known, x)[1]]
-                order, cuts = by_bucket(x)
-                asked.append((x[order], cuts))
-            (w, wcuts), (p, pcuts) = asked
-            for k in np.flatnonzero(np.diff(wcuts) + np.diff(pcuts)):
-                rows.append((number.as_py(), int(k), planes(w[wcuts[k] : wcuts[k + 1]]), planes(p[pcuts[k] : pcuts[k + 1]])))
-            yield _packed(rows, ["block", "bucket", "w", "p"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
-
-    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        w, p = (_hashes_of(asked[x]) for x in "wp")
-        wh, wc, wl = (_joined(known[x], t) for x, t in (("wh", np.uint64), ("wc", np.int64), ("wl", np.uint8)))
-        lm = Filter([known["seg"][0].as_py() if known.num_rows else bytes(8)])
-        at, ok = _found(wh, w)
-        c, l = np.zeros(len(w), np.int64), np.zeros(len(w), np.uint8)
-        c[ok], l[ok] = wc[at[ok]], wl[at[ok]]
-        l[~ok] = lm.levels(w[~ok])
-        pl = lm.levels(p).astype(np.uint8)
-        wat, pat = (np.cumsum([0, *(len(x.as_py()) // 8 for x in asked[y])]) for y in "wp")
-        rows = [(b.as_py(), k.as_py(), c[wat[i] : wat[i + 1]].tobytes(), l[wat[i] : wat[i + 1]].tobytes(), pl[pat[i] : pat[i + 1]].tobytes()) for i, (b, k) in enumerate(zip(asked["block"], asked["bucket"]))]
-        return pa.Table.from_batches([_packed(rows, ["block", "bucket", "wc", "wl", "pl"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])])
-
-    def meet(bodies: pa.Table, answers: pa.Table) -> pa.Table:
-        hh, hc, hl, fh, fl = model.value
-        batch = pa.ipc.open_stream(bodies["body"][0].as_py()).read_all().combine_chunks()
-        raw, offsets = flat(batch["text"])
-        row, h, before, pair = grams(raw, offsets)
-        m = len(offsets) - 1
-        answers = answers.sort_by("bucket")
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for task, number, body in ((x, y, z) for b in batches for x, y, z in zip(b["task"], b["block"], b["body"])):
+            table = pa.ipc.open_stream(body.as_py()).read_all()
+            row, h, pair, triple = grams(*flat(table["text"]))
+            train = ~np.array(table["held_out"].to_pylist(), bool)[row]
+            made: dict[int, list] = {}
+            for k, x in enumerate((h, pair, triple[triple != 0])):
+                mine = train if k < 2 else train[triple != 0]
+                u, found, cuts, at = distinct(x, n_buckets)
+                c = np.bincount(at, weights=mine, minlength=len(u)).astype(np.int32)
+                name = u if k == 0 else short(u)
+                for b, i, j in zip(found, cuts[:-1], cuts[1:]):
+                    made.setdefault(int(b), [b""] * 6)[2 * k : 2 * k + 2] = planes(name[i:j]), planes(c[i:j])
+            rows = [(task.as_py(), number.as_py(), b, *x) for b, x in made.items()]
+            pa.default_memory_pool().release_unused()
+            for i in range(0, len(rows), 64):
+                yield _packed(rows[i : i + 64], ["task", "block", "bucket", *SENT], [pa.int64()] * 3 + [pa.binary()] * 6)
+
+    def answer(t: pa.Table) -> pa.Table:
+        known, keys, levels = [], [], []
+        for k in range(3):
+            parts = [from_planes(x.as_py(), KINDS[2 * k]) for x in t[SENT[2 * k]]]
+            counts = np.concatenate([from_planes(x.as_py(), np.int32) for x in t[SENT[2 * k + 1]]])
+            u, at = np.unique(np.concatenate(parts), return_inverse=True)
+            n = np.bincount(at, weights=counts, minlength=len(u)).astype(np.int64)
+            known.append((at, n, np.cumsum([0, *map(len, parts)])))
+            keys.append(mix(u.astype(np.uint64) + np.uint64(k << 62)))
+            levels.append(level(n))
+        segment = Filter(np.concatenate(keys), np.concatenate(levels))
+        probed = [segment.levels(x).astype(np.uint8) for x in keys]
+        probed[0] = np.where(known[0][1] > 0, probed[0], 0).astype(np.uint8)  # words are known exactly
+        told = [tuple(press(v[at[i:j]].tobytes()) for i, j in zip(cuts[:-1], cuts[1:])) for v, (at, _, cuts) in zip(probed, known)]
+        at, n, cuts = known[0]
+        exact = [press(planes(n[at[i:j]])) for i, j in zip(cuts[:-1], cuts[1:])]
+        first = [1] + [0] * (t.num_rows - 1)  # the bucket's totals stand in one of its rows
+        totals = [int((n > 0).sum()), int(n.sum())]
+        return pa.table({"task": t["task"], "block": t["block"], "bucket": t["bucket"], "wc": pa.array(exact, pa.binary()), **{c: pa.array(x, pa.binary()) for c, x in zip(("wl", "pl", "tl"), told)}, "words": [totals[0] * f for f in first], "tokens": [totals[1] * f for f in first]})
+
+    name = f"segtally_texts_{uuid.uuid4().hex}"
+    tasks = max(1, d.rdd.getNumPartitions())
+    try:
+        d.mapInArrow(bodies_of, "task long, block long, body binary").write.bucketBy(tasks, "task").format("parquet").saveAsTable(name)
+        stored = spark.table(name)
+        with arrow_rows(spark, 4):
+            sent = stored.mapInArrow(lists, "task long, block long, bucket long, " + ", ".join(f"{c} binary" for c in SENT))
+        answers = cut(sent.groupBy("bucket").applyInArrow(answer, "task long, block long, bucket long, wc binary, wl binary, pl binary, tl binary, words long, tokens long"))
+        v, n = (x or 0 for x in answers.agg(F.sum("words"), F.sum("tokens")).first())
+        told = answers.repartition(tasks, "task").groupBy("task").agg(F.collect_list(F.struct("block", "bucket", "wc", "wl", "pl", "tl")).alias("answers"))  # of the blocks of one task
+        mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
+        with arrow_rows(spark, 1):
+            return _met(stored.join(told, "task", "left").select("body", mine.alias("answers")), kind, n_buckets, v, n)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _met(blocks_: DataFrame, kind: str, n_buckets: int, v: int, n: int) -> DataFrame:
+    """The scores of the documents of blocks (body, answers), from the totals of the training texts: v distinct tokens of n."""
+    whole = np.log10(n + ADD * (v + 1))
 
-        def filled(u: np.ndarray, known: np.ndarray, values: np.ndarray, sent: str) -> np.ndarray:
-            at, ok = _found(known, u)
-            out, missing = np.zeros(len(u), values.dtype), np.flatnonzero(~ok)
-            out[ok] = values[at[ok]]
-            out[missing[by_bucket(u[missing])[0]]] = _joined(answers[sent], values.dtype.type)
-            return out
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for body, answers in zip(b["body"], b["answers"]):
+                yield one(pa.ipc.open_stream(body.as_py()).read_all().combine_chunks(), sorted(answers.as_py() or [], key=lambda a: a["bucket"]))
 
-        u, at = np.unique(h, return_inverse=True)
-        c, approx = filled(u, hh, hc, "wc")[at], count_of(filled(u, hh, hl, "wl"))
+    def one(batch: pa.Table, answers: list[dict]) -> pa.RecordBatch:
+        raw, offsets = flat(batch["text"])
+        row, h, pair, triple = grams(raw, offsets)
+        m = len(offsets) - 1
+        joined = lambda c: np.frombuffer(b"".join(opened(x[c]) for x in answers), np.uint8)
+        inner = triple != 0
+        at_w, at_p, at_t = (distinct(x, n_buckets)[3] for x in (h, pair, triple[inner]))
+        c = np.concatenate([np.zeros(0, np.int64), *(from_planes(opened(x["wc"]), np.int64) for x in answers)])[at_w]
+        single, pairs = count_of(joined("wl"))[at_w], count_of(joined("pl"))[at_p]
+        triples = np.zeros(len(h))
+        triples[inner] = count_of(joined("tl"))[at_t]
+        ends = single[h == END][0] if len(h) else 0.0
+        before = np.where(inner, np.concatenate([[0.0], single[:-1]]), ends)  # of the word before; a text starts after an end
+        before2 = np.where(inner, np.concatenate([[0.0], pairs[:-1]]), 0.0)
+        p = (single + ADD) / (n + ADD * (v + 1))
+        p = (np.minimum(pairs, before) + PAIR_PRIOR * p) / (before + PAIR_PRIOR)
+        p = np.where(inner, (np.minimum(triples, before2) + TRIPLE_PRIOR * p) / (before2 + TRIPLE_PRIOR), p)
         known = np.bincount(row, weights=c > 0, minlength=m).astype(np.int64)
         base = np.bincount(row, weights=np.log10(c + ADD) - whole, minlength=m)
-        up, pat = np.unique(pair, return_inverse=True)
-        pairs = count_of(filled(up, fh, fl, "pl"))[pat]
-        context = np.concatenate([approx[np.searchsorted(u, END)][None], approx[at[:-1]]])  # the token before, END at first
-        single = (approx[at] + ADD) / (n + ADD * (v + 1))
-        p = PAIR_WEIGHT * np.minimum(1.0, pairs / np.maximum(context, 1)) + (1 - PAIR_WEIGHT) * single
         score_ = np.bincount(row, weights=np.log10(np.minimum(p, 1.0)), minlength=m)
-        return pa.table({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": np.bincount(row, minlength=m), "n_known": known, "base_score": base, "score": score_})
+        columns = [batch["doc_id"].combine_chunks(), batch["held_out"].combine_chunks(), pa.array(np.bincount(row, minlength=m)), pa.array(known), pa.array(base), pa.array(score_)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    bodies = cut(d.mapInArrow(bodies_of, "block long, body binary"))
-    asked = bodies.mapInArrow(ask, "block long, bucket long, w binary, p binary")
-    answers = asked.groupBy("bucket").cogroup(counts.select("bucket", "seg", "wh", "wc", "wl").groupBy("bucket")).applyInArrow(answer, "block long, bucket long, wc binary, wl binary, pl binary")
-    met = bodies.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    met = cut(blocks_.mapInArrow(meet, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
     return met.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
