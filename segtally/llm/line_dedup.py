@@ -8,25 +8,31 @@ what a suffix array's order is used for here, finding the suffixes that agree on
 their first ``min_run`` lines (the intervals of a longest common prefix of at
 least that), the names tell directly. Suffixes that are alone in their class
 cannot agree on more lines and drop out, so each round works on less. A run that
-is not the first of its class is deleted; overlapping runs make one maximal run.
+is not the first of its class is deleted if it has ``min_run`` lines or ``min_words``
+words, single lines included; longer runs are unions of such, and overlapping or
+neighbouring ones make one maximal run.
 
 Classes are found by grouping with partial sums and joined back by name, where
 adaptive execution splits a line that a third of all documents hold.
 
 Defined cases: lines end at line feeds; blank lines are never deleted and not
 counted in runs; null is ""; rows that repeat both id and text are one document
-and get equal results; runs do not cross documents; an empty table gives an
-empty table; other columns are not read.
+and get equal results; runs do not cross documents; a text of any length is one row
+whose deleted lines are cut out in one pass; an empty table gives an empty table;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import WS, cut
 
-MIN_RUN = 3
+#: A later copy of a run goes if it has so many lines, or so many words.
+MIN_RUN, MIN_WORDS = 3, 50
 
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,33 +41,46 @@ def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     return cut(rows.join(classes, keys).drop(*keys))
 
 
-def repeated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """doc_id, th (hash of the text), removed (line numbers from 0), n_runs for every document with deleted lines."""
+def repeated(docs: DataFrame, min_run: int = MIN_RUN, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, th (hash of the text), removed (line numbers from 0, ascending), n_runs for every document with deleted lines."""
     text = F.coalesce("text", F.lit(""))
     whole = docs.select("doc_id", F.xxhash64(text).alias("th"), F.filter(F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s.x.rlike(f"[^{WS}]")).alias("lines"))
-    lines = whole.select("doc_id", "th", F.posexplode("lines").alias("seq", "line")).select("doc_id", "th", "seq", F.col("line.i").alias("i"), F.unhex(F.md5("line.x")).alias("id"))
+    lines = whole.select("doc_id", "th", F.posexplode("lines").alias("seq", "line")).select("doc_id", "th", "seq", F.col("line.i").alias("i"), F.regexp_count("line.x", F.lit(f"[^{WS}]+")).alias("words"), F.unhex(F.md5("line.x")).alias("id"))
     lines = lines.repartition("doc_id", "th").dropDuplicates(["doc_id", "th", "seq"])
     rows = _named(lines, ["id"])
     by = Window.partitionBy("doc_id", "th").orderBy("seq")
-    rows = rows.withColumn("at", F.collect_list("i").over(by.rangeBetween(0, min_run - 1)))
-    length = 1
+    rows = rows.withColumn("at", F.collect_list(F.struct("seq", "i", "words")).over(by.rangeBetween(0, min_run - 1)))
+    length, found = 1, []
+
+    def later(rows: DataFrame, length: int) -> DataFrame:
+        words = F.aggregate(F.slice("at", 1, length), F.lit(0), lambda n, l: n + l["words"])
+        long = F.lit(True) if length == min_run else words >= min_words
+        return rows.where(long & (F.col("name") != F.struct("doc_id", "th", "seq"))).select("doc_id", "th", F.slice("at", 1, length).alias("at"))
+
     while length < min_run:
+        found.append(later(rows, length))
         step = min(length, min_run - length)
-        rows = rows.withColumn("next", F.first("name").over(by.rangeBetween(step, step))).where("next is not null").withColumnRenamed("name", "half")
+        ahead = by.rangeBetween(step, step)
+        rows = rows.withColumn("next", F.first("name").over(ahead)).where("next is not null").withColumnRenamed("name", "half")
         rows, length = _named(rows, ["half", "next"]), length + step
-    later = rows.where(F.col("name") != F.struct("doc_id", "th", "seq"))
-    new = F.coalesce(F.col("seq") - F.lag("seq").over(by) > min_run, F.lit(True))
-    return later.withColumn("new", new.cast("long")).groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("removed"), F.sum("new").alias("n_runs"))
+    found.append(later(rows, length))
+    gone = reduce(DataFrame.union, found).select("doc_id", "th", F.explode("at").alias("l")).select("doc_id", "th", "l.seq", "l.i").distinct()
+    new = F.coalesce(F.col("seq") - F.lag("seq").over(by) > 1, F.lit(True))
+    return gone.withColumn("new", new.cast("long")).groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("i")).alias("removed"), F.sum("new").alias("n_runs"))
 
 
-def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text without the deleted lines, n_lines, n_removed, n_runs of every row of docs."""
-    gone = repeated(docs, min_run)
+    gone = repeated(docs, min_run, min_words)
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     gone = gone.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
     found = d.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("doc_id", "text", "removed", "n_runs")
     lines = F.split("text", "\n", -1)
-    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n"))
+    found = found.withColumn("lines", F.when(F.col("removed").isNotNull(), lines))
+    none, n = F.array(F.lit(-1)), F.size("lines")
+    ends = F.concat("removed", F.array(n))  # what stands between two deleted lines is copied as a piece
+    pieces = F.zip_with(F.concat(none, "removed"), ends, lambda p, q: F.slice(F.col("lines"), p + 2, q - p - 1))
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(pieces), "\n"))
     return found.select(
         "doc_id", kept.alias("text"), F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_runs", F.lit(0)).alias("n_runs"),
@@ -70,10 +89,11 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
 SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS seq FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
-w AS (SELECT *, x || chr(10) || lead(x) OVER d || chr(10) || lead(x, 2) OVER d AS key FROM s WINDOW d AS (PARTITION BY doc_id ORDER BY seq)),
-f AS (SELECT *, key IS NOT NULL AND row_number() OVER (PARTITION BY key ORDER BY doc_id, seq) > 1 AS later FROM w),
-c AS (SELECT *, max(later::INT) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS gone FROM f),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS seq, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+w AS (SELECT *, x || chr(10) || lead(x) OVER d AS two, x || chr(10) || lead(x) OVER d || chr(10) || lead(x, 2) OVER d AS three, words + lead(words) OVER d AS words2 FROM s WINDOW d AS (PARTITION BY doc_id ORDER BY seq)),
+f AS (SELECT *, words >= 50 AND row_number() OVER (PARTITION BY x ORDER BY doc_id, seq) > 1 AS one_, coalesce(words2 >= 50, FALSE) AND row_number() OVER (PARTITION BY two ORDER BY doc_id, seq) > 1 AS two_,
+             three IS NOT NULL AND row_number() OVER (PARTITION BY three ORDER BY doc_id, seq) > 1 AS three_ FROM w),
+c AS (SELECT *, greatest(one_::INT, max(two_::INT) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 1 PRECEDING AND CURRENT ROW), max(three_::INT) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) AS gone FROM f),
 r AS (SELECT *, (gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY seq), 0) = 0)::INT AS new FROM c),
 a AS (SELECT l.doc_id, l.i, l.x, coalesce(r.gone, 0) AS gone, coalesce(r.new, 0) AS new FROM l LEFT JOIN r USING (doc_id, i))
 SELECT doc_id, count(*) AS n_lines, sum(gone)::BIGINT AS n_removed, sum(new)::BIGINT AS n_runs,
