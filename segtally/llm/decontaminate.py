@@ -2,19 +2,21 @@
 
 Every block of training text becomes a suffix array over words: the positions
 that can start a match, sorted by the words that follow. Every suffix of every
-benchmark item is searched in it by bisection, one word deeper at a time, which
-yields the places of its longest match; a window that is matched whole marks its
-words as hit. The search needs no shuffle: shards are the tasks of the scan.
+benchmark item is searched in it by bisection, one word deeper at a time, down to a
+window; windows that go on in the item and in the text alike make the longest matches,
+with their places. A window that is matched whole marks its words as hit. The search
+needs no shuffle: shards are the tasks of the scan.
 
 The benchmark comes in parts of at most ``PART_BYTES`` of text, each broadcast
 by itself; more parts mean more searches in the same scan, so no broadcast grows
-with the benchmark. Words are compared by 64-bit hashes; a window of ten words
-needs ten equal hashes in a row.
+with the benchmark. Words are searched by 64-bit hashes; of every window found, the
+bytes of the words are compared.
 
 Defined cases: null or wordless texts have no words and hit nothing; items of
 fewer than ten words are one window; items of equal id are one item; an item
 without an id marks words but is not listed; repeated rows are judged alike;
-empty tables give no hits; all columns of docs come through, whatever their names.
+empty tables give no hits; a text of any length is one row of one task, which holds
+about twenty times its bytes; all columns of docs come through, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import blocks, flat, hashes, words
+from .base import blocks, flat, free_name, hashes, words
 
 WINDOW = 10
 PART_BYTES = 4 << 20
 
 
 class Part:
-    """Windows of some items: ranks of their words in the part's vocabulary, their sizes and items."""
+    """Windows of some items: ranks of their words in the part's vocabulary, their sizes and where they stand."""
 
     def __init__(self, rows: list, size: int):
         self.items = sorted({r[0] for r in rows if r[0] is not None})
@@ -43,16 +45,23 @@ class Part:
         h = hashes(low, s, e)
         self.vocabulary = np.unique(h)
         rank = np.searchsorted(self.vocabulary, h)
-        seen: dict[tuple, set[int]] = {}
-        for k, r in enumerate(rows):
-            w = rank[at[k] : at[k + 1]]
-            for i in range(max(1, len(w) - size + 1) if len(w) else 0):
-                seen.setdefault(tuple(w[i : i + size]), set()).add(number.get(r[0], -1))
-        self.sizes = np.array([len(x) for x in seen], np.int64)
-        self.words = np.full((len(seen), size), -1, np.int64)
-        for k, x in enumerate(seen):
-            self.words[k, : len(x)] = x
-        self.owners = [np.array(sorted(x)) for x in seen.values()]
+        n = np.diff(at)
+        count = np.where(n > 0, np.maximum(1, n - size + 1), 0)  # windows of each row
+        row = np.repeat(np.arange(len(rows)), count)
+        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start, long = at[row] + place, np.minimum(n[row], size)
+        w = np.full((len(row), size), -1, np.int64)
+        for k in range(size):
+            ok = long > k
+            w[ok, k] = rank[start[ok] + k]
+        self.words, which = np.unique(w, axis=0, return_inverse=True) if len(w) else (w, np.zeros(0, np.int64))
+        self.sizes = (self.words >= 0).sum(1)
+        order = np.argsort(which, kind="stable")
+        self.owner_cuts = np.searchsorted(which[order], np.arange(len(self.words) + 1))
+        #: Item (-1: without id) and place of every occurrence of a window, window by window; text keeps apart rows of one item.
+        self.owner, self.place, self.text = np.array([number.get(r[0], -1) for r in rows], np.int64)[row[order]], place[order], row[order]
+        self.spelled = [low[x:y].tobytes() for x, y in zip(s, e)]
+        self.first = start[order][self.owner_cuts[:-1]]  # a word of the part at which each window stands
 
     def search(self, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start words of the block and windows that stand there. rows: n+1 offsets of rows into words."""
@@ -88,6 +97,22 @@ class Part:
         return np.concatenate(found_at), np.concatenate(found_w)
 
 
+def longest(part: Part, row: np.ndarray, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Maximal matches as columns row, item, item_at, at, length: runs of windows that go on in item and document alike."""
+    n = part.owner_cuts[w + 1] - part.owner_cuts[w]
+    k = np.repeat(part.owner_cuts[w] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    row, at, size = np.repeat(row, n), np.repeat(at, n), np.repeat(part.sizes[w], n)
+    text, place, item = part.text[k], part.place[k], part.owner[k]
+    o = np.lexsort((at, at - place, text, row))
+    row, at, size, text, place, item = (x[o] for x in (row, at, size, text, place, item))
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (text[1:] != text[:-1]) | (at[1:] - place[1:] != at[:-1] - place[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(new)
+    length = np.diff(np.append(first, len(row))) - 1 + size[first]
+    out = np.stack([row[first], item[first], place[first], at[first], length], 1) if len(first) else np.zeros((0, 5), np.int64)
+    return np.unique(out[out[:, 1] >= 0], axis=0)
+
+
 def _runs(rank: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """How many known words stand in a row from each position on, within its row."""
     n = len(rank)
@@ -106,12 +131,18 @@ def parts(benchmark: DataFrame, size: int, part_bytes: int) -> Iterator[Part]:
         yield Part(b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect(), size)
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
-    """docs with a last column ``_hits``: struct of n_words, n_hit, items (ids as strings, sorted)."""
+def mark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_bytes: int = PART_BYTES, name: str = "_hits") -> DataFrame:
+    """docs with a last column ``name``: struct of n_words, n_hit, items (ids as strings, sorted) and matches.
+
+    matches: the longest verbatim matches of at least a window as item, item_at, at and
+    length, in words from 0, in order of at.
+    """
     sc = docs.sparkSession.sparkContext
     names = docs.columns
     docs = out = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumnRenamed(f"c{names.index('text')}", "text")
-    state = T.StructType.fromDDL("n_words long, n_hit long, mask binary, items array<string>")
+    match = "struct<item:string,item_at:long,at:long,length:long>"
+    state = T.StructType.fromDDL(f"n_words long, n_hit long, mask binary, items array<string>, matches array<{match}>")
+    kind = pa.list_(pa.struct([("item", pa.string()), ("item_at", pa.int64()), ("at", pa.int64()), ("length", pa.int64())]))
 
     def step(first: bool, part):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,16 +150,19 @@ def mark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_bytes:
             for batch, raw, offsets in blocks(batches):
                 low, s, e, rows = words(raw, offsets, alnum=True)
                 at, w = p.search(hashes(low, s, e), rows)
+                same = np.array([all(low[s[i + k] : e[i + k]].tobytes() == p.spelled[p.first[j] + k] for k in range(p.sizes[j])) for i, j in zip(at, w)], bool)
+                at, w = at[same], w[same]  # what decides is bytes
                 n = len(offsets) - 1
                 step_ = np.zeros(len(s) + 1, np.int64)
                 np.add.at(step_, at, 1)
                 np.add.at(step_, at + p.sizes[w], -1)
                 hit = np.cumsum(step_[:-1]) > 0
                 row = np.searchsorted(rows, at, "right") - 1
-                pairs = np.unique(row * (len(p.sizes) + 1) + w)
                 items: list[set] = [set() for _ in range(n)]
-                for r, k in zip(pairs // (len(p.sizes) + 1), pairs % (len(p.sizes) + 1)):
-                    items[r].update(p.items[i] for i in p.owners[k] if i >= 0)
+                matches: list[list] = [[] for _ in range(n)]
+                for r, i, item_at, here, length in longest(p, row, at - rows[row], w).tolist():
+                    items[r].add(p.items[i])
+                    matches[r].append({"item": p.items[i], "item_at": item_at, "at": here, "length": length})
                 masks, hits = [b""] * n, [0] * n
                 touched = set(row.tolist())
                 old = None if first else batch.column("mask")
@@ -140,8 +174,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_bytes:
                     masks[r], hits[r] = mask, int.from_bytes(mask, "big").bit_count()
                 if not first:
                     items = [x.union(y.as_py()) for x, y in zip(items, batch.column("items"))]
+                    matches = [x + y.as_py() for x, y in zip(matches, batch.column("matches"))]
                 columns = dict(zip(batch.schema.names, batch.columns))
-                columns |= {"n_words": pa.array(np.diff(rows)), "n_hit": pa.array(hits, pa.int64()), "mask": pa.array(masks, pa.binary()), "items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
+                columns |= {"n_words": pa.array(np.diff(rows)), "n_hit": pa.array(hits, pa.int64()), "mask": pa.array(masks, pa.binary()), "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())), "matches": pa.array(matches, kind)}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
         return run
@@ -152,7 +187,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, part_bytes:
         first = False
     if first:
         out = docs.mapInArrow(step(True, sc.broadcast(Part([], size))), T.StructType(docs.schema.fields + state.fields))
-    return out.select(*(F.col(c).alias(o) for c, o in zip(docs.columns, names)), F.struct("n_words", "n_hit", F.array_sort("items").alias("items")).alias("_hits"))
+    return out.select(*(F.col(c).alias(o) for c, o in zip(docs.columns, names)), F.struct("n_words", "n_hit", F.array_sort("items").alias("items"), F.array_sort("matches", lambda a, b: F.when(F.struct(a["at"], a["item"], a["item_at"]) < F.struct(b["at"], b["item"], b["item_at"]), -1).otherwise(1)).alias("matches")).alias(name))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -166,4 +201,5 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without a hit, with all their columns."""
-    return mark(docs, benchmark).where(F.col("_hits.n_hit") == 0).drop("_hits")
+    name = free_name("_hits", docs.columns)
+    return mark(docs, benchmark, name=name).where(F.col(name)["n_hit"] == 0).drop(name)
