@@ -14,14 +14,17 @@ each anchor, that its span stands earlier (all its windows are repeats), that
 nothing shares its core (none is), or that spans of one core differ: only there,
 at the edges of matches, single windows are compared in a second merge.
 
-Hashes are 64 bits. Blocks keep only the first of equal entries, so a passage that
+Cores and spans are hashed by 64 bits each, single windows by both their halves, so
+two texts are taken for equal by 128 bits; no range is over 150 bytes long, too short
+for sums of powers to cancel. Blocks keep only the first of equal entries, so a passage that
 a third of all documents hold is one entry of each block. The blocks are written
 once, bucketed by the task that made them, and the answers come to them without
 moving the text again.
 
 Defined cases: null is ""; texts under 100 bytes keep all; equal ids come in the
 order of their blocks, so of repeated rows one keeps its text; a null id comes
-last; ids are integers; an empty table gives an empty table; other columns are
+last; ids are integers; a text of any length is one block of one task, which holds
+about seventy times its bytes; an empty table gives an empty table; other columns are
 not read.
 """
 
@@ -30,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +42,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_rows, blocks, cut, mix, powers
+from .base import arrow_rows, blocks, by_bucket, cut, free_name, mix, powers
 
 LENGTH, CORE = 100, 50
 BLOCK = 1 << 19
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 10 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -62,9 +66,10 @@ class Block:
         p = np.flatnonzero(np.cumsum(step[:-1], dtype=np.int8))  # starts of windows
         if not len(p):
             self.low = self.high = self.doc = np.zeros(0, np.int64)
-            self.core = self.span = np.zeros(0, np.uint64)
+            self.core = self.span = self.cores = np.zeros(0, np.uint64)
             return
         low = mix((self.total[CORE:] - self.total[:-CORE]) * self.down[: len(raw) + 1 - CORE])
+        self.cores = low
         at, wide, width = np.arange(len(low), dtype=np.int32), 1, LENGTH - CORE + 1
         best = low
         while wide < width:  # leftmost smallest core of each width
@@ -81,6 +86,10 @@ class Block:
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(np.uint64))
 
+    def halves(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of both halves of windows."""
+        return self.cores[start], self.cores[start + CORE]
+
     def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and document of each window of some runs."""
         n = self.high[runs] - self.low[runs] + 1
@@ -99,23 +108,21 @@ def firsts(ids: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 def _send(rows: list, task: int, block: int, n_buckets: int, ids: np.ndarray, *keys: np.ndarray) -> None:
     """Adds packed entries, in their order, to the rows for each bucket."""
-    b = (keys[0] % np.uint64(n_buckets)).astype(np.int64)
-    order = np.argsort(b, kind="stable")
-    cuts = np.searchsorted(b[order], np.arange(n_buckets + 1))
-    for k in np.flatnonzero(np.diff(cuts)):
-        sel = order[cuts[k] : cuts[k + 1]]
+    order, found, cuts = by_bucket(keys[0], n_buckets)
+    for k, i, j in zip(found, cuts[:-1], cuts[1:]):
+        sel = order[i:j]
         rows.append((task, block, int(k), ids[sel].tobytes(), *(x[sel].tobytes() for x in keys)))
 
 
 def _told(answers: list, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
     """What the merges say of the entries with these keys, in the order in which they were sent."""
     out = np.zeros(len(keys), np.uint8)
-    b = (keys % np.uint64(n_buckets)).astype(np.int64)
-    order = np.argsort(b, kind="stable")
-    cuts = np.searchsorted(b[order], np.arange(n_buckets + 1))
+    order, found, cuts = by_bucket(keys, n_buckets)
+    at = {int(k): (i, j) for k, i, j in zip(found, cuts[:-1], cuts[1:])}
     for a in answers or ():
         if a["kind"] == kind:
-            out[order[cuts[a["bucket"]] : cuts[a["bucket"] + 1]]] = np.frombuffer(a["said"], np.uint8)
+            i, j = at[a["bucket"]]
+            out[order[i:j]] = np.frombuffer(a["said"], np.uint8)
     return out
 
 
@@ -123,21 +130,22 @@ def _batch(rows: list, names: list[str], kinds: list[pa.DataType]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows) if rows else [()] * len(names), kinds)], names)
 
 
-def _merge(two_keys: bool, kind: int):
+def _merge(kind: int):
+    """0: anchors, whose spans may differ (2) or stand earlier (1); 1: single windows, by both halves, which stand earlier or not."""
+
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("task", "ascending"), ("block", "ascending")])
         get = lambda c, k: np.concatenate([np.frombuffer(x.as_py(), k) for x in t[c]])
-        ids, a = get("ids", np.int64), get("a", np.uint64)
-        keys = (get("b", np.uint64), a) if two_keys else (a,)
+        ids, a, b = get("ids", np.int64), get("a", np.uint64), get("b", np.uint64)
         said = np.zeros(len(a), np.uint8)
         order = np.argsort(a, kind="stable")
         same = a[order[1:]] == a[order[:-1]]
         many = np.zeros(len(a), bool)
         many[order[1:][same]] = many[order[:-1][same]] = True
         at = np.flatnonzero(many)
-        first = firsts(ids[at], *(k[at] for k in keys))
+        first = firsts(ids[at], b[at], a[at])
         said[at[~first]] = 1
-        if two_keys:
+        if kind == 0:
             core, n = np.unique(a[at[first]], return_counts=True)
             said[at[first]] = np.where(n[np.searchsorted(core, a[at[first]])] > 1, 2, 0)
         ends = np.cumsum([len(x.as_py()) // 8 for x in t["ids"]])
@@ -168,7 +176,20 @@ def spans(docs: DataFrame) -> DataFrame:
 
     name = f"segtally_blocks_{uuid.uuid4().hex}"
     tasks = max(1, d.rdd.getNumPartitions())
-    d.mapInArrow(pack, "task long, block long, ids binary, offsets binary, raw binary").write.bucketBy(tasks, "task").format("parquet").saveAsTable(name)
+
+    @contextmanager
+    def stored_blocks():
+        """The table of blocks goes at the end, also after a failure."""
+        try:
+            yield
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    try:
+        d.mapInArrow(pack, "task long, block long, ids binary, offsets binary, raw binary").write.bucketBy(tasks, "task").format("parquet").saveAsTable(name)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        raise
     stored = spark.table(name)
 
     def opened(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Block, list]]:
@@ -196,22 +217,22 @@ def spans(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for task, block, b, answers in opened(batch):
                 start, doc = b.windows(np.flatnonzero(states(b, answers) == 2))
-                h = b.hash(start, start + LENGTH)
+                h, h2 = b.halves(start)
                 rows: list = []
                 if len(h):
-                    first = firsts(b.ids[doc], h)
-                    _send(rows, task, block, n_buckets, b.ids[doc][first], h[first])
-                yield _batch(rows, ["task", "block", "bucket", "ids", "a"], [pa.int64()] * 3 + [pa.binary()] * 2)
+                    first = firsts(b.ids[doc], h2, h)
+                    _send(rows, task, block, n_buckets, b.ids[doc][first], h[first], h2[first])
+                yield _batch(rows, ["task", "block", "bucket", "ids", "a", "b"], [pa.int64()] * 3 + [pa.binary()] * 3)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, b, answers in opened(batch):
                 state = states(b, answers)
                 start, doc = b.windows(np.flatnonzero(state == 2))
-                h = b.hash(start, start + LENGTH)
+                h, h2 = b.halves(start)
                 again = np.ones(len(h), np.uint8)
                 if len(h):
-                    first = firsts(b.ids[doc], h)
+                    first = firsts(b.ids[doc], h2, h)
                     again[first] = _told(answers, 1, n_buckets, h[first])
                 step = np.zeros(len(b.raw) + 1, np.int64)
                 lo, hi = (np.concatenate([x[state == 1], start[again == 1]]) for x in (b.low, b.high))
@@ -231,28 +252,28 @@ def spans(docs: DataFrame) -> DataFrame:
         mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
         return stored.join(told, "task", "left").select("task", "block", "ids", "offsets", "raw", mine.alias("answers"))
 
-    with arrow_rows(spark, 8):
+    with stored_blocks(), arrow_rows(spark, 8):
         first = stored.mapInArrow(anchors, "task long, block long, bucket long, ids binary, a binary, b binary")
-        said = cut(first.groupBy("bucket").applyInArrow(_merge(True, 0), SAID))
-        second = with_answers(said).mapInArrow(edges, "task long, block long, bucket long, ids binary, a binary")
-        said = cut(said.union(second.groupBy("bucket").applyInArrow(_merge(False, 1), SAID)))
+        said = cut(first.groupBy("bucket").applyInArrow(_merge(0), SAID))
+        second = with_answers(said).mapInArrow(edges, "task long, block long, bucket long, ids binary, a binary, b binary")
+        said = cut(said.union(second.groupBy("bucket").applyInArrow(_merge(1), SAID)))
         out = cut(with_answers(said).mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"))
-    spark.sql(f"DROP TABLE {name}")
     return out
 
 
 def texts(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes of text taken out; a character that loses some of its bytes is read as U+FFFD. Rows of equal id and length are treated alike."""
-    found = spans(docs).groupBy("doc_id", "n_bytes").agg(F.max("removed").alias("_removed"))
-    d = docs.withColumn("_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
-    joined = d.join(found, d.doc_id.cast("long").eqNullSafe(found.doc_id) & (d._bytes == found.n_bytes), "left").select(*(d[c] for c in docs.columns), "_removed")
+    gone, size, own = (free_name(n, docs.columns) for n in ("_removed", "_bytes", "_own"))
+    found = spans(docs).groupBy(F.col("doc_id").alias(own), F.col("n_bytes").alias(f"{size}x")).agg(F.max("removed").alias(gone))
+    d = docs.withColumn(size, F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
+    joined = d.join(found, d["doc_id"].cast("long").eqNullSafe(F.col(own)) & (F.col(size) == F.col(f"{size}x")), "left").select(*(d[f"`{c}`"] for c in docs.columns), gone)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for x, gone in zip(b.column(at), b.column("_removed")):
-                raw, ends = (x.as_py() or "").encode(), np.frombuffer(gone.as_py() or b"", np.int64)
+            for x, removed in zip(b.column(at), b.column(gone)):
+                raw, ends = (x.as_py() or "").encode(), np.frombuffer(removed.as_py() or b"", np.int64)
                 cuts = [0, *ends.tolist(), len(raw)]
                 out.append(b"".join(raw[i:j] for i, j in zip(cuts[::2], cuts[1::2])).decode("utf-8", "replace"))
             columns = list(b.columns[:-1])
