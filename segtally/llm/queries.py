@@ -24,8 +24,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = url_filters.rules(spark)
-    return url_filters.judge(table(spark, sf_dir, "pages", "page_id", "url"), rules, len(url_filters.HOST_RULES) + len(url_filters.PATTERNS))
+    return url_filters.judge(table(spark, sf_dir, "pages", "page_id", "url"), url_filters.rules(spark))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,11 +59,11 @@ def rules(spark: SparkSession, host_rules=HOST_RULES, patterns=PATTERNS) -> Data
     return spark.createDataFrame(made, "rule string, verdict string, regex string, tokens array<string>, kind int, branch int")
 
 
-def judge(pages: DataFrame, rule_table: DataFrame, n_rules: int) -> DataFrame:
+def judge(pages: DataFrame, rule_table: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict, pattern for every row of pages."""
-    small = F.broadcast if n_rules <= BROADCAST_RULES else lambda df: df
+    small = F.broadcast if rule_table.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else lambda df: df
     urls = pages.select("url").where(F.col("url").isNotNull()).distinct()
-    urls = urls.select("url", F.concat(host("url"), path("url")).alias("place")).where("place != ''").select("url", "place", F.explode(F.concat(tokens(F.col("place")), F.array(F.lit("")))).alias("token")).distinct()
+    urls = urls.select("url", F.concat(host("url"), path("url")).alias("place")).where("place != ''").select("url", "place", F.explode(F.array_distinct(F.concat(tokens(F.col("place")), F.array(F.lit(""))))).alias("token"))
     literal = rule_table.select(F.explode("tokens").alias("token")).distinct()
     counts = urls.join(small(literal), "token").groupBy("token").count()
     rarest = (
