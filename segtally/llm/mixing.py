@@ -14,7 +14,9 @@ reruns agree.
 
 Defined cases: a null text has size 0 and is taken 0 words; the null source comes
 last; equal ranks go by id, then size; an empty table gives an empty table;
-repeated rows are separate documents; other columns are not read.
+repeated rows are separate documents; a text of any length is one row, of which only
+the size goes on; other columns come through, whatever their names. The windows over
+sources run in one task, over a row a source.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WS, cut
+from .base import WS, cut, free_name
 
 BINS = 1024
 
@@ -86,11 +88,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """docs with each row as many times as the mix takes it; rows of one doc_id and size are taken alike."""
-    copies = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_words")).agg((F.max("taken") / F.max("size")).cast("int").alias("_copies"))
-    d = docs.withColumn("_size", word_count(F.col("text")))
-    joined = d.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_words")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    """docs with each row as many times as the mix takes it, in all their columns; rows of one doc_id and size are taken alike."""
+    own, size, copies, number = (free_name(n, docs.columns) for n in ("_own", "_size", "_copies", "_number"))
+    taken = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias(own), F.col("size").alias(f"{size}x")).agg((F.max("taken") / F.max("size")).cast("int").alias(copies))
+    d = docs.withColumn(size, word_count(F.col("text")))
+    joined = d.join(taken, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(size) == F.col(f"{size}x")))
+    return joined.select(*(d[f"`{c}`"] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col(copies))).alias(number)).drop(number)
 
 
 SQL = r"""

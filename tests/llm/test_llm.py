@@ -96,24 +96,22 @@ def test_lm(spark, docs):
     assert len(got) == len(rows()) and all(r.score < 0 and 0 <= r.n_known <= r.n_tokens for r in got)
     want = collections.Counter((i, len(re.findall(r"[^\x20\x09-\x0D]+", low(t))) + 1) for i, t, *_ in rows())
     assert collections.Counter((r.doc_id, r.n_tokens) for r in got) == want
-    few = {r.doc_id: r.base_score for r in lm_score.score(docs, hot_words=2).collect()}
-    assert all(abs(few[r.doc_id] - r.base_score) < 1e-6 for r in got)
     assert lm_score.score(empty(spark)).count() == 0
 
 
-def test_lm_keeps_every_pair(spark, docs):
-    """Neither pairs seen once nor the bounds of what is broadcast change a score."""
-    pairs = [(i, "%s c%d d%d" % (x, i, i), None, 1, 2, "n", 3) for i, x in enumerate(["a b", "a b", "b a", "a e", "b e"] * 40)]
+def test_lm_keeps_every_gram(spark, docs):
+    """Pairs and triples seen once count, and neither buckets nor blocks change a score."""
+    pairs = [(i, "%s c%d d%d e%d" % (x, i, i, i), None, 1, 2, "n", 3) for i, x in enumerate(["a b", "a b", "b a", "a e", "b e"] * 40)]
     text = spark.createDataFrame(pairs, SCHEMA)
     held = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 10 == 0)
-    train = [i for i, *_ in pairs if zlib.crc32(str(i).encode()) % 10]
-    once, never = f"c{train[0]} d{train[0]}", f"c{train[0]} d{train[1]}"
-    more = spark.createDataFrame([(held, once, None, 1, 2, "n", 3), (held, never, None, 1, 2, "n", 3)], SCHEMA)
+    x, y, z = [i for i, *_ in pairs if zlib.crc32(str(i).encode()) % 10][:3]
+    texts = [f"c{x} d{x} e{x}", f"c{y} d{x} e{x}", f"c{y} d{x} e{z}"]  # a triple, a pair and words alone that the training texts hold once
+    more = spark.createDataFrame([(held, t, None, 1, 2, "n", 3) for t in texts], SCHEMA)
     got = sorted(r.score for r in lm_score.score(text.unionByName(more)).where(F.col("doc_id") == held).collect())
-    assert got[1] - got[0] > 0.5  # one of them has a pair that the training texts hold once
-    whole = sorted((str(r.doc_id), r.n_known, r.base_score, r.score) for r in lm_score.score(docs).collect())
-    bound = sorted((str(r.doc_id), r.n_known, r.base_score, r.score) for r in lm_score.score(docs, hot_words=2, max_filter_bytes=1).collect())
-    assert [x[:2] for x in whole] == [x[:2] for x in bound] and all(abs(a - b) < 1e-9 for x, y in zip(whole, bound) for a, b in zip(x[2:], y[2:]))
+    assert got[1] - got[0] > 0.5 and got[2] - got[1] > 0.5
+    key = lambda df: sorted((str(r.doc_id), r.n_known, round(r.base_score, 6), r.score) for r in df.collect())
+    whole, cut_up = key(lm_score.score(docs)), key(lm_score.score(docs, bucket_bytes=500, block_bytes=1000))
+    assert [x[:3] for x in whole] == [x[:3] for x in cut_up] and sum(abs(a[3] - b[3]) > 0.01 * abs(a[3]) for a, b in zip(whole, cut_up)) < 3  # the filter errs at times
 
 
 def test_decontaminate(spark, docs):
@@ -138,7 +136,7 @@ def test_others(spark, docs):
     lines = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
     assert lines[13].n_removed == 9 and lines[13].n_runs == 1 and lines[0].n_removed == 0
     pages = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.Example.com/en/7x?q"), (4, "http://b.com/en/"), (4, "http://b.com/en/"), (5, "x://adult-a.example.io")], "page_id int, url string")
-    out = sorted((r.page_id, r.rule, r.verdict) for r in url_filters.judge(pages, url_filters.rules(spark), 8).collect())
+    out = sorted((r.page_id, r.rule, r.verdict) for r in url_filters.judge(pages, url_filters.rules(spark)).collect())
     assert [x[2] for x in out] == ["allow", "allow", "allow", "block", "block", "block"] and out[2][1] == "example.com/en/7"
 
 
@@ -148,7 +146,7 @@ def test_quality(spark):
     out = quality.classify(docs, half).join(labels.where("doc_id % 2 = 1"), "doc_id")
     kept = lambda cond: out.where(cond).agg(F.avg(F.col("selected").cast("int"))).first()[0]
     assert kept("quality = 1 and toxic = 0") > 0.97
-    assert kept("quality = 0") < 0.7
+    assert kept("quality = 0") < 0.4
     assert quality.classify(docs.limit(0), labels).count() == 0
     assert quality.classify(docs.limit(5), labels.limit(0)).where("selected").count() == 5
 
@@ -157,14 +155,14 @@ def test_url_tokens(spark):
     urls = ["http://adult-videos.com/x", "http://a.adult-b.org", "http://adultery.com/x", "http://x.org/signup", "http://x.org/a/login/b", "http://x.org/login-page", "http://bigcasino.org/", "http://casinobig.org/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
     rules = url_filters.rules(spark, [*url_filters.HOST_RULES, ("block", "my-site.org/a-b.c/")])
-    assert [r.verdict for r in url_filters.judge(pages, rules, 9).orderBy("page_id").collect()] == ["block", "block", "allow", "block", "block", "allow", "allow", "block"]
+    assert [r.verdict for r in url_filters.judge(pages, rules).orderBy("page_id").collect()] == ["block", "block", "allow", "block", "block", "allow", "allow", "block"]
     dashed = spark.createDataFrame([(0, "http://www.my-site.org/a-b.c/d"), (1, "http://site.org/a-b.c/d")], "page_id int, url string")
-    assert [r.verdict for r in url_filters.judge(dashed, rules, 9).orderBy("page_id").collect()] == ["block", "allow"]
+    assert [r.verdict for r in url_filters.judge(dashed, rules).orderBy("page_id").collect()] == ["block", "allow"]
 
 
 def test_quality_toxic(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
     out = quality.classify(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").join(docs.select("doc_id", F.size(F.split("text", r"\s+")).alias("n")), "doc_id").toPandas()
     toxic = out[out.toxic == 1]
-    assert toxic.selected.mean() < 0.32
-    assert toxic[toxic.n >= 500].selected.mean() < 0.25  # length does not outvote toxic n-grams
+    assert toxic.selected.mean() < 0.22
+    assert toxic[toxic.n >= 500].selected.mean() < 0.22  # length does not outvote toxic n-grams
