@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents that it keeps;
 the last returns the mix, in which a document stands as often as it is taken.
+
+Defined cases: null, empty and repeated texts, null ids and other columns, whatever
+their names, fare as the operator of each stage says; an empty table goes through as
+an empty table.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from segtally.llm import decontaminate, exact_dedup, jaccard_join, mixing, quality
-from segtally.llm.base import shared_folder, table
+from segtally.llm.base import exists, remove, shared_folder, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +43,17 @@ STAGES = [("quality", good), ("exact_dedup", exact), ("jaccard_join", near), ("d
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The rows of the last stage. Stages are stored below folder, and one that is there already is not run again, so that
+    a lost driver can go on; without folder they go below the shared folder, each until the next one is stored."""
+    root = folder or f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{root}/{k}-{name}"
+        if not exists(spark, f"{path}/_SUCCESS"):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if before and not folder:
+            remove(spark, before)
+        before = path
     return docs
