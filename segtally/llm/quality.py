@@ -15,7 +15,7 @@ documents whose weight is over 1. Keys carry the noise of a hash of the id at fu
 scale, so reruns agree; rows of one id and text are drawn alike.
 
 The models are fitted on at most ``sample`` labelled documents (a documented
-bound; the smallest hashes of their ids are taken) and hold 2^20 buckets; all
+bound; the smallest hashes of their ids are taken) and hold 2^19 buckets; all
 documents are scored by their whole text. The k-th key is found by narrowing
 histograms, never by sorting all rows in one task.
 
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .base import _ALNUM, _LOWER, _WS, _spans, blocks, cut, free_name, hashes, mix
 
-BITS = 20
+BITS = 19
 BEGINNINGS = (4, 6, 8)
 SURE, LEAST = 2.5, 1.5
 #: Labelled documents that the models are fitted on, at most.
@@ -128,15 +128,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
 
     parts = labelled.mapInArrow(count, "part int, at binary, n binary, docs long").groupBy("part").applyInArrow(add, "part int, n binary, docs long")
     counts, n = np.zeros((3 * FOLDS, 16, 1 << chunk), np.int32), np.zeros(3 * FOLDS)
-    for r in parts.collect():  # 192 rows of 256 kB at most
+    for r in parts.toLocalIterator():  # 192 rows of 128 kB at most
         counts[r.part // 16, r.part % 16] = np.frombuffer(r.n, np.int32)
         n[r.part // 16] = r.docs
     counts, n = counts.reshape(3, FOLDS, -1), n.reshape(3, FOLDS)
-    total, n_total = counts.sum(axis=1), n.sum(axis=1)
+    total, n_total = counts.sum(axis=1, dtype=np.int32), n.sum(axis=1)
     ratios, odds = ratios_of(total, n_total)
     if not n_total[0]:
         return ratios, odds
-    without = docs.sparkSession.sparkContext.broadcast([ratios_of(total - counts[:, f], n_total - n[:, f]) for f in range(FOLDS)])  # 32 MB
+    without = docs.sparkSession.sparkContext.broadcast([ratios_of(total - counts[:, f], n_total - n[:, f]) for f in range(FOLDS)])  # 16 MB
 
     def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in blocks(batches):
@@ -177,7 +177,7 @@ def top_k(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_0
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, text_hash, n_grams, log_weight, gumbel_key of every row of docs."""
     ratios, odds = fit(docs, labels, sample)
-    model = docs.sparkSession.sparkContext.broadcast((ratios, odds))  # 8 MB
+    model = docs.sparkSession.sparkContext.broadcast((ratios, odds))  # 4 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r, o = model.value
