@@ -47,7 +47,7 @@ ADD = 0.1
 #: Counts by which the order below is weighed in pairs and triples.
 PAIR_PRIOR, TRIPLE_PRIOR = 500.0, 10.0
 BITS_PER_KEY, PROBES = 14, 7
-BUCKET_BYTES, BLOCK = 8 << 20, 3 << 20
+BUCKET_BYTES, BLOCK = 4 << 20, 5 << 19
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -197,6 +197,7 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int =
         told = [tuple(press(v[at[i:j]].tobytes()) for i, j in zip(cuts[:-1], cuts[1:])) for v, (at, _, cuts) in zip(probed, known)]
         at, n, cuts = known[0]
         exact = [press(planes(n[at[i:j]])) for i, j in zip(cuts[:-1], cuts[1:])]
+        del keys, levels, segment
         first = [1] + [0] * (t.num_rows - 1)  # the bucket's totals stand in one of its rows
         totals = [int((n > 0).sum()), int(n.sum())]
         return pa.table({"task": t["task"], "block": t["block"], "bucket": t["bucket"], "wc": pa.array(exact, pa.binary()), **{c: pa.array(x, pa.binary()) for c, x in zip(("wl", "pl", "tl"), told)}, "words": [totals[0] * f for f in first], "tokens": [totals[1] * f for f in first]})
@@ -206,9 +207,9 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int =
     try:
         d.mapInArrow(bodies_of, "task long, block long, body binary").write.bucketBy(tasks, "task").format("parquet").saveAsTable(name)
         stored = spark.table(name)
-        with arrow_rows(spark, 4):
+        with arrow_rows(spark, 2):
             sent = stored.mapInArrow(lists, "task long, block long, bucket long, " + ", ".join(f"{c} binary" for c in SENT))
-        answers = cut(sent.groupBy("bucket").applyInArrow(answer, "task long, block long, bucket long, wc binary, wl binary, pl binary, tl binary, words long, tokens long"))
+            answers = cut(sent.groupBy("bucket").applyInArrow(answer, "task long, block long, bucket long, wc binary, wl binary, pl binary, tl binary, words long, tokens long"))
         v, n = (x or 0 for x in answers.agg(F.sum("words"), F.sum("tokens")).first())
         told = answers.repartition(tasks, "task").groupBy("task").agg(F.collect_list(F.struct("block", "bucket", "wc", "wl", "pl", "tl")).alias("answers"))  # of the blocks of one task
         mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
