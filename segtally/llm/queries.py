@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontaminate, exact_dedup, jaccard_join, line_dedup, lm_score, mixing, packing, quality, suffix_dedup, token_counts, url_filters
+from . import alignment, collocations, decontaminate, exact_dedup, jaccard_join, line_dedup, lm_score, mixing, packing, quality, suffix_dedup, token_counts, url_filters
 from .base import table
 
 
@@ -65,5 +65,9 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_jaccard_join, op4_url_filters, op5_exact_dedup, op6_lm_score, op7_decontaminate, op8_mixing, op9_quality, op10_line_dedup, op11_packing, op12_alignment)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_jaccard_join, op4_url_filters, op5_exact_dedup, op6_lm_score, op7_decontaminate, op8_mixing, op9_quality, op10_line_dedup, op11_packing, op12_alignment, op13_collocations)}
 SQL = {"op4_url_filters": url_filters.SQL, "op5_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op10_line_dedup": line_dedup.SQL}
