@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 #: Words, and parts of words, whose ids a worker keeps; the memory is given back when there are more.
-KEEP_WORDS, KEEP_PARTS = 400_000, 400_000
+KEEP_WORDS, KEEP_PARTS = 700_000, 500_000
 #: Bytes of text that are split into words at a time.
 STEP = 1 << 20
 #: Bytes of ids in one Arrow batch of pieces.
@@ -61,6 +61,10 @@ class _Filled(dict):
         return value
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Ids of a text as the tokenizers library gives them, little-endian unsigned 32-bit, without added special tokens.
 
@@ -76,21 +80,23 @@ class WordEncoder:
         norm = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.by_word = norm == NORMALIZER and pre[0].get("pattern", {}).get("Regex") == SPLIT and pre[0].get("behavior") == "Removed" and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
-        self.special = [t["content"].encode() for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)").search
         self.split, self.letters = regex.compile(SPLIT).findall, byte_letters()
         self.words, self.parts = _Filled(self._word), _Filled(self._part)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed_ids(self.lib.encode(text, add_special_tokens=False).ids)
 
     def _part(self, part: str) -> bytes:
-        return np.array([t.id for t in self.lib.model.tokenize("".join(self.letters[b] for b in part.encode()))], "<u4").tobytes()
+        """Printing ASCII stands for itself among byte letters."""
+        return packed_ids([t.id for t in self.lib.model.tokenize(part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode())))])
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         # Printing letters below U+0180 are normal forms already, and every version of Unicode puts them into the same classes.
-        if max(text) < "ƀ" and text.isprintable() and not any(s in word for s in self.special):
-            return b"".join(map(self.parts.__getitem__, self.split(unicodedata.normalize("NFC", text).lower())))
+        if text.isprintable() and (text.isascii() or max(text) < "ƀ") and not self.special(text):
+            low = text.lower()
+            return self.parts[low] if low.isalpha() else b"".join(map(self.parts.__getitem__, self.split(low)))
         return self._whole(text)
 
     def encode(self, raw: bytes) -> bytes:
