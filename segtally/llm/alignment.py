@@ -8,9 +8,11 @@ as they are equal and then halved, and a whole one-to-one stretch is jumped at o
 where ends differ, the side that is behind goes on until both meet, and the shift is
 set anew. Every pair of ids that shares a group is linked.
 
-Texts are encoded in chunks that neither tokenizer joins with what follows (they begin
-at white space behind something else), and the ids of chunks are kept. Distinct pairs of
-each text are stored once; their counts are summed by task and then by pair. Counts go
+Texts are cut into chunks that neither tokenizer joins with what follows (they begin at
+white space behind something else), so both end a token where a chunk ends. The chunks
+that a worker has not seen yet are encoded and laid end to end, and their groups are found
+in one run; the groups of a text are those of its chunks. Distinct pairs of each text
+are stored once; their counts are summed by task and then by pair. Counts go
 to all workers if there are at most ``most_pairs`` of them; beyond that, pairs and counts
 meet in a join that is salted by row.
 
@@ -28,6 +30,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,8 +82,7 @@ class Pair:
         self.a_len, self.b_len = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.mark = self.b.piece_to_id(MARK)
         self.parts = _Filled(self._part)
-        self.chunks: dict[str, tuple[bytes, bytes] | None] = {}
-        self.kept = 0
+        self.forget()
         #: How an id stands in the text of groups: A's before "," and "|", B's before "," and ";".
         self.written = [b"%d%c" % (i, s) for t, marks in ((self.a_bytes, b",|"), (self.b_bytes, b",;")) for s in marks for i in range(len(t))]
 
@@ -89,7 +91,12 @@ class Pair:
         return "<u4" if len(self.a_bytes) * len(self.b_bytes) < 1 << 32 else "<u8"
 
     def _part(self, part: str) -> tuple[int, ...]:
-        return tuple(t.id for t in self.a.model.tokenize("".join(self.letters[b] for b in part.encode())))
+        """Printing ASCII stands for itself, but for spaces."""
+        if part.isprintable():
+            word = part.replace(" ", self.letters[32])
+        else:
+            word = "".join(map(self.letters.__getitem__, part.encode()))
+        return tuple([t.id for t in self.a.model.tokenize(word)])
 
     def _encode_a(self, chunks: list[str]) -> list[list[int]]:
         out: list = [None] * len(chunks)
@@ -104,23 +111,44 @@ class Pair:
         ids = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
         return [([self.mark] if c == " " else x) if c[0] == " " else (x[1:] if x[:1] == [self.mark] else []) for c, x in zip(chunks, ids)]
 
+    def forget(self) -> None:
+        #: The number of each chunk, -1 where bytes differ; by number its measures, the text of its groups and where its pairs begin.
+        self.numbers: dict[str, int] = {}
+        self.measures = np.zeros((0, 4), np.int64)
+        self.texts: list[bytes] = []
+        self.pairs, self.times, self.pairs_at = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.kept = 0
+
     def room(self) -> None:
-        if len(self.chunks) > KEEP_CHUNKS or self.kept > KEEP_LETTERS:
-            self.chunks.clear()
-            self.kept = 0
+        if len(self.numbers) > KEEP_CHUNKS or self.kept > KEEP_LETTERS:
+            self.forget()
         if len(self.parts) > KEEP_PARTS:
             self.parts.clear()
 
     def learn(self, chunks: set[str]) -> None:
-        todo = list(chunks.difference(self.chunks))
+        todo = list(chunks.difference(self.numbers))
         if not todo:
             return
-        at, bt = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for c, a, b in zip(todo, self._encode_a(todo), self._encode_b(todo)):
-            raw = c.encode()
-            same = b"".join(map(at, a)) == raw == b"".join(map(bt, b))
-            self.chunks[c] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
-            self.kept += len(c)
+        self.kept += sum(map(len, todo))
+        size, good, sides = np.array([len(c.encode()) for c in todo]), np.ones(len(todo), bool), []
+        for ids, length in ((self._encode_a(todo), self.a_len), (self._encode_b(todo), self.b_len)):
+            at = np.cumsum([0, *map(len, ids)])
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(at[-1]))
+            good &= np.diff(np.concatenate([[0], np.cumsum(length[flat])])[at]) == size
+            sides.append((flat, at))
+        (_, _), (flat, at) = sides
+        for i, c in enumerate(todo):  # both cut the text itself into tokens; only the mark reads otherwise than it is written
+            if not c.isascii() and good[i]:
+                good[i] = MARK not in c and b"".join(map(self.b_bytes.__getitem__, flat[at[i] : at[i + 1]].tolist())) == c.encode()
+        number = np.where(good, np.cumsum(good) - 1 + len(self.texts), -1)
+        self.numbers.update(zip(todo, number.tolist()))
+        if good.any():
+            (a, a_at), (b, b_at) = ((flat[np.repeat(good, np.diff(at))], np.concatenate([[0], np.cumsum(np.diff(at)[good])])) for flat, at in sides)
+            measures, texts, pairs, times, pairs_at = _aligned(a, a_at, b, b_at, self)
+            self.measures = np.concatenate([self.measures, measures])
+            self.texts += texts
+            self.pairs_at = np.concatenate([self.pairs_at, len(self.pairs) + pairs_at[1:]])
+            self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
 
 
 @lru_cache(maxsize=2)
@@ -128,16 +156,29 @@ def pair_of(a_file: str, b_file: str) -> Pair:
     return Pair(a_file, b_file)
 
 
-def group_ends(ea: list[int], eb: list[int]) -> tuple[list[int], list[int]]:
+def group_ends(ea: list[int], eb: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Where groups end, as indices behind their last tokens, from the ends of two token lists over the same bytes."""
-    ga: list[int] = []
-    gb: list[int] = []
+    first_a: list[int] = []
+    first_b: list[int] = []
+    count: list[int] = []
     i = j = 0
     n = len(ea)
     while i < n:
         x, y = ea[i], eb[j]
-        if x == y:
-            shift, at, width = j - i, i + 1, 1
+        while x != y:  # irregular: whoever is behind goes on
+            if x < y:
+                i += 1
+                x = ea[i]
+            else:
+                j += 1
+                y = eb[j]
+        shift, i = j - i, i + 1
+        first_a.append(i)
+        first_b.append(i + shift)
+        at = i
+        if at < n and ea[at] == eb[at + shift]:
+            at += 1
+            width = 2
             while (part := ea[at : at + width]) and part == eb[at + shift : at + shift + width]:
                 at += len(part)
                 width *= 2
@@ -146,22 +187,11 @@ def group_ends(ea: list[int], eb: list[int]) -> tuple[list[int], list[int]]:
                 part = ea[at : at + width]
                 if part and part == eb[at + shift : at + shift + width]:
                     at += len(part)
-            ga.extend(range(i + 1, at + 1))
-            gb.extend(range(j + 1, at + shift + 1))
-            i, j = at, at + shift
-        else:
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = ea[i]
-                else:
-                    j += 1
-                    y = eb[j]
-            i += 1
-            j += 1
-            ga.append(i)
-            gb.append(j)
-    return ga, gb
+        count.append(at - i + 1)
+        i, j = at, at + shift
+    n_runs = np.array(count, np.int64)
+    more = np.arange(int(n_runs.sum())) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs)
+    return tuple(np.repeat(np.array(f, np.int64), n_runs) + more for f in (first_a, first_b))
 
 
 def _linked(a: np.ndarray, b: np.ndarray, a0: np.ndarray, b0: np.ndarray, na: np.ndarray, nb: np.ndarray, doc: np.ndarray, p: Pair) -> tuple[np.ndarray, np.ndarray]:
@@ -188,20 +218,14 @@ def _linked(a: np.ndarray, b: np.ndarray, a0: np.ndarray, b0: np.ndarray, na: np
     return k[first], np.add.reduceat(t, first) if len(first) else t
 
 
-def _aligned(found: list[list[tuple[bytes, bytes]]], p: Pair) -> Iterator[tuple]:
-    """n_a, n_b, n_groups, n_links, text of the groups, pairs and times of each list of chunk ids; one step over all."""
-    a_parts, b_parts = [b"".join([x[0] for x in f]) for f in found], [b"".join([x[1] for x in f]) for f in found]
-    a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in (a_parts, b_parts))
-    a_at, b_at = (np.cumsum([0, *(len(y) // 4 for y in x)]) for x in (a_parts, b_parts))
-    ga, gb = (np.array(x, np.int64) for x in group_ends(np.cumsum(p.a_len[a]).tolist(), np.cumsum(p.b_len[b]).tolist()))
-    a0, b0 = np.concatenate([[0], ga[:-1]])[: len(ga)], np.concatenate([[0], gb[:-1]])[: len(gb)]
+def _aligned(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, p: Pair) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts whose ids stand end to end: n_a, n_b, n_groups and n_links of each, the text of its groups, distinct pairs and their links, and where the pairs of each begin."""
+    n, all_pairs = len(a_at) - 1, len(p.a_bytes) * len(p.b_bytes)
+    ga, gb = group_ends(np.cumsum(p.a_len[a]).tolist(), np.cumsum(p.b_len[b]).tolist())
+    a0, b0 = np.concatenate([[0], ga[:-1]]), np.concatenate([[0], gb[:-1]])
     na, nb = ga - a0, gb - b0
-    g_at = np.searchsorted(ga, a_at, "right") if len(ga) else np.zeros(len(a_at), np.int64)
-    g_at[0] = 0
-    doc = np.repeat(np.arange(len(found)), np.diff(g_at))
-    keys, times = _linked(a, b, a0, b0, na, nb, doc, p)
-    of_doc = np.searchsorted(keys, np.arange(len(found) + 1) * (len(p.a_bytes) * len(p.b_bytes)))
-    pairs = (keys % (len(p.a_bytes) * len(p.b_bytes))).astype(p.pair_type)
+    g_at = np.searchsorted(ga, a_at, "right")
+    keys, times = _linked(a, b, a0, b0, na, nb, np.repeat(np.arange(n), np.diff(g_at)), p)
     links = np.concatenate([[0], np.cumsum(na * nb)])
     group = np.arange(len(ga))
     code = np.empty(len(a) + len(b), np.int64)
@@ -211,22 +235,52 @@ def _aligned(found: list[list[tuple[bytes, bytes]]], p: Pair) -> Iterator[tuple]
     last = np.zeros(len(b), bool)
     last[gb - 1] = True
     code[np.arange(len(b)) + ga[np.repeat(group, nb)]] = b + 2 * len(p.a_bytes) + last * len(p.b_bytes)
-    written = p.written.__getitem__
-    for k in range(len(found)):
-        text = b"".join(map(written, code[a_at[k] + b_at[k] : a_at[k + 1] + b_at[k + 1]].tolist()))
-        yield int(a_at[k + 1] - a_at[k]), int(b_at[k + 1] - b_at[k]), int(g_at[k + 1] - g_at[k]), int(links[g_at[k + 1]] - links[g_at[k]]), text, pairs[of_doc[k] : of_doc[k + 1]], times[of_doc[k] : of_doc[k + 1]]
+    written, ends = list(map(p.written.__getitem__, code.tolist())), (a_at + b_at).tolist()
+    texts = [b"".join(written[i:j])[:-1] for i, j in zip(ends, ends[1:])]
+    return np.stack([np.diff(a_at), np.diff(b_at), np.diff(g_at), np.diff(links[g_at])], 1), texts, keys % all_pairs, times, np.searchsorted(keys, np.arange(n + 1) * all_pairs)
 
 
 NOTHING = (0, 0, 0, 0, b"", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def _summed(chunks: list[list[str]], p: Pair) -> list[tuple]:
+    """n_a, n_b, n_groups, n_links, text of the groups, distinct pairs and their links of each list of chunks."""
+    p.room()
+    p.learn(set().union(*chunks))
+    number = p.numbers.__getitem__
+    numbers = [list(map(number, c)) for c in chunks]
+    good = [k for k, x in enumerate(numbers) if x and min(x) >= 0]
+    out: list = [NOTHING] * len(chunks)
+    if not good:
+        return out
+    size = np.array([len(numbers[k]) for k in good])
+    at = np.concatenate([[0], np.cumsum(size)])
+    of = np.fromiter(chain.from_iterable(numbers[k] for k in good), np.int64, int(at[-1]))
+    sums = np.add.reduceat(p.measures[of], at[:-1]).tolist()
+    n, all_pairs = len(p.texts), len(p.a_bytes) * len(p.b_bytes)
+    key, times = np.unique(np.repeat(np.arange(len(good)), size) * n + of, return_counts=True)
+    doc, chunk = key // n, key % n
+    first, many = p.pairs_at[chunk], np.diff(p.pairs_at)[chunk]
+    place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many - first, many)
+    key, links = np.repeat(doc, many) * all_pairs + p.pairs[place], np.repeat(times, many) * p.times[place]
+    order = np.argsort(key)
+    key, links = key[order], links[order]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    key, links = key[new], np.add.reduceat(links, new)
+    ends = np.searchsorted(key, np.arange(len(good) + 1) * all_pairs)
+    key %= all_pairs
+    text = p.texts.__getitem__
+    for i, k in enumerate(good):
+        out[k] = (*sums[i], b";".join(map(text, numbers[k])), key[ends[i] : ends[i + 1]], links[ends[i] : ends[i + 1]])
+    return out
+
+
 def _long(text: str, p: Pair) -> tuple:
     """The same for one long text, in segments of whole chunks; the text of its groups comes as its hash."""
     sums, sha, held, pairs, times = np.zeros(4, np.int64), hashlib.sha256(), b"", [], []
-    part, size = [], 0
 
     def segments() -> Iterator[list[str]]:
-        nonlocal part, size
+        part, size = [], 0
         for m in CHUNK.finditer(" " + text):
             part.append(m[0])
             size += len(m[0])
@@ -237,14 +291,11 @@ def _long(text: str, p: Pair) -> tuple:
             yield part
 
     for chunks in segments():
-        p.room()
-        p.learn(set(chunks))
-        found = list(map(p.chunks.__getitem__, chunks))
-        if None in found:
+        ((*n, written, k, t),) = _summed([chunks], p)
+        if not n[0]:
             return NOTHING
-        (*n, written, k, t), = _aligned([found], p)
         sums += n
-        sha.update(held + written[:-1])
+        sha.update(held + written)
         held = b";"
         pairs.append(k)
         times.append(t)
@@ -253,21 +304,10 @@ def _long(text: str, p: Pair) -> tuple:
 
 
 def _measured(texts: list[str], p: Pair) -> list[tuple]:
-    out: list = [NOTHING] * len(texts)
-    short = []
-    for i, x in enumerate(texts):
-        if len(x) > SEGMENT:
-            out[i] = _long(x, p)
-        elif x:
-            short.append(i)
-    chunks = [CHUNK.findall(" " + texts[i]) for i in short]
-    p.room()
-    p.learn(set().union(*chunks))
-    found = [list(map(p.chunks.__getitem__, c)) for c in chunks]
-    good = [k for k, f in enumerate(found) if None not in f]
-    if good:
-        for k, x in zip(good, _aligned([found[k] for k in good], p)):
-            out[short[k]] = x
+    out = [_long(x, p) if len(x) > SEGMENT else NOTHING for x in texts]
+    short = [i for i, x in enumerate(texts) if 0 < len(x) <= SEGMENT]
+    for i, x in zip(short, _summed([CHUNK.findall(" " + texts[i]) for i in short], p)):
+        out[i] = x
     return out
 
 
@@ -277,13 +317,7 @@ def groups(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pair_of(a_file, b_file)
         for batch, *_ in blocks(batches):
-            rows = []
-            for x in batch.column("text").to_pylist():
-                parts = CHUNK.findall(" " + x) if x else []
-                p.room()
-                p.learn(set(parts))
-                found = list(map(p.chunks.__getitem__, parts))
-                rows.append("" if None in found or not found else next(_aligned([found], p))[4][:-1].decode())
+            rows = [x[4].decode() for x in _summed([CHUNK.findall(" " + x) if x else [] for x in batch.column("text").to_pylist()], p)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.string())], ["doc_id", "groups"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.select('doc_id').schema[0].dataType.simpleString()}, groups string")
@@ -297,7 +331,7 @@ def _store(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
         for batch, *_ in blocks(batches):
             out = _measured([x or "" for x in batch.column("text").to_pylist()], p)
             n = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
-            sha = pa.array(["" if not x[0] else x[4] if isinstance(x[4], str) else hashlib.sha256(memoryview(x[4])[:-1]).hexdigest() for x in out], pa.string())
+            sha = pa.array(["" if not x[0] else x[4] if isinstance(x[4], str) else hashlib.sha256(x[4]).hexdigest() for x in out], pa.string())
             pairs, times = (pa.array([x[i].astype(t).tobytes() for x in out], pa.binary()) for i, t in ((5, p.pair_type), (6, "<u4")))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(out))), batch.column("doc_id"), *n, sha, pairs, times], ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
             row += len(out)
