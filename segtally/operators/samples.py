@@ -143,32 +143,52 @@ def equal_bins(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     return every.join(counts, "bin", "left").select("bin", edge(F.col("bin") - 1).alias("low"), edge(F.col("bin")).alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def validate_metadata(meta: DataFrame, samples: DataFrame, columns: list[str], key: str = "sample_id", order: list[Column] | None = None, dates: tuple[str, ...] = (), coordinates: dict[str, tuple[float, float]] | None = None,
+def metadata_issues(meta: DataFrame, samples: DataFrame, key: str = "sample_id", line: str = "line", dates: tuple[str, ...] = (), coordinates: dict[str, tuple[float, float]] | None = None, barcode: str | None = None, strict: bool = False) -> DataFrame:
+    """line, level, message of everything that is wrong with a metadata table; line as sources.tables.read_table numbers its rows.
+
+    A row without a key is an error and looked at no further. The second and later rows of a
+    key are errors, rows of no sample warnings. A sample without metadata is a warning, or
+    an error if strict, without a line.
+    """
+    if line not in meta.columns:
+        raise ValueError(f"the table has no column {line!r}; read it with its line numbers")
+    name = E.clean(F.col(key).cast("string"))
+    own = [c for c in (*dates, *(coordinates or {}), *([barcode] if barcode else [])) if c in meta.columns]
+    rows = ranking.flag_duplicates(meta.select(F.col(line).cast("long").alias("_line"), name.alias("_name"), *(E.clean(F.col(c).cast("string")).alias(c) for c in own)), ["_name"], [F.asc("_line")])
+    known = samples.select(E.clean(F.col(key).cast("string")).alias("_name")).distinct().withColumn("_known", F.lit(True))
+    rows = rows.join(known, "_name", "left")
+    issue = lambda level, when, message: F.when(when, F.struct(F.lit(level).alias("level"), message.alias("message")))
+    said = lambda text, c: F.concat(F.lit(text), F.lit(": "), F.col(c))
+    checks = [issue("ERROR", F.col("duplicate"), said(f"{key} stands here again", "_name")), issue("WARNING", F.col("_known").isNull(), said(f"no sample has this {key}", "_name"))]
+    checks += [issue("ERROR", ~E.valid_iso_date(F.col(c)), said(f"{c} is no date of the form YYYY-MM-DD", c)) for c in dates if c in own]
+    checks += [issue("ERROR", ~E.valid_coordinate(F.col(c), lo, hi), said(f"{c} is no number from {lo:g} to {hi:g}", c)) for c, (lo, hi) in (coordinates or {}).items() if c in own]
+    if barcode in own:
+        checks.append(issue("WARNING", (F.col(barcode) != "") & ~F.lower(barcode).rlike(r"^barcode\d+$"), said(f"{barcode} is not of the form barcode01", barcode)))
+    all_checks = F.when(F.col("_name") == "", F.array(F.struct(F.lit("ERROR").alias("level"), F.lit(f"{key} is empty").alias("message")))).otherwise(F.array_compact(F.array(*checks)))
+    issues = rows.select(F.col("_line").alias("line"), F.inline(all_checks))
+    lost = known.join(rows.select("_name").distinct(), "_name", "left_anti").where("_name != ''")
+    return issues.unionByName(lost.select(F.lit(None).cast("long").alias("line"), F.lit("ERROR" if strict else "WARNING").alias("level"), said("sample without metadata", "_name").alias("message")))
+
+
+def validate_metadata(meta: DataFrame, samples: DataFrame, columns: list[str], key: str = "sample_id", line: str = "line", dates: tuple[str, ...] = (), coordinates: dict[str, tuple[float, float]] | None = None,
                       barcode: str | None = None, strict: bool = False, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The conformed table, the issues (key, level, message) and the counters (name, value).
+    """The conformed table, the issues (metadata_issues) and the counters (name, value).
 
-    A later row of a key is an error and wins in the table; samples without metadata are
-    warnings, or errors if strict. With path, the report is written before errors raise.
+    Of several rows of a key the last line wins in the table. All samples without metadata
+    count as one warning (or error). With path, the report is written before errors raise.
     """
-    text = F.concat_ws("\t", *(F.col(c).cast("string") for c in meta.columns))
-    rows = ranking.flag_duplicates(meta, [key], order or [text])
-    checks = [("ERROR", f"{c}: no date of the form YYYY-MM-DD", E.valid_iso_date(F.col(c))) for c in dates]
-    checks += [("ERROR", f"{c}: not a number from {lo:g} to {hi:g}", E.valid_coordinate(F.col(c), lo, hi)) for c, (lo, hi) in (coordinates or {}).items()]
-    if barcode:
-        checks.append(("WARNING", f"{barcode}: not of the form barcode01", (E.clean(F.col(barcode)) == "") | E.matches(E.clean(F.col(barcode)), r"barcode\d+")))
-    issues = rollup.validation_issues(rows.withColumn(key, F.col(key).cast("string")), key, checks, F.col("duplicate"))
-    away = rollup.unmatched(meta, samples, key)
-    extra = away.where("side = 'left'").select(F.col(key).cast("string").alias(key), F.lit("WARNING").alias("level"), F.lit("metadata without a sample").alias("message"))
-    lost = away.where("side = 'right'").select(F.col(key).cast("string").alias(key), F.lit("ERROR" if strict else "WARNING").alias("level"), F.lit("sample without metadata").alias("message"))
-    issues = issues.unionByName(extra).unionByName(lost)
+    issues = metadata_issues(meta, samples, key, line, dates, coordinates, barcode, strict)
+    rows = ranking.flag_duplicates(meta.where(E.clean(F.col(key).cast("string")) != ""), [key], [F.asc(line)])
     table = rollup.conform_metadata(rows.where("last").drop("duplicate", "last"), samples.select(key).distinct(), key, columns)
+    lost = F.col("line").isNull()
+    count = lambda level: (F.count_if((F.col("level") == level) & ~lost) + F.coalesce(F.max(F.when((F.col("level") == level) & lost, 1)), F.lit(0))).cast("long")
     counts = (
         table.agg(F.count("*").alias("expected"), F.count_if(F.col("metadata_status") == "COMPLETE").alias("matched"), F.count_if(F.col("metadata_status") == "MISSING").alias("missing"))
-        .crossJoin(meta.agg(F.count("*").alias("rows"))).crossJoin(issues.agg(F.count_if(F.col("level") == "WARNING").alias("warnings"), F.count_if(F.col("level") == "ERROR").alias("errors")))  # one row each
+        .crossJoin(meta.agg(F.count("*").alias("rows"))).crossJoin(issues.agg(count("WARNING").alias("warnings"), count("ERROR").alias("errors")))  # one row each
         .unpivot([], ["expected", "rows", "matched", "missing", "warnings", "errors"], "name", "value")
     )
     if path:
-        write_validation_report(counts, issues.withColumnRenamed(key, "key"), path)
+        write_validation_report(counts, issues, path)
     return table, issues, counts
 
 

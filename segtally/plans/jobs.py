@@ -24,8 +24,8 @@ def sample_job(spark: SparkSession, results: str, expected: DataFrame, layout: d
     def kind(name: str, read, columns: str) -> DataFrame:
         return read(at(name)) if name in layout else spark.createDataFrame([], columns)
 
-    metadata = kind("metadata", lambda p: files.read_table(spark, p, keys={"_folder": sample}), "_folder string")
-    metadata = ranking.first_by(metadata.drop("sample").withColumnRenamed("_folder", "sample"), ["sample"], [F.asc(F.concat_ws("\t", *(F.col(f"`{c}`") for c in metadata.columns if c not in ("sample", "_folder"))))])
+    metadata = kind("metadata", lambda p: files.read_table(spark, p, keys={"_folder": sample}, line="_line"), "_folder string, _line long")
+    metadata = ranking.first_by(metadata.drop("sample").withColumnRenamed("_folder", "sample"), ["sample"], [F.asc("_line")]).drop("_line")
     read_qc = kind("read_qc", lambda p: files.read_read_qc_json(spark, p, keys), "sample string, " + ", ".join(f"{n} string" for n in files.READ_QC_FIELDS))
     coverage = kind("coverage", lambda p: files.read_table(spark, p, keys={"_folder": sample}).drop("sample").withColumnRenamed("_folder", "sample"), "sample string, segment string, coverage_flag string, contig string, median_depth string, candidate_count string")
     hits = kind("hits", lambda p: files.read_hits(spark, p, {**keys, "segment": r"/([^/.]+)\.[^/]*$"}), "sample string, segment string, subject_title string, percent_identity double, evalue double, bit_score double")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segtally.functions import expr as E
 from segtally.operators.reports import flatten_json
+from segtally.operators.scans import STRETCH, running
+from segtally.sources.tables import by_name, column_names, fields, file_lines, listing, read_table
 
 
 def path_part(pattern: str) -> Column:
@@ -28,46 +31,106 @@ def discover_samples(spark: SparkSession, folder: str, pattern: str) -> DataFram
     return files.withColumn("sample", name).where("sample is not null").groupBy("sample").agg(F.min("path").alias("path"), F.min_by("bytes", "path").alias("bytes"))
 
 
-def read_table(spark: SparkSession, paths, sep: str = "\t", keys: dict[str, str] | None = None) -> DataFrame:
-    """Names and values trimmed, everything a string; quotes double and may hold line feeds; NA stays NA; blank rows are dropped."""
-    df = spark.read.csv(paths, sep=sep, header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
-    values = [E.clean(F.col(f"`{c}`")).alias(c.lstrip("\ufeff").strip()) for c in df.columns]
-    blank = F.concat_ws("", *(E.clean(F.col(f"`{c}`")) for c in df.columns)) == ""
-    return df.where(~blank).select(*(path_part(p).alias(n) for n, p in (keys or {}).items()), *values)
+def whole_files(spark: SparkSession, paths, keys: dict[str, str], expected: DataFrame | None = None) -> DataFrame:
+    """keys (of the path), path, value and state of small files, each read whole: PRESENT, EMPTY (no text), UNREADABLE or MISSING.
 
-
-def read_flags(spark: SparkSession, paths, pattern: str) -> DataFrame:
-    return spark.read.text(paths, wholetext=True).select(path_part(pattern).alias("key"), F.coalesce(F.nullif(F.regexp_replace("value", r"\s+", ""), F.lit("")), F.lit("MISSING")).alias("flag"))
-
-
-def _file_lines(spark: SparkSession, paths) -> DataFrame:
-    """path, line_no, line: the lines of every file by number, however its blocks are read; any store and codec of Spark's readers."""
-    t = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
-    sizes = t.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("path", "block", (before - F.col("first")).alias("shift"))
-    return t.join(sizes, ["path", "block"]).select("path", (F.col("id") + F.col("shift")).alias("line_no"), "line")
-
-
-def read_fasta(spark: SparkSession, paths, keys: dict[str, str] | None = None, strict: bool = False) -> DataFrame:
-    """path, keys, id, sequence (upper case, white space out) of every record; a record begins at a line that starts with ``>``.
-
-    strict: one row a file, with ``error`` where the file has no record, several, or an empty one.
+    Every file that is listed has its row, whatever reading it gives, and so has every row of
+    expected (the keys) without a file; without expected no file is MISSING.
+    """
+    read = lambda: spark.read.option("ignoreCorruptFiles", "true").text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = listing(spark, paths)
+    try:
+        text = read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        text = spark.createDataFrame([], "path string, value string")
+    found = files.join(text, "path", "left")
+    state = F.when(F.col("path").isNull(), "MISSING").when((F.col("bytes") == 0) | (E.clean(F.col("value")) == "") & F.col("value").isNotNull(), "EMPTY").when(F.col("value").isNull(), "UNREADABLE").otherwise("PRESENT")
+    found = found.select(*(F.regexp_extract("path", p, 1).alias(n) for n, p in keys.items()), "path", "bytes", "value")
+    if expected is not None:
+        found = expected.select(*keys).distinct().join(found, list(keys), "left")
+    return found.select(*keys, "path", "value", state.alias("state"))
+
+
+def read_flags(spark: SparkSession, paths, keys: str | dict[str, str], expected: DataFrame | None = None) -> DataFrame:
+    """keys (``key`` for one pattern) and flag: the word that each file holds, MISSING for empty and absent ones, ERROR for those that cannot be read."""
+    found = whole_files(spark, paths, {"key": keys} if isinstance(keys, str) else keys, expected)
+    word = F.nullif(F.regexp_replace(F.coalesce("value", F.lit("")), r"\s+", ""), F.lit(""))
+    return found.select(*(c for c in found.columns if c not in ("path", "value", "state")), F.when(F.col("state") == "UNREADABLE", "ERROR").otherwise(F.coalesce(word, F.lit("MISSING"))).alias("flag"))
+
+
+def _one_row(found: DataFrame, sep: str = "\t") -> DataFrame:
+    """found with names (of the header) and values (of the first data row) of one-row tables; null where there is no such row."""
+    lines = F.filter(F.split(F.regexp_replace("value", "^\ufeff", ""), r"\r\n|\r|\n"), lambda x: E.strip(x) != "")
+    return found.withColumn("names", F.when(F.size(lines) > 1, fields(F.get(lines, F.lit(0)), sep))).withColumn("values", F.when(F.size(lines) > 1, fields(F.get(lines, F.lit(1)), sep)))
+
+
+def fasta_records(lines: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """path, head_no, id, sequence of every record of lines (path, line_no, line); a record begins at a line that starts with ``>``.
+
+    The header that is open where a stretch of lines begins is handed to it, so a file of
+    any size is the work of many tasks; only the lines of one record meet.
     """
-    lines = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), *(path_part(p).alias(n) for n, p in (keys or {}).items()), F.split("value", r"(?m)^>").alias("records"))
-    names = ["path", *(keys or {})]
-    record = lambda r: F.struct(F.split(r, r"\s", 2)[0].alias("id"), F.upper(F.regexp_replace(F.regexp_replace(r, r"^[^\r\n]*", ""), r"\s", "")).alias("sequence"))
-    lines = lines.select(*names, F.transform(F.slice("records", 2, F.size("records")), record).alias("r"))
+    text = E.strip(F.col("line"))
+    head = text.startswith(">")
+    t = running(lines.select("path", "line_no", text.alias("line")).where("line != ''"), ["path"], "line_no", lasts={"head_no": F.when(head, F.col("line_no"))}, stretch=stretch).where("head_no is not null")
+    piece = F.when(~head, F.struct("line_no", F.upper(F.regexp_replace("line", r"(?U)\s", "")).alias("piece")))
+    r = t.groupBy("path", "head_no").agg(F.max(F.when(head, F.col("line"))).alias("_head"), F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["piece"]), "").alias("sequence"))
+    return r.select("path", "head_no", F.split(F.substring("_head", 2, 1 << 30), r"\s", 2)[0].alias("id"), "sequence")
+
+
+def fasta_states(lines: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """path and error (null: exactly one record, not empty) of every file of lines that holds any text."""
+    text = E.strip(F.col("line"))
+    head = text.startswith(">")
+    t = running(lines.select("path", "line_no", text.alias("line")).where("line != ''"), ["path"], "line_no", earlier={"head_no": F.when(head, F.col("line_no"))}, stretch=stretch)
+    early = F.min(F.when(~head & F.col("head_no").isNull(), F.col("line_no"))) + 1
+    second = F.min(F.when(head & F.col("head_no").isNotNull(), F.col("line_no"))) + 1
+    some = F.count_if(~head)
+    error = F.when(early.isNotNull(), F.concat(F.lit("sequence before the header, line "), early.cast("string"))).when(second.isNotNull(), F.concat(F.lit("several records, second header at line "), second.cast("string"))).when(some == 0, "empty sequence")
+    return t.groupBy("path").agg(error.alias("error"))
+
+
+def read_fasta(spark: SparkSession, paths, keys: dict[str, str] | None = None, strict: bool = False, expected: DataFrame | None = None) -> DataFrame:
+    """path, keys, id, sequence (upper case, white space out) of every record.
+
+    strict: one row a file, and of each row of expected (the keys), with ``error`` where
+    there is no file, no text, no record, several, an empty one, or text before the first.
+    """
+    named = lambda df, *more: df.select("path", *(F.regexp_extract("path", p, 1).alias(n) for n, p in (keys or {}).items()), *more)
     if not strict:
-        return lines.select(*names, F.explode("r").alias("r")).select(*names, "r.id", "r.sequence")
-    error = F.when(F.size("r") == 0, "no record").when(F.size("r") > 1, "several records").when(F.col("r")[0]["sequence"] == "", "empty sequence")
-    good = lambda c: F.when(error.isNull(), F.col("r")[0][c])
-    return lines.select(*names, good("id").alias("id"), good("sequence").alias("sequence"), error.alias("error"))
-
-
-def read_depth(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
-    """keys, contig, pos, depth; other than three fields or integers raise."""
-    return with_keys(spark.read.csv(paths, schema="contig string, pos int, depth int", sep="\t", mode="FAILFAST"), keys)
+        return named(fasta_records(file_lines(spark, paths)), "id", "sequence")
+    files = listing(spark, paths)
+    try:
+        lines = file_lines(spark, paths)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "path string, line_no long, line string")
+    states = fasta_states(lines).withColumn("_read", F.lit(True))
+    whole = fasta_records(lines).join(states.where("error is null").select("path"), "path", "left_semi").select("path", "id", "sequence")
+    found = named(files.join(states, "path", "left").join(whole, "path", "left"), "id", "sequence", F.when(F.col("_read").isNull(), "missing or empty").otherwise(F.col("error")).alias("error"))
+    if expected is None:
+        return found
+    return expected.select(*keys).distinct().join(found, list(keys), "left").select("path", *keys, "id", "sequence", F.when(F.col("path").isNull(), "missing or empty").otherwise(F.col("error")).alias("error"))
+
+
+def read_depth(spark: SparkSession, paths, keys: dict[str, str] | None = None, broken: str = "raise") -> DataFrame:
+    """keys, contig, pos, depth and, by file, the number of the line; further fields are not read, blank lines left out.
+
+    Fewer than three fields and a depth that is no whole number raise, or with broken
+    ``row`` stay as rows with ``error``, so that one bad file does not stop a run.
+    """
+    lines = file_lines(spark, paths).where("line != ''").withColumn("_f", F.split("line", "\t", -1))
+    depth = E.strip(F.get("_f", F.lit(2))).try_cast("int")
+    where = F.concat(F.lit(", line "), (F.col("line_no") + 1).cast("string"))
+    error = F.when(F.size("_f") < 3, F.concat(F.lit("fewer than three fields"), where)).when(depth.isNull(), F.concat(F.lit("depth is no whole number"), where))
+    t = lines.select("path", *(F.regexp_extract("path", p, 1).alias(n) for n, p in (keys or {}).items()), "line_no", F.get("_f", F.lit(0)).alias("contig"), F.get("_f", F.lit(1)).try_cast("int").alias("pos"), depth.alias("depth"), error.alias("error"))
+    own = [*(keys or {}), "line_no", "contig", "pos"]
+    if broken == "row":
+        return t.select(*own, "depth", "error")
+    return t.select(*own, F.when(F.col("error").isNull(), F.col("depth")).otherwise(F.raise_error(F.concat("error", F.lit(" of "), "path")).cast("int")).alias("depth"))
 
 
 # The twelve columns of tabular hits, in order.
@@ -145,14 +208,12 @@ def list_artifacts(spark: SparkSession, root: str, sample: str) -> DataFrame:
     return found.where("kind is not null and segment is not null")
 
 
-def read_stage_status(spark: SparkSession, paths, keys: dict[str, str]) -> DataFrame:
-    """keys, status, source, reason of the first data row of each status table; empty files give nothing. keys as those of with_keys, by path."""
-    t = _file_lines(spark, paths).where("trim(line) != ''")
-    n = F.row_number().over(Window.partitionBy("path").orderBy("line_no"))
-    t = t.withColumn("_n", n).where("_n <= 2").groupBy("path").agg(F.max(F.when(F.col("_n") == 1, F.col("line"))).alias("h"), F.max(F.when(F.col("_n") == 2, F.col("line"))).alias("v")).where("v is not null")
-    names, values = F.transform(F.split("h", "\t"), E.strip), F.split("v", "\t")
-    get = lambda *cs: F.coalesce(*(E.strip(F.try_element_at(values, F.nullif(F.array_position(names, c), F.lit(0)).cast("int"))) for c in cs))
-    return t.select(*(F.regexp_extract("path", p, 1).alias(n) for n, p in keys.items()), get("status").alias("status"), get("consensus_source", "source").alias("source"), get("reason").alias("reason"))
+def read_stage_status(spark: SparkSession, paths, keys: dict[str, str], expected: DataFrame | None = None) -> DataFrame:
+    """keys, status, source, reason of the first data row of each status table; files without one give nothing, or, where expected, nulls. keys as those of with_keys, by path."""
+    t = _one_row(whole_files(spark, paths, keys, expected))
+    get = lambda *cs: F.coalesce(*(by_name(F.col("names"), F.col("values"), c) for c in cs))
+    t = t if expected is not None else t.where("values is not null")
+    return t.select(*keys, get("status").alias("status"), get("consensus_source", "source").alias("source"), get("reason").alias("reason"))
 
 
 def read_fastq(spark: SparkSession, paths, keys: dict[str, str] | None = None) -> DataFrame:
@@ -163,17 +224,21 @@ def read_fastq(spark: SparkSession, paths, keys: dict[str, str] | None = None) -
     """
     at = F.col("line_no") % 4
     pick = lambda i: F.max(F.when(at == i, F.col("line")))
-    r = _file_lines(spark, paths).groupBy("path", (F.floor(F.col("line_no") / 4) + 1).alias("read_no")).agg(pick(0).alias("header"), pick(1).alias("sequence"), pick(2).alias("_plus"), pick(3).alias("quality"), F.count("*").alias("_n"))
+    r = file_lines(spark, paths).groupBy("path", (F.floor(F.col("line_no") / 4) + 1).alias("read_no")).agg(pick(0).alias("header"), pick(1).alias("sequence"), pick(2).alias("_plus"), pick(3).alias("quality"), F.count("*").alias("_n"))
     broken = F.raise_error(F.concat(F.lit("broken record "), F.col("read_no").cast("string"), F.lit(" of "), "path"))
     header = F.when((F.col("_n") == 4) & F.col("header").startswith("@"), E.strip(F.col("header"))).otherwise(broken)
     return r.select("path", *(F.regexp_extract("path", p, 1).alias(n) for n, p in (keys or {}).items()), "read_no", header.alias("header"), E.strip(F.col("sequence")).alias("sequence"), E.strip(F.col("quality")).alias("quality"))
 
 
-def read_manifest_record(spark: SparkSession, paths, keys: dict[str, str]) -> DataFrame:
-    """The first row of each one-row table, by keys of the path."""
-    t = read_table(spark, paths, keys=keys)
-    line = F.concat_ws("\t", *t.columns)
-    return t.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(line))).where("_r = 1").drop("_r")
+def read_manifest_record(spark: SparkSession, paths, keys: dict[str, str], expected: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
+    """keys and the first row of each one-row table, by its own header; nulls for expected keys (and files) without a row. Of several files of a key, the first path.
+
+    Without columns, the names of all headers are taken, in a job of its own.
+    """
+    t = _one_row(whole_files(spark, paths, keys, expected))
+    columns = column_names(t.where("names is not null").select("path", "names")) if columns is None else columns
+    t = t.select(*keys, "path", *(by_name(F.col("names"), F.col("values"), c).alias(c) for c in columns))
+    return t.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("path"))).where("_r = 1").drop("_r", "path")
 
 
 def write_table(df: DataFrame, path: str, columns: list[str], sep: str = "\t") -> None:
@@ -191,10 +256,11 @@ def write_by_sample(df: DataFrame, path: str, by: tuple[str, ...] = ("sample",))
 
 
 def write_validation_report(counts: DataFrame, issues: DataFrame, path: str) -> None:
-    """One text line for each counter (name, value) and each issue (level, message); errors raise after the report is written."""
-    lines = counts.select(F.lit(0).alias("o"), F.concat_ws("\t", "name", F.col("value").cast("string")).alias("value"))
-    lines = lines.unionByName(issues.select(F.lit(1).alias("o"), F.concat_ws("\t", "level", F.col("key").cast("string"), "message").alias("value")))
-    lines.orderBy("o", "value").select("value").write.text(path)
+    """One text line for each counter (name, value) and each issue (line, level, message), warnings first; errors raise after the report is written."""
+    lines = counts.select(F.lit(0).alias("o"), F.lit(0).cast("long").alias("line"), F.concat_ws("\t", "name", F.col("value").cast("string")).alias("value"))
+    text = F.concat("level", F.lit("\t"), F.when(F.col("line").isNotNull(), F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(": "))).otherwise(""), "message")
+    lines = lines.unionByName(issues.select(F.when(F.col("level") == "WARNING", 1).otherwise(2).alias("o"), F.col("line").cast("long").alias("line"), text.alias("value")))
+    lines.orderBy("o", "line", "value").select("value").write.text(path)
     if not issues.where("level = 'ERROR'").isEmpty():
         raise ValueError(f"errors in the metadata, see {path}")
 

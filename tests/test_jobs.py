@@ -9,15 +9,7 @@ from segtally.functions import expr as E
 from segtally.operators import depth, ranking, reports, rollup, samples, stages
 from segtally.plans import jobs
 from segtally.sources import files
-
-
-def put(path, text):
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(text)
-
-
-def rows(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns or df.columns).collect())
+from tests_common import put, rows
 
 
 KEY = {"sample": r"in/([^/]+)/"}
@@ -31,12 +23,12 @@ def test_sources(spark, tmp_path):
     put(root / "s4/a.fasta", ">bare\n\n")
     p = f"{root}/*/a.fasta"
     assert rows(files.read_fasta(spark, p, KEY), "sample", "id", "sequence") == [("s1", "c1", "ACGT"), ("s1", "c2", "NN"), ("s2", "only", "ACGT"), ("s4", "bare", "")]
-    assert rows(files.read_fasta(spark, p, KEY, strict=True), "sample", "error") == [("s1", "several records"), ("s2", None), ("s3", "no record"), ("s4", "empty sequence")]
+    assert rows(files.read_fasta(spark, p, KEY, strict=True), "sample", "error") == [("s1", "several records, second header at line 4"), ("s2", None), ("s3", "sequence before the header, line 1"), ("s4", "empty sequence")]
     put(root / "s1/t.tsv", 'id\t note\n1\t"said ""hi"", left"\n\t\n2\t"two\nlines"\n3\tPASS\t\n')
     assert rows(files.read_table(spark, f"{root}/*/t.tsv", keys=KEY)) == [("s1", "1", 'said "hi", left'), ("s1", "2", "two\nlines"), ("s1", "3", "PASS")]
     put(root / "s1/d.depth", "c\t1\t5\nc\t2\t7\n")
     put(root / "s2/d.depth", "c\t1\t9\n")
-    assert rows(files.read_depth(spark, f"{root}/*/d.depth", KEY)) == [("s1", "c", 1, 5), ("s1", "c", 2, 7), ("s2", "c", 1, 9)]
+    assert rows(files.read_depth(spark, f"{root}/*/d.depth", KEY), "sample", "contig", "pos", "depth") == [("s1", "c", 1, 5), ("s1", "c", 2, 7), ("s2", "c", 1, 9)]
     hit = "q\tacc\ttitle\t99.5\t100\t120\t1\t100\t1\t100\t1e-50\t200"
     put(root / "s1/h.txt", hit + "\textra\n")
     put(root / "s2/h.txt", hit.replace("99.5", "x") + "\n")
@@ -52,7 +44,7 @@ def test_sources(spark, tmp_path):
     assert rows(files.read_alerts(lines), "sample", "seq", "fatal") == [("s1", "X_HA", False)]
     put(root / "s1/ha.flag", " PASS\n")
     put(root / "s2/ha.flag", "")
-    assert rows(files.read_flags(spark, f"{root}/*/ha.flag", KEY["sample"])) == [("s1", "PASS")]  # an empty file gives no row; the grid says MISSING
+    assert rows(files.read_flags(spark, f"{root}/*/ha.flag", KEY["sample"])) == [("s1", "PASS"), ("s2", "MISSING")]
     put(root / "db/m.tsv", "name\tversion\nx\t1\n")
     assert rows(files.read_manifest_record(spark, f"{root}/*/m.tsv", {"run": KEY["sample"]})) == [("db", "x", "1")]
     with pytest.raises(ValueError, match="sample"):
@@ -108,7 +100,7 @@ def test_stage_machines(spark):
     got = [r.reason for r in c.select(*stages.variant_status(F.col("f"), F.col("i"), F.col("ok"), F.col("found"))).collect()]
     assert got == ["segment_qc_failed", "segment_qc_failed", "medaka_vcf_empty_output", "medaka_vcf_failed", "medaka_inference_failed", "invalid_inference_output", "medaka_vcf_failed"]
     assert [r.status for r in c.select(*stages.inference_status(F.col("f"), F.col("ok"))).collect()] == ["SKIPPED_QC", "SKIPPED_QC", "SUCCESS", "FAILED", "SUCCESS", "SUCCESS", "FAILED"]
-    with pytest.raises(Exception, match="medaka_vcf"):
+    with pytest.raises(Exception, match="medaka_vcf|invalid_inference"):
         c.select(*stages.variant_status(F.col("f"), F.col("i"), F.col("ok"), F.col("found"), soft=False)).collect()
     with pytest.raises(Exception, match="unexpected screen status"):
         stages.route_by_screen(spark.createDataFrame([("s", "ODD")], "sample string, screen string"))[1].collect()
@@ -163,14 +155,15 @@ def test_jobs_from_files(spark, tmp_path):
 def test_metadata_report_and_sinks(spark, tmp_path):
     meta = spark.createDataFrame([("a", "2026-02-30", "95", "barcode1", 1), ("b", "", "", "x", 2), ("b", "2026-01-01", "5", "", 3), ("z", "", "", "", 4)], "sample_id string, day string, lat string, code string, line int")
     expected = spark.createDataFrame([("a",), ("b",), ("c",)], "sample_id string")
-    how = dict(columns=["day", "extra"], order=[F.asc("line")], dates=("day",), coordinates={"lat": (-90, 90)}, barcode="code")
+    how = dict(columns=["day", "extra"], dates=("day",), coordinates={"lat": (-90, 90)}, barcode="code")
     table, issues, counts = samples.validate_metadata(meta, expected, **how)
     assert rows(table) == [("a", "2026-02-30", "", "COMPLETE"), ("b", "2026-01-01", "", "COMPLETE"), ("c", None, "", "MISSING")]
     assert dict(rows(counts)) == {"expected": 3, "rows": 4, "matched": 2, "missing": 1, "warnings": 3, "errors": 3}
+    assert rows(issues) == [(None, "WARNING", "sample without metadata: c"), (1, "ERROR", "day is no date of the form YYYY-MM-DD: 2026-02-30"), (1, "ERROR", "lat is no number from -90 to 90: 95"), (2, "WARNING", "code is not of the form barcode01: x"), (3, "ERROR", "sample_id stands here again: b"), (4, "WARNING", "no sample has this sample_id: z")]
     with pytest.raises(ValueError, match="errors"):
         samples.validate_metadata(meta, expected, **how, path=f"{tmp_path}/report")
     text = [r.value for r in spark.read.text(f"{tmp_path}/report").collect()]
-    assert "expected\t3" in text and any(x.startswith("ERROR\ta\t") for x in text)
+    assert "expected\t3" in text and any(x.startswith("ERROR\tline 1: ") for x in text)
     files.write_by_sample(table.withColumnRenamed("sample_id", "sample"), f"{tmp_path}/by")
     assert (tmp_path / "by" / "sample=a").is_dir()
     files.write_table(table, f"{tmp_path}/t", ["sample_id", "extra"])
