@@ -44,7 +44,7 @@ MOST_WORDS = 4_000_000
 #: Frequent prefixes of one length that every worker gets at most.
 MOST_HOT = 1 << 20
 #: Positions of one shard, and about so many of one range of prefixes.
-SHARD, RANGE = 1_000_000, 2_000_000
+SHARD, RANGE = 600_000, 1_200_000
 #: One path of so many is looked at to find frequent prefixes.
 EVERY = 61
 #: Words that a task counts before it hands the counts on.
