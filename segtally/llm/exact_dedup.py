@@ -8,7 +8,8 @@ join that adaptive execution splits where one group is large.
 
 Defined cases: null counts as ""; null ids sort last, so an id stays before none;
 a doc_id on several rows with equal text keeps one of those rows; an empty table
-gives an empty table; other columns are not read, whatever their names.
+gives an empty table; a text of any length is hashed as a whole; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WS
+from .base import WS, free_name
 
 
 def normalised(text: Column) -> Column:
@@ -42,7 +43,7 @@ def exact_groups(docs: DataFrame, content_hash=lambda c: F.unhex(F.md5(c))) -> D
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns; different texts under one id all stay."""
-    free = next(f"_sha{i}" for i in range(len(docs.columns) + 1) if f"_sha{i}" not in docs.columns)
+    free = free_name("_sha", docs.columns)
     kept = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias(free))
     rows = docs.withColumn(free, F.sha2(normalised(F.col("text")), 256))
     same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows[free] == kept[free])

@@ -17,7 +17,8 @@ adaptive execution splits a line that a third of all documents hold.
 
 Defined cases: lines end at line feeds; blank lines are never deleted and not
 counted in runs; null is ""; rows that repeat both id and text are one document
-and get equal results; runs do not cross documents; a text of any length is one row
+and get equal results; rows without an id come last, so lines under an id stay before
+theirs; runs do not cross documents; a text of any length is one row
 whose deleted lines are cut out in one pass; an empty table gives an empty table;
 other columns are not read, whatever their names.
 """
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import WS, cut
@@ -34,10 +35,14 @@ from .base import WS, cut
 #: A later copy of a run goes if it has so many lines, or so many words.
 MIN_RUN, MIN_WORDS = 3, 50
 
+def _place() -> Column:
+    """Where a line stands; rows without an id come last."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "seq")
+
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """rows whose keys occur more than once, with ``name``: the first position of their class."""
-    classes = rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "th", "seq")).alias("name"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    classes = rows.groupBy(*keys).agg(F.min(_place()).alias("name"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     return cut(rows.join(classes, keys).drop(*keys))
 
 
@@ -55,7 +60,7 @@ def repeated(docs: DataFrame, min_run: int = MIN_RUN, min_words: int = MIN_WORDS
     def later(rows: DataFrame, length: int) -> DataFrame:
         words = F.aggregate(F.slice("at", 1, length), F.lit(0), lambda n, l: n + l["words"])
         long = F.lit(True) if length == min_run else words >= min_words
-        return rows.where(long & (F.col("name") != F.struct("doc_id", "th", "seq"))).select("doc_id", "th", F.slice("at", 1, length).alias("at"))
+        return rows.where(long & (F.col("name") != _place())).select("doc_id", "th", F.slice("at", 1, length).alias("at"))
 
     while length < min_run:
         found.append(later(rows, length))

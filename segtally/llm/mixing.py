@@ -89,10 +89,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """docs with each row as many times as the mix takes it, in all their columns; rows of one doc_id and size are taken alike."""
-    own, size, copies, number = (free_name(n, docs.columns) for n in ("_own", "_size", "_copies", "_number"))
-    taken = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias(own), F.col("size").alias(f"{size}x")).agg((F.max("taken") / F.max("size")).cast("int").alias(copies))
+    own, size, same, copies, number = (free_name(n, docs.columns) for n in ("_own", "_size", "_same", "_copies", "_number"))
+    taken = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias(own), F.col("size").alias(same)).agg((F.max("taken") / F.max("size")).cast("int").alias(copies))
     d = docs.withColumn(size, word_count(F.col("text")))
-    joined = d.join(taken, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(size) == F.col(f"{size}x")))
+    joined = d.join(taken, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(size) == F.col(same)))
     return joined.select(*(d[f"`{c}`"] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col(copies))).alias(number)).drop(number)
 
 

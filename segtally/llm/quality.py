@@ -201,8 +201,8 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of docs that are selected, with all their columns; rows of one id stand or fall by their own texts."""
-    key, text = free_name("_key", docs.columns), free_name("_text", docs.columns)
+    key, text, own = (free_name(n, docs.columns) for n in ("_key", "_text", "_own"))
     rows = docs.withColumn(text, F.xxhash64(F.coalesce("text", F.lit(""))))
     scored = cut(score(docs, labels, sample))
-    out = top_k(scored, "gumbel_key", scored.where("log_weight > 0").count()).where("selected").select(F.col("doc_id").alias(key), "text_hash").distinct()
-    return rows.join(out, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text) == F.col("text_hash")), "left_semi").drop(text)
+    out = top_k(scored, "gumbel_key", scored.where("log_weight > 0").count()).where("selected").select(F.col("doc_id").alias(key), F.col("text_hash").alias(own)).distinct()
+    return rows.join(out, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(text) == F.col(own)), "left_semi").drop(text)

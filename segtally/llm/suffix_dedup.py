@@ -263,10 +263,10 @@ def spans(docs: DataFrame) -> DataFrame:
 
 def texts(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes of text taken out; a character that loses some of its bytes is read as U+FFFD. Rows of equal id and length are treated alike."""
-    gone, size, own = (free_name(n, docs.columns) for n in ("_removed", "_bytes", "_own"))
-    found = spans(docs).groupBy(F.col("doc_id").alias(own), F.col("n_bytes").alias(f"{size}x")).agg(F.max("removed").alias(gone))
+    gone, size, same, own = (free_name(n, docs.columns) for n in ("_removed", "_bytes", "_same", "_own"))
+    found = spans(docs).groupBy(F.col("doc_id").alias(own), F.col("n_bytes").alias(same)).agg(F.max("removed").alias(gone))
     d = docs.withColumn(size, F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
-    joined = d.join(found, d["doc_id"].cast("long").eqNullSafe(F.col(own)) & (F.col(size) == F.col(f"{size}x")), "left").select(*(d[f"`{c}`"] for c in docs.columns), gone)
+    joined = d.join(found, d["doc_id"].cast("long").eqNullSafe(F.col(own)) & (F.col(size) == F.col(same)), "left").select(*(d[f"`{c}`"] for c in docs.columns), gone)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
