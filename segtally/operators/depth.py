@@ -11,13 +11,24 @@ from segtally.functions import expr as E
 from segtally.operators.rollup import closed_list
 
 
-def depth_stats(depth: DataFrame, keys: list[str], value: str, threshold: float, contig: str | None = None) -> DataFrame:
-    """positions, median, mean, min, max and breadth of each key; exact median over all references of a key, whose names are listed with ``contig``."""
+def depth_stats(depth: DataFrame, keys: list[str], value: str, threshold: float, contig: str | None = None, order: Column | None = None) -> DataFrame:
+    """positions, median, mean, min, max and breadth of each key; exact median over all references of a key.
+
+    With ``contig`` also the names of these references, those first seen first: a
+    reference stands where its least ``order`` is (without order, by name).
+    """
     c = F.col(value)
-    names = [F.array_join(F.array_sort(F.collect_set(contig)), ",").alias("contigs")] if contig else []
-    return depth.groupBy(*keys).agg(
+    stats = depth.groupBy(*keys).agg(
         F.count(c).alias("positions"), F.median(c).alias("median_depth"), F.avg(c).alias("mean_depth"), F.min(c).alias("min_depth"),
-        F.max(c).alias("max_depth"), F.avg(F.when(c >= threshold, 1.0).otherwise(0.0)).alias("breadth_covered"), *names)
+        F.max(c).alias("max_depth"), F.avg(F.when(c >= threshold, 1.0).otherwise(0.0)).alias("breadth_covered"))
+    return stats.join(contig_lists(depth, keys, contig, order), keys, "left") if contig else stats
+
+
+def contig_lists(df: DataFrame, keys: list[str], contig: str, order: Column | None = None, name: str = "contigs") -> DataFrame:
+    """keys and the distinct values of contig, joined by commas in the order in which they are first seen; NA without one. Only one row for each value meets the others of its keys."""
+    first = df.where(F.col(contig).isNotNull()).groupBy(*keys, contig).agg((F.min(order) if order is not None else F.first(F.lit(0))).alias("_first"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("_first", contig))), lambda x: x[contig])
+    return first.groupBy(*keys).agg(F.array_join(listed, ",").alias(name))
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame, key: str, overrides: dict[str, tuple[int, int]] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,23 +43,53 @@ def end_kmers(reads: DataFrame, sequence: Column, k: int, top: int) -> DataFrame
     return n.withColumn("_r", F.row_number().over(Window.partitionBy("side").orderBy(F.desc("n"), "kmer"))).where(F.col("_r") <= top).drop("_r")
 
 
-def trim_end(sequence: Column, adapter: str, window: int) -> Column:
-    """sequence behind a known adapter that stands within ``window`` letters of its start."""
-    at = F.locate(adapter, F.substring(sequence, 1, window))
-    return F.when(at > 0, F.substring(sequence, at + len(adapter), F.length(sequence))).otherwise(sequence)
+#: So many adapters, and letters in them, are sent to every executor; a longer list is not one of adapters.
+MOST_ADAPTERS, MOST_ADAPTER_LETTERS = 100_000, 10_000_000
 
 
-def trim_ends(sequence: Column, adapters: list[str], window: int) -> list[Column]:
-    """sequence without the adapters that stand within ``window`` letters of either end and all beyond them, and whether any was cut."""
-    size = F.length(sequence)
+def adapter_cuts(adapters: list[str]):
+    """A function of the two ends of reads (Arrow batches of texts): how many letters of the first go, and how many of the last.
+
+    All adapters are found in one pass over each end by an automaton, however many there are.
+    """
+    made = []
+
+    def cuts(head: pd.Series, tail: pd.Series) -> pd.DataFrame:
+        if not made:  # once a task
+            import ahocorasick
+
+            made.append(ahocorasick.Automaton())
+            for a in adapters.value:
+                made[0].add_word(a, len(a))
+            if len(made[0]):
+                made[0].make_automaton()
+        machine = made[0]
+        first = [0 if h is None or not len(machine) else max((end + 1 for end, _ in machine.iter(h)), default=0) for h in head]
+        last = [0 if t is None or not len(machine) else max((len(t) - 1 - end + n for end, n in machine.iter(t)), default=0) for t in tail]
+        return pd.DataFrame({"first": first, "last": last})
+
+    return cuts
+
+
+def trim_ends(reads: DataFrame, sequence: str, adapters: DataFrame, window: int) -> DataFrame:
+    """reads with sequence cut behind the last adapter that lies within ``window`` letters of its start and before the first within as many of its end, and ``trimmed``.
+
+    adapters: a closed list, one column. Where both cuts meet in a short read, the start wins
+    and nothing else goes. Only the two ends of a read leave the JVM.
+    """
+    found = [r[0] for r in adapters.where(F.length(F.col(adapters.columns[0])) > 0).distinct().limit(MOST_ADAPTERS + 1).collect()]
+    if len(found) > MOST_ADAPTERS or sum(map(len, found)) > MOST_ADAPTER_LETTERS:
+        raise ValueError("the list of adapters is too long")
+    sent = reads.sparkSession.sparkContext.broadcast(sorted(found))
+    size, c = F.length(sequence), F.col(sequence)
     near = F.least(size, F.lit(window))
-    head, tail = F.substring(sequence, F.lit(1), near), F.substring(sequence, size - near + 1, near)
-    starts = [F.when(F.locate(a, head) > 0, F.locate(a, head) + len(a) - 1).otherwise(0) for a in adapters]
-    first = F.greatest(F.lit(0), *starts, F.lit(0))
-    ends = [F.when(F.locate(a, tail) > 0, size - near + F.locate(a, tail) - 1).otherwise(size) for a in adapters]
-    last = F.least(size, *ends, size)
-    last = F.when(last > first, last).otherwise(F.when(first > 0, size).otherwise(last))  # of a short read the start wins
-    return [F.substring(sequence, first + 1, F.greatest(last - first, F.lit(0))).alias("sequence"), ((first > 0) | (last < size)).alias("trimmed")]
+    cuts = F.pandas_udf(adapter_cuts(sent), "first int, last int")(F.substring(c, F.lit(1), near), F.substring(c, size - near + 1, near))
+    t = reads.withColumn("_cuts", cuts)
+    first, last = F.col("_cuts.first"), size - F.col("_cuts.last")
+    last = F.when(last > first, last).when(first > 0, size).otherwise(last)
+    kept = F.substring(c, first + 1, F.greatest(last - first, F.lit(0)))
+    trimmed = F.coalesce((first > 0) | (last < size), F.lit(False))
+    return t.withColumn("trimmed", trimmed).withColumn("_kept", kept).select(*(F.col("_kept").alias(n) if n == sequence else F.col(f"`{n}`") for n in reads.columns), "trimmed")
 
 
 def kmer_candidates(q: DataFrame, r: DataFrame, q_id: str, r_id: str, text: str, k: int, least: int, top: int) -> DataFrame:

@@ -113,15 +113,19 @@ def flatten_json(df: DataFrame, key: str, column: str, depth: int = 4) -> DataFr
 
 
 def read_run_documents(docs: DataFrame, run: str, column: str = "document") -> tuple[DataFrame, DataFrame]:
-    """Rows run, sample, payload of documents, and the documents that are of another format or hold no sample."""
-    d = F.from_json(column, "format string, version int, sample_count long, samples map<string,string>")
+    """Rows run, sample, payload of documents, and the documents that are of another format, have no run section or hold no sample."""
+    d = F.from_json(column, "format string, version int, sample_count long, run map<string,string>, samples map<string,string>")
     parsed = docs.withColumn("_d", d)
-    good = F.coalesce((F.col("_d.format") == "run-document") & (F.size("_d.samples") > 0), F.lit(False))
-    name = F.regexp_replace(F.regexp_replace(F.col("_s"), r"[?#].*$", ""), r"^.*/|\.html?$", "")
-    rows = parsed.where(good).select(run, F.explode("_d.samples").alias("_s", "payload")).select(run, name.alias("sample"), "payload")
+    good = F.coalesce((F.col("_d.format") == "run-document") & F.col("_d.run").isNotNull() & (F.size("_d.samples") > 0), F.lit(False))
+    rows = parsed.where(good).select(run, F.explode("_d.samples").alias("_s", "payload")).select(run, sample_key(F.col("_s")).alias("sample"), "payload")
     return rows, parsed.where(~good).drop("_d")
 
 
+def sample_key(c: Column) -> Column:
+    """A sample's name from a link to its report: no query, fragment, folders or suffix."""
+    return F.regexp_replace(F.regexp_replace(c, r"[?#].*$", ""), r"^.*/|\.html?$", "")
+
+
 def checksums(files: DataFrame, key: str, content: str, expected: DataFrame) -> DataFrame:
     """key, sha256, checksum_status of every expected file: MATCH, MISMATCH or MISSING. expected: key, expected."""
     have = files.select(key, F.sha2(content, 256).alias("sha256"))
@@ -129,6 +133,27 @@ def checksums(files: DataFrame, key: str, content: str, expected: DataFrame) ->
     return expected.join(have, key, "left").select(key, "sha256", status.alias("checksum_status"))
 
 
+# What a log of a run that failed inside says, whatever its exit code.
+FATAL_PATTERNS = {
+    "process killed": r"(?im)^.*\bKilled\b.*$",
+    "no QC-passing data": r"(?i)found no QC[’']?d data",
+    "out of memory": r"(?i)(out of memory|oom-kill|oom killed|cannot allocate memory)",
+    "segmentation fault": r"(?i)segmentation fault",
+}
+
+
+def scan_logs(lines: DataFrame, keys: list[str], line: str = "line", patterns: dict[str, str] = FATAL_PATTERNS) -> DataFrame:
+    """keys, labels (in the order of the patterns, joined by commas) and n_lines of the logs in which any pattern is found.
+
+    A pattern is looked for line by line, so a log is never one row; each task hands on
+    one row a key and pattern.
+    """
+    found = F.array_compact(F.array(*(F.when(F.col(line).rlike(p), F.struct(F.lit(i).alias("at"), F.lit(label).alias("label"))) for i, (label, p) in enumerate(patterns.items()))))
+    each = lines.select(*keys, F.explode(found).alias("_f")).groupBy(*keys, "_f").agg(F.count("*").alias("n"))
+    labels = F.transform(F.array_sort(F.collect_list("_f")), lambda x: x["label"])
+    return each.groupBy(*keys).agg(F.array_join(labels, ", ").alias("labels"), F.sum("n").alias("n_lines"))
+
+
 def pick_column(columns: list[str], names: list[str]) -> str | None:
     """The column whose normalised name comes first in names."""
     plain = {"_".join("".join(ch if ch.isascii() and ch.isalnum() else " " for ch in c.lower()).split()): c for c in reversed(columns)}

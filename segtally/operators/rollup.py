@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segtally.functions import expr as E
+from segtally.operators import reports
 
 
 #: A closed list of levels has at most so many rows; only such a list is sent to every executor.
@@ -204,8 +205,54 @@ def validation_issues(meta: DataFrame, key: str, checks: list[tuple[str, str, Co
     return meta.select(key, F.explode(F.array_compact(F.array(*found))).alias("_i")).select(key, "_i.level", "_i.message")
 
 
-def run_document(samples: DataFrame, run: str, payload: Column, name: str) -> DataFrame:
-    """One JSON document a run, with a map of samples; a sample twice raises."""
+def _run_sections(samples: DataFrame, run: str, name: str, runs: DataFrame | None) -> DataFrame:
+    """run, sample_count, first and last sample, and every section of runs, of each run; a run of runs without a sample raises."""
+    n = samples.groupBy(run).agg(F.count("*").alias("_count"), F.min(F.col(name).cast("string")).alias("_first"), F.max(F.col(name).cast("string")).alias("_last"))
+    if runs is None:
+        return n.withColumn("run_section", F.struct(F.col(run).cast("string").alias("name")))
+    missing = F.raise_error(F.concat(F.lit("no sample in run "), F.col(run).cast("string"))).cast("long")
+    return runs.join(n, run, "left").withColumn("_count", F.coalesce("_count", missing))
+
+
+def run_document(samples: DataFrame, run: str, payload: Column, name: str, generated_at: str | None = None) -> DataFrame:
+    """One JSON document a run as one row, with a run section and a map of samples; a sample twice raises. For runs of a few thousand samples; run_document_lines has no bound."""
     entry = F.struct(F.col(name).cast("string").alias("key"), payload.alias("value"))
     g = samples.groupBy(run).agg(F.count("*").alias("sample_count"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("samples"))
-    return g.select(run, F.to_json(F.struct(F.lit("run-document").alias("format"), F.lit(1).alias("version"), "sample_count", "samples")).alias("document"))
+    made = [F.lit(generated_at).alias("generated_at")] if generated_at else []
+    return g.select(run, F.to_json(F.struct(F.lit("run-document").alias("format"), F.lit(1).alias("version"), *made, F.struct(F.col(run).cast("string").alias("name")).alias("run"), "sample_count", "samples")).alias("document"))
+
+
+def run_document_lines(samples: DataFrame, run: str, payload: Column, name: str, runs: DataFrame | None = None, generated_at: str | None = None) -> DataFrame:
+    """run, sample and the lines of its part of the run's JSON document, which is that of run_document but that each sample has a line of its own.
+
+    runs: run, ``run_section`` (a struct) and, if it has one, ``provenance`` (a struct);
+    its runs must have samples. The first sample of a run also carries the line that opens
+    the document, the last what closes it, so no row holds more than one sample. A sample
+    that stands twice in a run raises.
+    """
+    sections = _run_sections(samples, run, name, runs)
+    head = [F.lit("run-document").alias("format"), F.lit(1).alias("version"), *([F.lit(generated_at).alias("generated_at")] if generated_at else []), F.col("run_section").alias("run")]
+    head += ["provenance"] if "provenance" in sections.columns else []
+    opening = F.to_json(F.struct(*head, F.col("_count").alias("sample_count")), {"ignoreNullFields": "false"})
+    opening = F.concat(F.substring(opening, F.lit(1), F.length(opening) - 1), F.lit(',"samples":{\n'))
+    twice = F.raise_error(F.concat(F.lit("sample twice: "), F.col("sample"))).cast("long")
+    own = samples.select(run, F.col(name).cast("string").alias("sample"), payload.alias("payload")).groupBy(run, "sample").agg(F.count("*").alias("_n"), F.first("payload").alias("payload"))
+    own = own.withColumn("_n", F.when(F.col("_n") > 1, twice).otherwise(F.col("_n")))
+    j = own.join(sections, run, "right" if runs is not None else "inner")
+    entry = F.to_json(F.create_map("sample", "payload"))
+    entry = F.substring(entry, F.lit(2), F.length(entry) - 2)
+    line = F.concat(F.when(F.col("sample") == F.col("_first"), opening).otherwise(""), entry, F.when(F.col("sample") == F.col("_last"), "\n}}").otherwise(","))
+    return j.where("_n = 1 and _count > 0").select(run, "sample", line.alias("lines"))
+
+
+def document_samples(lines: DataFrame, run: str, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """run, sample, payload of documents that come as the lines of run_document_lines, and the runs (run, reason) whose documents are of another format or have no run section or sample."""
+    text = F.col(line)
+    head, item = text.startswith("{"), text.startswith('"')
+    d = F.from_json(F.concat(F.regexp_replace(text, r',"samples":\{$', ""), F.lit("}")), "format string, run map<string,string>")
+    heads = lines.groupBy(run).agg(F.max(F.when(head, F.struct(F.coalesce(d["format"] == "run-document", F.lit(False)).alias("known"), d["run"].isNotNull().alias("has_run")))).alias("_d"), F.count_if(item).alias("_n"))
+    reason = F.when(~F.coalesce(F.col("_d.known"), F.lit(False)), "format").when(~F.col("_d.has_run"), "no run section").when(F.col("_n") == 0, "no sample")
+    heads = heads.select(run, reason.alias("reason"))
+    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace(text, r",$", ""), F.lit("}")), "map<string,string>")
+    rows = lines.where(item).select(run, F.explode(entry).alias("_s", "payload")).join(heads.where("reason is null").select(run), run, "left_semi")
+    return rows.select(run, reports.sample_key(F.col("_s")).alias("sample"), "payload"), heads.where("reason is not null")

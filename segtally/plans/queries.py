@@ -98,11 +98,6 @@ def _hit_order():
     return [F.desc("l_extendedprice"), F.asc("l_discount"), F.desc("l_quantity"), F.asc("l_partkey"), F.asc("l_suppkey"), F.asc("l_linenumber")]
 
 
-@query(f"SELECT l_orderkey, l_suppkey, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY {HIT}) = 1")
-def top_hit(t):
-    return ranking.first_by(t("lineitem"), ["l_orderkey"], _hit_order()).select("l_orderkey", "l_suppkey", "l_extendedprice")
-
-
 @query(f"""WITH h AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY {HIT}) <= 1),
 a AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {HIT}) AS r FROM h), b AS (SELECT *, min(r) OVER (PARTITION BY l_orderkey, l_suppkey) AS b FROM a)
 SELECT l_orderkey, l_suppkey, l_extendedprice FROM b QUALIFY dense_rank() OVER (PARTITION BY l_orderkey ORDER BY b) <= 3""")
@@ -237,18 +232,6 @@ def extract_names(t):
     return t("part").select("p_partkey", E.extract_subtype(F.col("p_brand"), "d#?").alias("subtype"), E.normalize_name(F.col("p_name")).alias("name"), E.segment_of_token(F.col("p_type")).alias("token"))
 
 
-@query("SELECT event_id, coalesce((props->>'$.k')::BIGINT, 0) AS k, coalesce((props->>'$.absent')::BIGINT, 0) AS absent FROM events")
-def read_qc_json(t):
-    j = F.from_json("props", "k long, absent long")
-    return t("events").select("event_id", F.coalesce(j["k"], F.lit(0)).alias("k"), F.coalesce(j["absent"], F.lit(0)).alias("absent"))
-
-
-@query("""WITH p(label, re) AS (VALUES ('title', '(?i)<title'), ('script', '(?i)<script'), ('table', '(?i)<table')) SELECT page_id, string_agg(label, ',' ORDER BY label) AS labels FROM pages, p WHERE regexp_matches(html, re) GROUP BY 1""")
-def scan_logs(t):
-    found = F.array_compact(F.array(*(F.when(F.col("html").rlike(f"(?i)<{x}"), x) for x in ("script", "table", "title"))))
-    return t("pages").select("page_id", F.array_join(found, ",").alias("labels")).where("labels != ''")
-
-
 READS = "WITH f AS (SELECT *, CASE WHEN lang = 'es' THEN 'low_quality' WHEN n_chars < 800 THEN 'too_short' ELSE 'passed' END AS reason FROM documents)"
 
 
@@ -285,11 +268,6 @@ def end_kmers(t):
     return reads.end_kmers(t("conversations"), F.col("text"), 4, 20)
 
 
-@query("""SELECT conv_id, turn, CASE WHEN instr(left(text, 30), 'the ') > 0 THEN substr(text, instr(left(text, 30), 'the ') + 4) ELSE text END AS text FROM conversations""")
-def trim_ends(t):
-    return t("conversations").select("conv_id", "turn", reads.trim_end(F.col("text"), "the ", 30).alias("text"))
-
-
 @query("""WITH q AS (SELECT DISTINCT item_id, substr(text, i::INT, 24) AS kmer FROM (SELECT item_id, text, unnest(range(1, greatest(length(text) - 23, 1) + 1)) AS i FROM benchmark WHERE length(text) >= 24)),
 d AS (SELECT DISTINCT doc_id, substr(text, i::INT, 24) AS kmer FROM (SELECT doc_id, text, unnest(range(1, greatest(length(text) - 23, 1) + 1)) AS i FROM documents WHERE length(text) >= 24)),
 n AS (SELECT item_id, count(*) AS t FROM q GROUP BY 1), m AS (SELECT item_id, doc_id, count(*) AS shared FROM q JOIN d USING (kmer) GROUP BY ALL HAVING count(*) >= 5)
@@ -334,7 +312,7 @@ def annotation_summary(t):
     return rollup.annotation_summary(kind("view"), kind("error"), kind("click").withColumn("fatal", F.col("value") >= 20), "user_id")
 
 
-@query("""SELECT c_nationkey, '{"format":"run-document","version":1,"sample_count":' || count(*) || ',"samples":{' || string_agg('"' || c_custkey || '":{"c_mktsegment":"' || c_mktsegment || '"}', ',' ORDER BY c_custkey::VARCHAR) || '}}' AS document FROM customer GROUP BY 1""")
+@query("""SELECT c_nationkey, '{"format":"run-document","version":1,"run":{"name":"' || c_nationkey || '"},"sample_count":' || count(*) || ',"samples":{' || string_agg('"' || c_custkey || '":{"c_mktsegment":"' || c_mktsegment || '"}', ',' ORDER BY c_custkey::VARCHAR) || '}}' AS document FROM customer GROUP BY 1""")
 def run_document(t):
     return rollup.run_document(t("customer"), "c_nationkey", F.struct("c_mktsegment"), "c_custkey")
 
@@ -379,13 +357,6 @@ def read_run_documents(t):
     return reports.read_run_documents(docs, "c_nationkey")[0]
 
 
-@query("""SELECT l.doc_id, sha256(d.text) AS sha256, CASE WHEN d.text IS NULL THEN 'MISSING' WHEN l.quality = 1 THEN 'MATCH' ELSE 'MISMATCH' END AS checksum_status FROM (SELECT * FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)) l LEFT JOIN documents d USING (doc_id)""")
-def checksums(t):
-    known = t("labels").join(t("documents").select("doc_id", "text"), "doc_id")
-    expected = known.select("doc_id", F.when(F.col("quality") == 1, F.sha2("text", 256)).otherwise("0").alias("expected"))
-    return reports.checksums(t("documents"), "doc_id", "text", expected)
-
-
 @query("SELECT l_suppkey, median(l_quantity) FILTER (l_returnflag <> 'R') AS coverage_median FROM lineitem GROUP BY 1")
 def coverage_median(t):
     depth_text = F.when(F.col("l_returnflag") == "R", "NA").otherwise(F.col("l_quantity").cast("string"))

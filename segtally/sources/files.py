@@ -271,5 +271,16 @@ def write_provenance(df: DataFrame, path: str, run: str = "run", document: str =
     flatten_json(df, run, document).repartition(run).sortWithinPartitions(run, "field").write.csv(f"{path}/fields", sep="\t", header=True, emptyValue="")
 
 
-def write_run_document(df: DataFrame, path: str, document: str = "document") -> None:
-    df.select(document).write.text(path)
+def write_run_document(lines: DataFrame, path: str, run: str, parts: int | None = None) -> None:
+    """Documents of runs (run, sample, lines), one folder a run; its files, in the order of their names, are the document.
+
+    Rows are dealt by ranges of run and sample, so a large run is written by several tasks.
+    """
+    by = [run, "sample"]
+    dealt = lines.repartitionByRange(parts, *by) if parts else lines.repartitionByRange(*by)
+    dealt.sortWithinPartitions(*by).select(run, F.col("lines").alias("value")).write.partitionBy(run).text(path)
+
+
+def read_run_document_lines(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """run and the lines of documents that write_run_document wrote."""
+    return spark.read.text(f"{path}/{run}=*").select(F.regexp_extract("_metadata.file_path", rf"/{run}=([^/]*)/", 1).alias(run), "value")

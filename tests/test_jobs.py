@@ -210,10 +210,13 @@ def test_reads(spark):
     from segtally.operators import reads
 
     r = spark.createDataFrame([("a", "xxADAPmidADyy", "5555"), ("a", "plain", "!!??"), ("a", "ADAP", ""), ("b", "longertailADzz", "I")], "k string, seq string, q string")
-    assert rows(r.select(*reads.trim_ends(F.col("seq"), ["ADAP", "AD"], 6))) == sorted([("mid", True), ("plain", False), ("", True), ("longertail", True)])
+    adapters = spark.createDataFrame([("ADAP",), ("AD",), ("",)], "a string")
+    assert rows(reads.trim_ends(r, "seq", adapters, 6), "seq", "trimmed") == sorted([("mid", True), ("plain", False), ("", True), ("longertail", True)])
+    assert rows(reads.trim_ends(r, "seq", adapters.limit(0), 6), "seq", "trimmed") == sorted((x.seq, False) for x in r.collect())
     flagged = r.withColumn("reason", F.when(F.col("seq") == "plain", "too_short").otherwise("passed")).withColumn("n", F.length("q"))
     s = {x.k: x for x in reads.read_qc_summary(flagged, ["k"], "n", "q").collect()}
     assert (s["a"].q20_rate_before, s["a"].q30_rate_before, s["a"].q20_rate_after, s["a"].q30_rate_after, s["b"].q30_rate_after) == (6 / 8, 2 / 8, 1.0, 0.0, 1.0)
     assert reads.read_set_stats(flagged, ["k"], "n", "n").where("k = 'a'").first().median_quality == 4.0
     d = spark.createDataFrame([("k", "c2", 1.0), ("k", "c1", 3.0)], "k string, c string, v double")
     assert depth.depth_stats(d, ["k"], "v", 2, "c").first().contigs == "c1,c2"
+    assert depth.depth_stats(d, ["k"], "v", 2, "c", F.col("v")).first().contigs == "c2,c1"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from segtally.functions import expr as E
 from segtally.operators import depth, ranking, reads, rollup
-from segtally.plans import queries as plans
+from segtally.plans import file_queries as plans
 from segtally.sources import files
 
 DIR = "/root/testdata/sf0.001"
