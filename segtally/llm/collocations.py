@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import _LOWER, _P, Scratch, _spans, blocks, hashes, mix
+from .base import _LOWER, _P, Scratch, _spans, arrow_rows, blocks, hashes, mix
 
 LONGEST = 4
 #: So many words at most are numbered and sent to every worker, 16 bytes each.
@@ -48,8 +48,10 @@ SHARD, RANGE = 600_000, 1_200_000
 #: One path of so many is looked at to find frequent prefixes.
 EVERY = 61
 #: Words that a task counts before it hands the counts on.
-HELD_WORDS = 500_000
+HELD_WORDS = 250_000
 SALT = 8
+#: Texts that go to Python at a time.
+TEXTS = 500
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[9, 32]] = 1
@@ -342,7 +344,8 @@ def _depth(first: np.ndarray, prefix: list[np.ndarray], hot: list[np.ndarray]) -
 def counts(docs: DataFrame, scratch: Scratch, least: int, most_words: int = MOST_WORDS, range_size: int = RANGE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Words (lang, word, h, n) and phrases of two to four words (w1 to w4, f) that occur ``least`` times, and the words of each language (lang, n)."""
     spark = docs.sparkSession
-    all_words = scratch.keep(vocabulary(docs).where((F.col("kind") == 0) | ((F.col("kind") == 1) & (F.col("n") >= least)) | ((F.col("kind") > 1) & (F.col("n") * EVERY > range_size // 8))))
+    with arrow_rows(spark, TEXTS):
+        all_words = scratch.keep(vocabulary(docs).where((F.col("kind") == 0) | ((F.col("kind") == 1) & (F.col("n") >= least)) | ((F.col("kind") > 1) & (F.col("n") * EVERY > range_size // 8))))
     words = all_words.where("kind = 1").select("lang", "word", "h", "n")
     totals = all_words.where("kind = 0").select("lang", "n")
     total = totals.agg(F.sum("n")).first()[0] or 0
@@ -380,7 +383,8 @@ def counts(docs: DataFrame, scratch: Scratch, least: int, most_words: int = MOST
 
     found = _shards(docs, known, complete, hot_sent, n_ranges).groupBy("range").applyInArrow(unite, ", ".join(f"{w} long" for w in PATH) + ", f long")
     phrases = found.groupBy(*PATH).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    return words, scratch.keep(phrases), totals
+    with arrow_rows(spark, TEXTS):
+        return words, scratch.keep(phrases), totals
 
 
 PATH = [f"w{d}" for d in range(1, LONGEST + 1)]
