@@ -7,6 +7,7 @@ file of a billion lines say, is the work of many tasks.
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,19 @@ from pyspark.sql import functions as F
 STRETCH = 1 << 16
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed now and kept in the folder of ``spark.checkpoint.dir``, so that plans over it stay short; a folder of this machine where that is unset and the master is local."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None, earlier: dict[str, Column] | None = None, stretch: int = STRETCH) -> DataFrame:
     """df with, for each name: of sums the total of all rows of the keys up to this one, of lasts the last value up to it that is not null, of earlier the same without this row.
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segtally.functions import expr as E
-from segtally.operators.scans import STRETCH, ordinals, running
+from segtally.operators.scans import STRETCH, cut, ordinals, running
 
 #: A table of more columns is taken for one without a header.
 MOST_COLUMNS = 20_000
@@ -58,7 +58,10 @@ def _patterns(sep: str) -> tuple[str, str, str]:
 
 
 def records(lines: DataFrame, sep: str = "\t", stretch: int = STRETCH) -> DataFrame:
-    """path, line_no (of the first line) and text of every record of lines (path, line_no, line); a quote that is never closed raises."""
+    """path, line_no (of the first line) and text of every record of lines (path, line_no, line); a quote that is never closed raises.
+
+    Which lines go on over others, a few rows, is found in a job of its own, before the rows are asked for.
+    """
     opens, stays, _ = _patterns(sep)
     out0, out1 = (F.col("line").rlike(p).cast("int") for p in (opens, stays))
     quoted = lines.where(F.contains("line", F.lit('"'))).select("path", "line_no", out0.alias("out0"), out1.alias("out1")).where("not (out0 = 0 and out1 = 1)")
@@ -72,7 +75,7 @@ def records(lines: DataFrame, sep: str = "\t", stretch: int = STRETCH) -> DataFr
     pairs = running(quoted, ["path"], "line_no", sums={"pair": F.col("after")}, stretch=stretch)
     spans = pairs.groupBy("path", "pair").agg(F.min("line_no").alias("first"), F.count("*").alias("ends"), F.max("line_no").alias("last"))
     broken = F.raise_error(F.concat(F.lit("a quote is not closed, line "), (F.col("first") + 1).cast("string"), F.lit(" of "), "path")).cast("long")
-    spans = spans.select("path", "first", F.when(F.col("ends") == 2, F.col("last")).otherwise(broken).alias("last"))
+    spans = cut(spans.select("path", "first", F.when(F.col("ends") == 2, F.col("last")).otherwise(broken).alias("last")))
     members = spans.select("path", F.explode(F.sequence("first", "last")).alias("line_no"), "first")
     j = lines.join(members, ["path", "line_no"], "left")
     single = j.where("first is null").select("path", "line_no", F.col("line").alias("text"))
@@ -91,9 +94,9 @@ def fields(text: Column, sep: str = "\t") -> Column:
 
 
 def headers(recs: DataFrame, sep: str = "\t") -> DataFrame:
-    """path, head_no and names of the first record of each file that is not blank."""
+    """path, head_no and names of the first record of each file that is not blank; found in a job of its own."""
     first = recs.where(E.strip(F.col("text")) != "").groupBy("path").agg(F.min_by("text", "line_no").alias("text"), F.min("line_no").alias("head_no"))
-    return first.select("path", "head_no", fields(F.regexp_replace("text", "^﻿", ""), sep).alias("names"))
+    return cut(first.select("path", "head_no", fields(F.regexp_replace("text", "^﻿", ""), sep).alias("names")))
 
 
 def column_names(heads: DataFrame) -> list[str]:
