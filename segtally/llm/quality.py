@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .base import _ALNUM, _LOWER, _WS, _spans, blocks, cut, free_name, hashes, mix
 
-BITS = 19
+BITS = 20
 BEGINNINGS = (4, 6, 8)
 SURE, LEAST = 2.5, 1.5
 #: Labelled documents that the models are fitted on, at most.
@@ -78,25 +78,37 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return u >> BITS, u & ((1 << BITS) - 1)
 
 
-def ratios_of(counts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log ratios, 2 x 2^BITS, and the log odds of the labels, 2."""
+def ratios_of(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log ratios of some buckets, 2 x their number, from their counts by kind and the documents of each kind."""
     seen = counts + 0.5
-    ratios, odds = np.zeros((2, 1 << BITS), np.float32), np.full(2, 50.0)
+    ratios = np.zeros((2, counts.shape[1]), np.float32)
     for k in (1, 2):
         if n[0] and n[k]:
             r = np.log(seen[0] / n[0]) - np.log(seen[k] / n[k])
             r = np.sign(r) * np.maximum(0, np.abs(r) - SURE * np.sqrt(1 / seen[0] + 1 / seen[k]))
             ratios[k - 1] = np.where(np.abs(r) < LEAST, 0, r)
-            odds[k - 1] = np.log(n[0] / n[k])
-    return ratios, odds
+    return ratios
+
+
+def odds_of(n: np.ndarray) -> np.ndarray:
+    """Log odds of the labels, 2."""
+    return np.array([np.log(n[0] / n[k]) if n[0] and n[k] else 50.0 for k in (1, 2)])
+
+
+def dense(model: tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ratios, 2 x 2^BITS, and odds of a model that holds (row, buckets, ratios that are not 0)."""
+    ratios = np.zeros((2, 1 << BITS), np.float32)
+    for row, at, r in model[0]:
+        ratios[row, at] = r
+    return ratios, model[1]
 
 
 def weigh(row: np.ndarray, bucket: np.ndarray, n_rows: int, ratios: np.ndarray, odds: np.ndarray) -> np.ndarray:
     return np.min([np.bincount(row, weights=ratios[k][bucket], minlength=n_rows) + odds[k] for k in (0, 1)], axis=0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Log ratios, 2 x 2^BITS, and the log odds of the labels with the margin, 2."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]:
+    """The log ratios that are not 0 (row, buckets, ratios), and the log odds of the labels with the margin, 2."""
     worst = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
     chosen = worst.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", F.when(F.col("t") == 1, 2).when(F.col("q") == 1, 0).otherwise(1).alias("kind"))
     text = F.xxhash64(F.coalesce("text", F.lit("")))
@@ -117,36 +129,48 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
             at = np.flatnonzero(total[k]).astype(np.int32)
             for c in range(16):
                 part = at[(at >> chunk) == c]
-                out.append((k * 16 + c, part.tobytes(), total[k][part].tobytes(), n[k]))
-        yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out) if out else [()] * 4, (pa.int32(), pa.binary(), pa.binary(), pa.int64()))], ["part", "at", "n", "docs"])
-
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(1 << chunk, np.int32)
-        for at, n in zip(t["at"], t["n"]):
-            total[np.frombuffer(at.as_py(), np.int32) & ((1 << chunk) - 1)] += np.frombuffer(n.as_py(), np.int32)
-        return pa.table({"part": t["part"][:1], "n": pa.array([total.tobytes()], pa.binary()), "docs": pa.array([sum(t["docs"].to_pylist())], pa.int64())})
-
-    parts = labelled.mapInArrow(count, "part int, at binary, n binary, docs long").groupBy("part").applyInArrow(add, "part int, n binary, docs long")
-    counts, n = np.zeros((3 * FOLDS, 16, 1 << chunk), np.int32), np.zeros(3 * FOLDS)
-    for r in parts.toLocalIterator():  # 192 rows of 128 kB at most
-        counts[r.part // 16, r.part % 16] = np.frombuffer(r.n, np.int32)
-        n[r.part // 16] = r.docs
-    counts, n = counts.reshape(3, FOLDS, -1), n.reshape(3, FOLDS)
-    total, n_total = counts.sum(axis=1, dtype=np.int32), n.sum(axis=1)
-    ratios, odds = ratios_of(total, n_total)
-    if not n_total[0]:
-        return ratios, odds
-    without = docs.sparkSession.sparkContext.broadcast([ratios_of(total - counts[:, f], n_total - n[:, f]) for f in range(FOLDS)])  # 16 MB
+                out.append((c, k, part.tobytes(), total[k][part].tobytes(), n[k]))
+        yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out) if out else [()] * 5, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))], ["part", "k", "at", "n", "docs"])
+
+    # the counts stay a table, a sixteenth of the buckets a part; only ratios that are not 0 come to the driver
+    parts = cut(labelled.mapInArrow(count, "part int, k int, at binary, n binary, docs long"))
+    n = np.zeros(3 * FOLDS)
+    for r in parts.where("part = 0").groupBy("k").agg(F.sum("docs").alias("docs")).collect():
+        n[r.k] = r.docs
+    n = n.reshape(3, FOLDS)
+    left = [n.sum(axis=1), *(n.sum(axis=1) - n[:, f] for f in range(FOLDS))]  # documents of all folds, and of all but one
+
+    def fitted(t: pa.Table) -> pa.Table:
+        total = np.zeros((3 * FOLDS, 1 << chunk), np.int32)
+        for k, at, m in zip(t["k"].to_pylist(), t["at"], t["n"]):
+            total[k, np.frombuffer(at.as_py(), np.int32) & ((1 << chunk) - 1)] += np.frombuffer(m.as_py(), np.int32)
+        total, first, out = total.reshape(3, FOLDS, -1), t["part"][0].as_py() << chunk, []
+        whole = total.sum(axis=1, dtype=np.int32)
+        for model, docs in enumerate(left):
+            ratios = ratios_of(whole - total[:, model - 1] if model else whole, docs)
+            for row in (0, 1):
+                at = np.flatnonzero(ratios[row])
+                out.append((model, row, (at + first).astype(np.int32).tobytes(), ratios[row, at].tobytes()))
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["model", "row", "at", "ratios"])
+
+    models = [([], odds_of(docs)) for docs in left]
+    for r in parts.groupBy("part").applyInArrow(fitted, "model int, row int, at binary, ratios binary").toLocalIterator():
+        models[r.model][0].append((r.row, np.frombuffer(r.at, np.int32), np.frombuffer(r.ratios, np.float32)))
+    whole, odds = models[0]
+    if not left[0][0]:
+        return whole, odds
+    without = docs.sparkSession.sparkContext.broadcast(models[1:])
 
     def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folds = [dense(m) for m in without.value]
         for batch, raw, offsets in blocks(batches):
             row, bucket = features(raw, offsets)
-            w = np.array([weigh(row, bucket, batch.num_rows, *model) for model in without.value])
+            w = np.array([weigh(row, bucket, batch.num_rows, *model) for model in folds])
             yield pa.RecordBatch.from_arrays([pa.array(w[batch.column("fold").to_numpy(), np.arange(batch.num_rows)])], ["w"])
 
     weights = labelled.where("kind = 0").mapInArrow(held_out, "w double").toArrow()["w"].to_numpy()  # a number a document of the sample
     without.unpersist()
-    return ratios, odds + max(0.0, -np.quantile(weights, 1 - KEEP))
+    return whole, odds + max(0.0, -np.quantile(weights, 1 - KEEP))
 
 
 def kth_largest(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_000) -> float | None:
@@ -176,11 +200,10 @@ def top_k(rows: DataFrame, key: str, k: int, bins: int = 1024, small: int = 50_0
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, text_hash, n_grams, log_weight, gumbel_key of every row of docs."""
-    ratios, odds = fit(docs, labels, sample)
-    model = docs.sparkSession.sparkContext.broadcast((ratios, odds))  # 4 MB
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, o = model.value
+        r, o = dense(model.value)
         for batch, raw, offsets in blocks(batches):
             row, bucket = features(raw, offsets)
             n = np.bincount(row, minlength=len(offsets) - 1)
