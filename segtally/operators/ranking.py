@@ -30,8 +30,8 @@ def top_hit(hits: DataFrame, keys: list[str], score: str = "bit_score", evalue:
 
 
 def limit_hits(hits: DataFrame, query: list[str], subject: str, order: list[Column], per_subject: int, subjects: int) -> DataFrame:
-    """At most per_subject rows of each query and subject, and the best subjects of each query."""
-    d = hits.withColumn("_h", F.row_number().over(Window.partitionBy(*query, subject).orderBy(*order))).where(F.col("_h") <= per_subject)
+    """At most per_subject rows of each query and subject, and the best subjects of each query; rows are dealt by the query once, which serves every window."""
+    d = hits.repartition(*query).withColumn("_h", F.row_number().over(Window.partitionBy(*query, subject).orderBy(*order))).where(F.col("_h") <= per_subject)
     d = d.withColumn("_all", F.row_number().over(Window.partitionBy(*query).orderBy(*order)))
     d = d.withColumn("_best", F.min("_all").over(Window.partitionBy(*query, subject)))
     return d.withColumn("_s", F.dense_rank().over(Window.partitionBy(*query).orderBy("_best"))).where(F.col("_s") <= subjects).drop("_h", "_all", "_best", "_s")
