@@ -522,9 +522,9 @@ def run_summary(t):
 
 @query("""WITH e AS (SELECT doc_id FROM documents), m AS (SELECT doc_id, quality FROM labels)
 SELECT * FROM (VALUES ('expected', (SELECT count(*) FROM e)), ('rows', (SELECT count(*) FROM m)), ('matched', (SELECT count(*) FROM e JOIN m USING (doc_id))), ('missing', (SELECT count(*) FROM e ANTI JOIN m USING (doc_id))),
- ('warnings', (SELECT count(*) FROM m ANTI JOIN e USING (doc_id)) + (SELECT count(*) FROM e ANTI JOIN m USING (doc_id))), ('errors', (SELECT count(*) FROM m WHERE quality = 0))) v(name, value)""")
+ ('warnings', (SELECT count(*) FROM m ANTI JOIN e USING (doc_id)) + (SELECT (count(*) > 0)::INT FROM e ANTI JOIN m USING (doc_id))), ('errors', (SELECT count(*) FROM m WHERE quality = 0))) v(name, value)""")
 def validate_metadata(t):
-    meta = t("labels").select("doc_id", F.when(F.col("quality") == 0, "2026-02-30").otherwise("2026-02-28").alias("collected"))
+    meta = t("labels").select("doc_id", F.col("doc_id").alias("line"), F.when(F.col("quality") == 0, "2026-02-30").otherwise("2026-02-28").alias("collected"))
     return samples.validate_metadata(meta, t("documents").select("doc_id"), ["collected"], "doc_id", dates=("collected",))[2]
 
 

@@ -173,9 +173,7 @@ def test_metadata_report_and_sinks(spark, tmp_path):
     assert [r.value for r in spark.read.text(f"{tmp_path}/fa/sample=a").collect()] == [">y", "GT", ">x", "AC"]
     doc = spark.createDataFrame([("r1", '{"b":{"c":1},"a":2}')], "run string, document string")
     files.write_provenance(doc, f"{tmp_path}/prov")
-    assert [tuple(r) for r in files.read_table(spark, f"{tmp_path}/prov/fields").collect()] == [("r1", "a", "2"), ("r1", "b.c", "1")]
-    files.write_run_document(doc, f"{tmp_path}/doc")
-    assert spark.read.text(f"{tmp_path}/doc").count() == 1
+    assert rows(files.read_table(spark, f"{tmp_path}/prov/fields")) == [("r1", "a", "2"), ("r1", "b.c", "1")]
 
 
 def test_small_operators(spark):

@@ -27,10 +27,10 @@ def test_genotype_report(spark):
 def test_documents(spark):
     d = spark.createDataFrame([(1, '{"a":{"b":{"c":1},"l":[1,2]},"e":{},"s":"x"}')], "k int, j string")
     assert sorted((r.field, r.value) for r in reports.flatten_json(d, "k", "j").collect()) == [("a.b.c", "1"), ("a.l", "[1,2]"), ("s", "x")]
-    good = '{"format":"run-document","version":1,"samples":{"x/s1.html?q":{"n":1}}}'
-    docs = spark.createDataFrame([(1, good), (2, "no json"), (3, '{"format":"other","samples":{"a":{}}}'), (4, None)], "run int, document string")
+    good = '{"format":"run-document","version":1,"run":{"name":"1"},"samples":{"x/s1.html?q":{"n":1}}}'
+    docs = spark.createDataFrame([(1, good), (2, "no json"), (3, '{"format":"other","samples":{"a":{}}}'), (4, None), (5, good.replace('"run":{"name":"1"},', ""))], "run int, document string")
     rows, rejects = reports.read_run_documents(docs, "run")
-    assert [tuple(r) for r in rows.collect()] == [(1, "s1", '{"n":1}')] and sorted(r.run for r in rejects.collect()) == [2, 3, 4]
+    assert [tuple(r) for r in rows.collect()] == [(1, "s1", '{"n":1}')] and sorted(r.run for r in rejects.collect()) == [2, 3, 4, 5]
 
 
 def test_backfill_and_review(spark):
