@@ -19,9 +19,14 @@ ANALYTICAL = [
 ]
 
 
+def picked(by: str, wanted: dict[str, tuple[str, str]], default: str = "NA") -> list[Column]:
+    """Aggregates: for each name of wanted (value of by, column), that column of the group's first such row in the order of the column; default without one."""
+    return [F.coalesce(F.min(F.when(F.col(by) == v, F.col(c).cast("string"))), F.lit(default)).alias(n) for n, (v, c) in wanted.items()]
+
+
 def pick(df: DataFrame, key: str, by: str, wanted: dict[str, tuple[str, str]], default: str = "NA") -> DataFrame:
-    """key and, for each name of wanted (value of by, column), that column of the key's first such row in the order of the column; default without one."""
-    return df.groupBy(key).agg(*(F.coalesce(F.min(F.when(F.col(by) == v, F.col(c).cast("string"))), F.lit(default)).alias(n) for n, (v, c) in wanted.items()))
+    """key and what ``picked`` finds of each key."""
+    return df.groupBy(key).agg(*picked(by, wanted, default))
 
 
 def record_counts(records: DataFrame, key: str, name: str = "records") -> DataFrame:
@@ -50,13 +55,14 @@ def sample_summary(samples: DataFrame, metadata: DataFrame, read_qc: DataFrame,
     at = F.array(*map(F.lit, E.SEGMENTS))
     listed = lambda which: E.first_nonempty(F.array_join(F.array_intersect(at, F.collect_set(F.when(which, F.col("segment")))), ","), F.lit("NONE"))
     flag = F.col("coverage_flag")
+    ends = picked("segment", {"ha_contig": ("HA", "contig"), "na_contig": ("NA", "contig"), "ha_median_depth": ("HA", "median_depth"), "na_median_depth": ("NA", "median_depth")})
     c = coverage.groupBy(key).agg(
+        *ends,
         F.count_if(flag != "MISSING").alias("segments_detected"), F.count_if(flag == "PASS").alias("segments_pass"), F.count_if(flag == "FAIL").alias("_failed"), F.count_if(flag == "MISSING").alias("segments_missing"),
         listed(flag == "PASS").alias("pass_segment_names"), listed(flag == "FAIL").alias("failed_segment_names"), listed(flag == "MISSING").alias("missing_segment_names"),
         listed(count > 1).alias("multiple_irma_candidate_segments"), F.count_if(count > 1).alias("multiple_irma_candidate_count"), F.greatest(F.max(count), F.lit(1)).alias("max_irma_candidate_count"))
-    ends = pick(coverage, key, "segment", {"ha_contig": ("HA", "contig"), "na_contig": ("NA", "contig"), "ha_median_depth": ("HA", "median_depth"), "na_median_depth": ("NA", "median_depth")})
     top = pick(hits, key, "segment", {"ha_top_blast_hit": ("HA", "top_hit"), "na_top_blast_hit": ("NA", "top_hit")}, "NO_HIT")
-    parts = [metadata.select(key, *own), read_qc.select(key, *READ_QC_FIELDS), c, ends, top, screen.select(key, F.upper(E.clean(F.col("screen"))).alias("_screen")), genotype.select(key, F.col("genoflu_status").alias("_genotype")), record_counts(consensus, key, "_consensus")]
+    parts = [metadata.select(key, *own), read_qc.select(key, *READ_QC_FIELDS), c, top, screen.select(key, F.upper(E.clean(F.col("screen"))).alias("_screen")), genotype.select(key, F.col("genoflu_status").alias("_genotype")), record_counts(consensus, key, "_consensus")]
     j = reduce(lambda a, b: a.join(b, key, "left"), parts, samples.select(key))
     zero = lambda n: F.coalesce(F.col(n), F.lit(0))
     shown = F.coalesce(E.normalize_screen(F.col("_screen")), F.lit("MISSING"))

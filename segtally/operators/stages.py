@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,14 +106,15 @@ def ordered(df: DataFrame, segment: str = "segment", report: bool = False, name:
     return df.withColumn(name, F.when(at > 0, at).otherwise(99).cast("int"))
 
 
-def normalize_assembly(artifacts: DataFrame, medians: DataFrame, lengths: DataFrame, samples: DataFrame) -> DataFrame:
+def normalize_assembly(artifacts: DataFrame, medians: DataFrame | None, lengths: DataFrame | None, samples: DataFrame) -> DataFrame:
     """The manifest: one row for each sample and segment, with the chosen candidate.
 
     artifacts: sample, contig, segment, kind (fasta, bam, coverage), path, bytes;
-    medians: path, coverage_median; lengths: path, fasta_length; samples: sample.
+    medians: path, coverage_median; lengths: path, fasta_length; each may be None where
+    the artifacts carry its column already, which spares a join by path; samples: sample.
     Of files of one contig and kind the first path counts, the others are alternates.
     """
-    a = artifacts.join(medians, "path", "left").join(lengths, "path", "left")
+    a = reduce(lambda x, y: x.join(y, "path", "left"), (x for x in (medians, lengths) if x is not None), artifacts)
     of = lambda kind, c: F.min_by(F.when(F.col("kind") == kind, F.col(c)), F.when(F.col("kind") == kind, F.col("path")))
     first = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("path")))
     c = a.groupBy("sample", "segment", "contig").agg(
@@ -119,12 +122,11 @@ def normalize_assembly(artifacts: DataFrame, medians: DataFrame, lengths: DataFr
         F.coalesce(of("fasta", "fasta_length"), F.lit(0)).cast("long").alias("fasta_length"), of("coverage", "coverage_median").alias("coverage_median"), F.array_sort(F.collect_list("path")).alias("_paths"))
     c = c.withColumn("alternates", F.filter("_paths", lambda p: ~F.coalesce(p.eqNullSafe(F.col("fasta")) | p.eqNullSafe(F.col("bam")) | p.eqNullSafe(F.col("coverage_table")), F.lit(False)))).drop("_paths")
     has = lambda x: F.col(x).isNotNull()
+    # descending numbers are negated, so that one minimum takes the best candidate and, of equal ones, the first contig
     rank = F.struct(
-        (has("fasta") & has("bam")).alias("pair"), has("coverage_median").alias("measured"), F.coalesce("coverage_median", F.lit(-1.0)).alias("depth"), F.coalesce("bam_bytes", F.lit(0)).alias("bytes"), F.col("fasta_length").alias("length"))
+        ~(has("fasta") & has("bam")), F.col("coverage_median").isNull(), -F.coalesce("coverage_median", F.lit(-1.0)), -F.coalesce("bam_bytes", F.lit(0)), -F.col("fasta_length"), F.col("contig"))
     everything = F.struct(*(x for x in c.columns if x not in ("sample", "segment")))
-    # the best rank first, then the contig by its name: a minimum over (worse, contig) needs no sort of a sample
-    best = c.withColumn("_rank", rank).groupBy("sample", "segment").agg(F.count("*").alias("candidate_count"), F.max("_rank").alias("_best"))
-    chosen = c.withColumn("_rank", rank).join(best, ["sample", "segment"]).where("_rank = _best").groupBy("sample", "segment").agg(F.first("candidate_count").alias("candidate_count"), F.min_by(everything, "contig").alias("c"))
+    chosen = c.groupBy("sample", "segment").agg(F.count("*").alias("candidate_count"), F.min_by(everything, rank).alias("c"))
     grid = samples.select("sample").distinct().withColumn("segment", F.explode(F.array(*map(F.lit, E.SEGMENTS))))
     m = grid.join(chosen, ["sample", "segment"], "left").select("sample", "segment", F.coalesce("candidate_count", F.lit(0)).alias("candidate_count"), "c.*")
     n = F.col("candidate_count")
