@@ -176,17 +176,23 @@ def union_versions(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def versioned_column(df: DataFrame, names: list[str]) -> Column:
-    """The first of the names that df has, as a number with 0 for what is none."""
+def versioned_column(df: DataFrame, names: list[str], default: Column | None = None) -> Column:
+    """The first of the names that df has, as a number with 0 for what is none; default where it has none of them, else an error."""
     found = next((n for n in names if n in df.columns), None)
-    if found is None:
+    if found is None and default is None:
         raise ValueError(f"none of {names}")
-    return F.coalesce(F.col(found).try_cast("double"), F.lit(0.0))
-
-
-def metadata_long(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    u = df.select(key, *(F.col(c).cast("string") for c in columns)).unpivot(key, columns, "field", "value")
-    return u.where(~F.upper(E.clean(F.col("value"))).isin("", "NA")).withColumn("field", F.initcap(F.replace("field", F.lit("_"), F.lit(" "))))
+    return default if found is None else F.coalesce(F.col(found).try_cast("double"), F.lit(0.0))
+
+
+def metadata_long(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
+    """key, field (in title case), value of every filled value of the columns; without columns of those that a sample summary holds before ``reads_before``."""
+    if columns is None:
+        end = df.columns.index("reads_before") if "reads_before" in df.columns else 0
+        columns = [c for c in df.columns[:end] if c != key]
+    if not columns:
+        return df.select(key, F.lit("").alias("field"), F.lit("").alias("value")).where("false")
+    u = df.select(key, *(F.trim(F.col(f"`{c}`").cast("string")).alias(c) for c in columns)).unpivot(key, [F.col(f"`{c}`") for c in columns], "field", "value")
+    return u.where(~F.upper("value").isin("", "NA", "N/A", "NONE", "NAN")).withColumn("field", F.initcap(F.trim(F.replace("field", F.lit("_"), F.lit(" ")))))
 
 
 def annotation_summary(passed: DataFrame, failed: DataFrame, alerts: DataFrame, key: str) -> DataFrame:

@@ -18,6 +18,10 @@ ANALYTICAL = [
     "consensus_segments", "multiple_irma_candidate_segments", "multiple_irma_candidate_count", "max_irma_candidate_count", "review_flags", "ha_top_blast_hit", "na_top_blast_hit",
 ]
 
+# Columns that a run summary has by these values where no summary brings them.
+RUN_DEFAULTS = {"host_common_name": "Unknown", "host_species": "Unknown", "collection_date": "Unknown", "state": "Unknown", "flyway": "Unknown", "multiple_irma_candidate_segments": "NONE"}
+RUN_MEASURES = ["subtype_min_median_depth", "aa_changes", "synonymous_changes", "nonsynonymous_changes"]
+
 
 def picked(by: str, wanted: dict[str, tuple[str, str]], default: str = "NA") -> list[Column]:
     """Aggregates: for each name of wanted (value of by, column), that column of the group's first such row in the order of the column; default without one."""
@@ -75,6 +79,33 @@ def sample_summary(samples: DataFrame, metadata: DataFrame, read_qc: DataFrame,
     return j.select(key, *(F.col(f"`{n}`") for n in names), *(F.coalesce(F.col(n), F.lit(absent[n])).alias(n) if n in absent else F.col(n) for n in ANALYTICAL))
 
 
+def recovered_ids(summaries: DataFrame, expected: DataFrame, path_id: str, key: str = "sample_id") -> DataFrame:
+    """The summary rows of every expected id (column key), with ``key`` as their first column.
+
+    summaries: path_id (the id in the path of the row's file), then what the files hold, null
+    where a file lacks a column. A row's id is its ``key``, or its ``sample`` where the file has no
+    ``key``; a blank one gives way to the id in the path. An expected id without any row, as its
+    file is absent or holds no record, raises. Files that are not expected are left out.
+    """
+    own = [F.col(f"`{c}`") for c in summaries.columns if c not in (path_id, key, "sample")]
+    given = [E.strip(F.col(c)) for c in (key, "sample") if c in summaries.columns]
+    found = F.nullif(F.coalesce(*given, F.lit("")), F.lit(""))
+    rows = summaries.select(F.col(path_id).alias("_path_id"), F.coalesce(found, F.col(path_id)).alias("_found"), *own)
+    j = expected.select(F.col(key).alias("_expected")).distinct().join(rows, F.col("_expected") == F.col("_path_id"), "left")
+    absent = F.raise_error(F.concat(F.lit("no summary, or an empty one: "), "_expected")).cast("boolean")
+    return j.where(F.when(F.col("_path_id").isNull(), absent).otherwise(True)).select(F.col("_found").alias(key), *own)
+
+
+def current_columns(s: DataFrame) -> DataFrame:
+    """Summaries of any version with what the present one has: counts as numbers (0 for none), screens as one of three words, ``RUN_DEFAULTS`` and ``RUN_MEASURES`` (null) where the column is absent."""
+    new = {"pass_segments": rollup.versioned_column(s, ["pass_segments", "segments_pass", "coverage_segments", "segments_detected"])}
+    new["coverage_segments"] = rollup.versioned_column(s, ["coverage_segments", "segments_detected"], new["pass_segments"])
+    new["multiple_irma_candidate_count"] = rollup.versioned_column(s, ["multiple_irma_candidate_count"], F.lit(0.0))
+    new["h5n1_screen"] = E.normalize_screen(F.col("h5n1_screen"), strict=True) if "h5n1_screen" in s.columns else F.lit("INDETERMINATE")
+    new |= {n: F.lit(v) for n, v in RUN_DEFAULTS.items() if n not in s.columns} | {n: F.lit(None).cast("double") for n in RUN_MEASURES if n not in s.columns}
+    return s.withColumns(new)
+
+
 def run_summary(summaries: list[DataFrame], stages: DataFrame, key: str = "sample_id") -> DataFrame:
     """All sample summaries of a run with subtype calls, genome status, stage counts and what asks for review; summaries of other versions may lack columns.
 
@@ -85,7 +116,7 @@ def run_summary(summaries: list[DataFrame], stages: DataFrame, key: str = "sampl
         s = s.withColumnRenamed("sample", key)
     elif "sample" in s.columns:
         s = s.withColumn(key, F.coalesce(F.nullif(E.clean(F.col(key)), F.lit("")), F.col("sample"))).drop("sample")
-    s = s.withColumn("pass_segments", rollup.versioned_column(s, ["pass_segments", "segments_pass", "coverage_segments", "segments_detected"]))
+    s = current_columns(s)
     s = s.withColumn("genome_status", E.genome_status(F.col("pass_segments")))
     for n in ("ha_contig", "na_contig", "ha_top_blast_hit", "na_top_blast_hit"):
         if n not in s.columns:
@@ -235,6 +266,30 @@ def variant_table(wide: DataFrame, counts: DataFrame, keys: list[str]) -> DataFr
     return j.select(*keys, "consensus_source", variant_display(F.col("variant_status"), F.col("inference_status"), F.col("records")).alias("variants"), "variant_reason")
 
 
+def files_table(coverage: DataFrame, wide: DataFrame, artifacts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, length, overall_status, the stages, and which files of each segment can be had, for the files table of all sample reports.
+
+    coverage: keys, length, overall_status; wide: rollup.stage_status_wide with the stages inference,
+    consensus (status, source) and variant; artifacts: keys, kind (consensus or vcf), path, bytes, records.
+    Files of no bytes count as absent; of several the first path counts. A table of variants without a
+    recorded stage, as old runs have them, is shown too.
+    """
+    there = artifacts.where("bytes > 0")
+    of = lambda kind, c: F.min_by(F.when(F.col("kind") == kind, F.col(c)), F.when(F.col("kind") == kind, F.col("path")))
+    a = there.groupBy(*keys).agg(of("consensus", "path").alias("_consensus"), of("vcf", "path").alias("_vcf"), F.coalesce(of("vcf", "records"), F.lit(0)).alias("_records"))
+    j = coverage.join(wide, keys, "left").join(a, keys, "left")
+    word = {n: F.coalesce(F.col(n), F.lit("NOT_RECORDED")) for n in ("inference_status", "consensus_status", "consensus_source", "variant_status")}
+    variant, vcf = word["variant_status"], F.col("_vcf").isNotNull()
+    counted = F.concat(F.col("_records").cast("string"), F.when(F.col("_records") == 1, " variant").otherwise(" variants"))
+    called = vcf & ~variant.isin("FAILED", "SKIPPED_QC")
+    skipped = (variant == "SKIPPED_QC") | (F.coalesce("overall_status", F.lit("")) != "PASS")
+    calls = F.when(called, counted).when(variant == "FAILED", "FAILED").when(skipped, "Skipped: segment QC").otherwise("No VCF produced")
+    source = F.when(~word["consensus_source"].isin("", "NOT_RECORDED"), F.concat(F.lit(" · "), F.replace(word["consensus_source"], F.lit("_"), F.lit(" "))))
+    return j.select(
+        *keys, "length", "overall_status", word["inference_status"].alias("inference_status"), F.concat(F.replace(word["consensus_status"], F.lit("_"), F.lit(" ")), F.coalesce(source, F.lit(""))).alias("consensus"),
+        F.coalesce("_consensus", F.lit("Not available")).alias("consensus_file"), variant.alias("variant_status"), calls.alias("variants"), F.coalesce(F.when(called, F.col("_vcf")), F.lit("Not generated")).alias("variant_file"))
+
+
 def compare_runs(fields: DataFrame, run: str = "run") -> DataFrame:
     """field and the number of distinct values of flattened provenance documents: where runs differ."""
     return fields.groupBy("field").agg(F.count_distinct(F.coalesce("value", F.lit("null"))).alias("distinct_values"), F.count_distinct(run).alias("runs"))
@@ -253,7 +308,8 @@ def run_report(run: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def sample_report(summary: DataFrame, wide: DataFrame, counts: DataFrame, key: str = "sample") -> dict[str, DataFrame]:
-    """The tables of all sample reports: header cards, the variants of each segment, and notes where polishing fell back or failed."""
+def sample_report(summary: DataFrame, wide: DataFrame, counts: DataFrame, key: str = "sample", coverage: DataFrame | None = None, artifacts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables of all sample reports: header cards, metadata, the variants of each segment, notes where polishing fell back or failed, and, with coverage and artifacts, the files of each segment."""
     changed = wide.where((F.col("consensus_source") == "IRMA_FALLBACK") | F.col("inference_status").isin("FAILED") | F.col("consensus_status").isin("FAILED"))
-    return {"cards": sample_cards(summary, key), "variants": variant_table(wide, counts, [key, "segment"]), "notes": changed.select(key, "segment", "consensus_status", "consensus_source", E.first_nonempty(F.col("consensus_reason"), F.col("inference_reason")).alias("reason"))}
+    files = {} if coverage is None or artifacts is None else {"files": files_table(coverage, wide, artifacts, [key, "segment"])}
+    return files | {"cards": sample_cards(summary, key), "metadata": rollup.metadata_long(summary, key), "variants": variant_table(wide, counts, [key, "segment"]), "notes": changed.select(key, "segment", "consensus_status", "consensus_source", E.first_nonempty(F.col("consensus_reason"), F.col("inference_reason")).alias("reason"))}

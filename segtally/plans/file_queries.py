@@ -190,6 +190,42 @@ def checksums(t):
     return reports.checksums(docs.where("n_chars >= 500"), "doc_id", "text", expected)
 
 
+@query("""SELECT CASE c_custkey % 4 WHEN 0 THEN 'n' WHEN 1 THEN 'm' ELSE 'c' END || c_custkey AS sample_id, CASE WHEN c_custkey % 4 < 2 THEN c_nationkey ELSE 0 END::DOUBLE AS pass_segments, CASE WHEN c_custkey % 4 = 3 THEN c_nationkey ELSE 0 END::DOUBLE AS coverage_segments,
+ CASE WHEN c_custkey % 4 <> 1 THEN 'INDETERMINATE' WHEN c_nationkey % 3 = 0 THEN 'DETECTED' WHEN c_nationkey % 3 = 1 THEN 'NOT_DETECTED' ELSE 'INDETERMINATE' END AS h5n1_screen, 'Unknown' AS state FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def summary_versions(t):
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    name = lambda x: F.concat(F.lit(x), k.cast("string"))
+    screen = F.when(n % 3 == 0, " pass").when(n % 3 == 1, "Not_detected").otherwise("odd")
+    text = F.when(k % 4 == 0, tsv(name("n"), n)).when(k % 4 == 1, tsv(n, name("m"), screen)).when(k % 4 == 2, F.lit("duck")).otherwise(tsv(F.lit(" "), name("wrong"), n))
+    rows = t("customer").select(name("c").alias("path"), F.lit(1).cast("long").alias("line_no"), text.alias("line"))
+    of = F.substring("path", 2, 9).cast("int") % 4
+    header = F.when(of == 0, "sample\tsegments_pass").when(of == 1, "segments_pass\tsample_id\th5n1_screen").when(of == 2, "host").otherwise("sample_id\tsample\tcoverage_segments")
+    found = tables.table_rows(with_header(rows, header), ["sample_id", "sample", "segments_pass", "coverage_segments", "h5n1_screen"]).drop("line_no")
+    expected = t("customer").where("c_mktsegment != 'BUILDING'").select(name("c").alias("sample_id"))
+    return samples.current_columns(samples.recovered_ids(found, expected, "path")).select("sample_id", "pass_segments", "coverage_segments", "h5n1_screen", "state")
+
+
+@query("""WITH c AS (SELECT o_custkey AS sample, o_orderpriority AS segment, count(*) AS length, CASE WHEN min(o_orderstatus) = 'F' THEN 'PASS' ELSE 'FAIL' END AS overall_status FROM orders GROUP BY ALL),
+w AS (SELECT sample, segment, CASE WHEN sample % 5 = 0 THEN 'FAILED' WHEN sample % 5 = 1 THEN 'SKIPPED_QC' WHEN sample % 5 = 2 THEN 'SUCCESS' ELSE 'NOT_RECORDED' END AS v, CASE WHEN sample % 5 < 3 THEN 'SUCCESS · IRMA FALLBACK' ELSE 'NOT RECORDED' END AS s FROM c),
+a AS (SELECT o_custkey AS sample, o_orderpriority AS segment, min(o_orderkey) FILTER (o_orderstatus = 'F') AS f, min(o_orderkey) FILTER (o_orderstatus = 'O' AND o_orderkey % 3 > 0) AS vcf FROM orders GROUP BY ALL)
+SELECT sample, segment, length, overall_status, CASE WHEN v = 'NOT_RECORDED' THEN v ELSE 'SUCCESS' END AS inference_status, s AS consensus, coalesce('f' || f, 'Not available') AS consensus_file, v AS variant_status,
+ CASE WHEN v IN ('SUCCESS', 'NOT_RECORDED') AND vcf IS NOT NULL THEN vcf % 3 || CASE WHEN vcf % 3 = 1 THEN ' variant' ELSE ' variants' END WHEN v = 'FAILED' THEN v WHEN v = 'SKIPPED_QC' OR overall_status <> 'PASS' THEN 'Skipped: segment QC' ELSE 'No VCF produced' END AS variants,
+ CASE WHEN v IN ('SUCCESS', 'NOT_RECORDED') AND vcf IS NOT NULL THEN 'v' || vcf ELSE 'Not generated' END AS variant_file FROM c JOIN w USING (sample, segment) LEFT JOIN a USING (sample, segment)""")
+def files_table(t):
+    key = F.col("o_orderkey")
+    o = t("orders").select(F.col("o_custkey").alias("sample"), F.col("o_orderpriority").alias("segment"), "o_orderstatus", "o_orderkey")
+    coverage = o.groupBy("sample", "segment").agg(F.count("*").alias("length"), F.when(F.min("o_orderstatus") == "F", "PASS").otherwise("FAIL").alias("overall_status"))
+    kind = F.when(F.col("o_orderstatus") == "F", "consensus").when(F.col("o_orderstatus") == "O", "vcf").otherwise("bam")
+    # numbers of one width, so that the first path is that of the smallest number
+    path = F.concat(F.when(kind == "vcf", "v").otherwise("f"), F.lpad(key.cast("string"), 18, "0"))
+    size = F.when(kind == "vcf", key % 3).otherwise(1)
+    artifacts = o.select("sample", "segment", kind.alias("kind"), path.alias("path"), size.alias("bytes"), (key % 3).alias("records"))
+    done = F.when(F.col("sample") % 5 == 0, "FAILED").when(F.col("sample") % 5 == 1, "SKIPPED_QC").otherwise("SUCCESS")
+    wide = coverage.where("sample % 5 < 3").select("sample", "segment", F.lit("SUCCESS").alias("inference_status"), F.lit("SUCCESS").alias("consensus_status"), F.lit("IRMA_FALLBACK").alias("consensus_source"), done.alias("variant_status"))
+    out = samples.files_table(coverage, wide, artifacts, ["sample", "segment"])
+    return out.withColumns({c: F.regexp_replace(c, "^([fv])0+(?=[0-9])", "$1") for c in ("consensus_file", "variant_file")})
+
+
 SEGMENT_ROWS = """g AS (SELECT c_custkey, p.s FROM customer, (SELECT DISTINCT o_orderpriority AS s FROM orders) p), o AS (SELECT o_custkey AS c_custkey, o_orderpriority AS s, count(*) AS n, max(o_totalprice) AS top, min(o_orderstatus) AS st FROM orders GROUP BY ALL)"""
 
 

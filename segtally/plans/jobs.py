@@ -76,6 +76,11 @@ def sample_job(spark: SparkSession, results: str, expected: DataFrame, layout: d
     return samples.sample_summary(expected.select("sample"), metadata, read_qc, coverage, top, flags, genotype, consensus.select("sample"))
 
 
+def read_summaries(spark: SparkSession, paths: str, sample: str, expected: DataFrame) -> DataFrame:
+    """The sample summaries of every expected ``sample_id``, each file by its own header; sample: pattern of the id in a path. An id whose file is absent or empty raises."""
+    return samples.recovered_ids(files.read_table(spark, paths, keys={"_folder": sample}), expected, "_folder")
+
+
 def run_job(spark: SparkSession, results: str, summaries: list[DataFrame], layout: dict[str, str] = LAYOUT) -> DataFrame:
     """The run summary of sample summaries with the stage status files below results."""
     root = results.rstrip("/")

@@ -152,6 +152,41 @@ def test_jobs_from_files(spark, tmp_path):
     assert {x.metric: x.value for x in samples.sample_cards(s.where("sample = 's1'")).collect()}["Passing segments"] == "7/8"
 
 
+def test_summaries_of_several_versions(spark, tmp_path):
+    root = tmp_path / "results"
+    put(root / "s1/s1.tsv", "sample\thost\tsegments_pass\th5n1_screen\ns1\tduck\t8\tPASS\n")
+    put(root / "s2/s2.tsv", "segments_pass\thost\n 6\tN/A\n")
+    put(root / "s3/s3.tsv", "sample_id\tsample\tsegments_pass\n \twrong\tmany\n")
+    put(root / "s4/s4.tsv", "sample_id\tsegments_pass\n")
+    ids = lambda *names: spark.createDataFrame([(n,) for n in names], "sample_id string")
+    read = lambda expected: jobs.read_summaries(spark, f"{root}/*/*.tsv", r"results/([^/]+)/", expected)
+    s = read(ids("s1", "s2", "s3"))
+    assert rows(s, "sample_id", "segments_pass") == [("s1", "8"), ("s2", "6"), ("s3", "many")]
+    run = samples.current_columns(s)
+    assert rows(run, "sample_id", "pass_segments", "coverage_segments", "h5n1_screen", "state") == [("s1", 8.0, 8.0, "DETECTED", "Unknown"), ("s2", 6.0, 6.0, "INDETERMINATE", "Unknown"), ("s3", 0.0, 0.0, "INDETERMINATE", "Unknown")]
+    assert rows(run.select("multiple_irma_candidate_count", "multiple_irma_candidate_segments", "aa_changes").distinct()) == [(0.0, "NONE", None)]
+    for absent in ("s4", "s5"):  # no record, no file
+        with pytest.raises(Exception, match=f"no summary, or an empty one: {absent}"):
+            read(ids("s1", absent)).collect()
+    with pytest.raises(ValueError, match="none of"):
+        samples.current_columns(ids("s1"))
+    long = rollup.metadata_long(spark.createDataFrame([("s1", " wild duck", "None", 1), ("s2", "n/a", None, 2)], "sample string, host_name string, state string, reads_before int"), "sample")
+    assert rows(long) == [("s1", "Host Name", "wild duck")] and rollup.metadata_long(ids("s1"), "sample_id").count() == 0
+
+
+def test_files_of_a_sample_report(spark):
+    keys = ["sample", "segment"]
+    coverage = spark.createDataFrame([("s", x, 9, "PASS" if x != "MP" else "REVIEW") for x in ("HA", "NA", "PA", "MP", "NP", "NS")], "sample string, segment string, length int, overall_status string")
+    wide = spark.createDataFrame([("s", "HA", "SUCCESS", "SUCCESS", "MEDAKA", "SUCCESS"), ("s", "NA", "FAILED", "FAILED", "NONE", "FAILED"), ("s", "PA", "SUCCESS", "SUCCESS", "IRMA_FALLBACK", "SKIPPED_QC")], "sample string, segment string, inference_status string, consensus_status string, consensus_source string, variant_status string")
+    artifacts = spark.createDataFrame([("s", "HA", "consensus", "b", 1, 0), ("s", "HA", "consensus", "a", 0, 0), ("s", "HA", "vcf", "v", 1, 1), ("s", "NA", "vcf", "v", 1, 1), ("s", "NS", "vcf", "w", 1, 0)], "sample string, segment string, kind string, path string, bytes int, records int")
+    f = samples.files_table(coverage, wide, artifacts, keys)
+    got = {r.segment: (r.consensus, r.consensus_file, r.variants, r.variant_file) for r in f.collect()}
+    none = ("NOT RECORDED", "Not available")
+    assert got == {
+        "HA": ("SUCCESS · MEDAKA", "b", "1 variant", "v"), "NA": ("FAILED · NONE", "Not available", "FAILED", "Not generated"), "PA": ("SUCCESS · IRMA FALLBACK", "Not available", "Skipped: segment QC", "Not generated"),
+        "MP": (*none, "Skipped: segment QC", "Not generated"), "NP": (*none, "No VCF produced", "Not generated"), "NS": (*none, "0 variants", "w")}
+
+
 def test_metadata_report_and_sinks(spark, tmp_path):
     meta = spark.createDataFrame([("a", "2026-02-30", "95", "barcode1", 1), ("b", "", "", "x", 2), ("b", "2026-01-01", "5", "", 3), ("z", "", "", "", 4)], "sample_id string, day string, lat string, code string, line int")
     expected = spark.createDataFrame([("a",), ("b",), ("c",)], "sample_id string")
