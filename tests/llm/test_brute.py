@@ -114,6 +114,74 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(clashing(spark, rows).limit(0)).count() == 0
 
 
+def line_docs(seed, n=60):
+    """Documents over few lines, some long, with copies of whole documents and of parts, blank lines, null and repeated rows."""
+    r = random.Random(seed)
+    pool = [" ".join("%d.%d" % (k, i) for i in range(r.choice((1, 4, 26, 51)))) for k in range(14)] + ["", " \t"]
+    texts = ["\n".join(r.choice(pool) for _ in range(r.choice((1, 2, 5, 20, 90)))) for _ in range(n)]
+    texts += [texts[3], texts[3] + "\nend", "\n".join(texts[4:7]), pool[0], "\n".join([pool[1]] * 40), "\n".join([pool[1]] * 33), None, ""]
+    return [(i, t, "s") for i, t in enumerate(texts)] + [(3, texts[3], "s"), (None, texts[5], "s")]
+
+
+def test_runs_are_those_of_the_suffix_array(spark):
+    rows = line_docs(21)
+    full = {(i is None, i or 0): [x for x in (t or "").split("\n") if x.strip()] for i, t, _ in rows}
+    at, where = [], {}
+    for key in sorted(full):
+        for s in range(len(full[key])):
+            where[key, s] = len(at)
+            at.append((key, s))
+    depths = [1, 2, 3, 6, 12, 24, 48, 96]
+    groups = {}
+    for h in depths:
+        for key, s in at:
+            if s + h <= len(full[key]):
+                groups.setdefault((h, tuple(full[key][s : s + h])), []).append((key, s))
+    want = {}
+    for (h, lines), members in groups.items():
+        for m in members[1:]:
+            if h >= 3 or sum(len(x.split()) for x in lines) >= 50:
+                want[m] = max(want.get(m, (0,)), (h, members[0], len(members)))
+    key = lambda i: (i is None, i or 0)
+    got = {(key(r.doc_id), r.seq): (r.length, (key(r.source.doc_id), r.source.seq), r.copies) for r in line_dedup.later_copies(clashing(spark, rows)).collect()}
+    assert got == want and max(h for h, _, _ in got.values()) >= 24
+    gone = {m: {s for (k, at0), (h, _, _) in want.items() if k == m for s in range(at0, at0 + h)} for m in full}
+    for r in line_dedup.dedup_lines(clashing(spark, rows)).collect():
+        lines, seq, kept = ((rows[r.doc_id][1] if r.doc_id is not None else rows[-1][1]) or "").split("\n"), 0, []
+        for x in lines:
+            if x.strip():
+                if seq not in gone[key(r.doc_id)]:
+                    kept.append(x)
+                seq += 1
+            else:
+                kept.append(x)
+        assert r.text == "\n".join(kept) and r.n_removed == len(gone[key(r.doc_id)]) and r.n_runs == sum(s - 1 not in gone[key(r.doc_id)] for s in gone[key(r.doc_id)])
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 50])
+def test_ranks_over_any_partitions(size):
+    r = random.Random(size)
+    n = [(rank, r.randrange(2, 9)) for rank in (5, 5, 5, 9, 11, 11, 11, 11, 11, 40, 41, 41)]
+    want, seen = [], {}
+    for rank, k in n:
+        want.append(seen.get(rank, 0))
+        seen[rank] = seen.get(rank, 0) + k
+    got = []
+    parts = [n[i : i + size] for i in range(0, len(n), size)]
+    ends, befores = [], []
+    for p, rows in enumerate(parts):
+        own, inside = {}, []
+        for rank, k in rows:
+            inside.append((rank, own.get(rank, 0)))
+            own[rank] = own.get(rank, 0) + k
+        befores.append(inside)
+        ends.append((p, rows[0][0], rows[-1][0], own[rows[-1][0]]))
+    over = {(p, rank): x for p, rank, x in line_dedup.carried(ends[::-1])}
+    for p, inside in enumerate(befores):
+        got += [b + over.get((p, rank), 0) for rank, b in inside]
+    assert got == want
+
+
 def test_top_k(spark):
     keys = [float(i % 50) for i in range(400)] + [7.5] * 300 + [1e-300, -1e300]
     df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "doc_id long, key double").cache()
