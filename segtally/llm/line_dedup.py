@@ -135,7 +135,7 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, min_words: int = MIN_WO
     """doc_id, text without the deleted lines, n_lines, n_removed, n_runs of every row of docs."""
     gone = repeated(docs, min_run, min_words)
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    gone = gone.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    gone = gone.withColumnsRenamed({"doc_id": "_id", "th": "_th"}).hint("merge")  # alike at every size; it grows with docs
     found = d.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("doc_id", "text", "runs")
     lines = F.split("text", "\n", -1)
     found = found.withColumn("lines", F.when(F.col("runs").isNotNull(), lines))
