@@ -4,7 +4,8 @@ Lines come with the number they have in their file. A quoted value may go on ove
 lines: whether a line begins inside quotes depends on all lines before it, but each
 line by itself only closes or opens a quote, toggles it or leaves it as it is. These are
 composed over stretches of lines, so a file of any size is read by many tasks, and only
-lines with a quote are looked at. The headers are a small table of one row a file.
+lines with a quote are looked at. The headers are a small table of one row a file, dealt
+out to the stretches of its lines.
 """
 
 from __future__ import annotations
@@ -94,9 +95,19 @@ def fields(text: Column, sep: str = "\t") -> Column:
 
 
 def headers(recs: DataFrame, sep: str = "\t") -> DataFrame:
-    """path, head_no and names of the first record of each file that is not blank; found in a job of its own."""
-    first = recs.where(E.strip(F.col("text")) != "").groupBy("path").agg(F.min_by("text", "line_no").alias("text"), F.min("line_no").alias("head_no"))
-    return cut(first.select("path", "head_no", fields(F.regexp_replace("text", "^﻿", ""), sep).alias("names")))
+    """path, head_no and names of the first record of each file that is not blank, last_no of its last one; found in a job of its own."""
+    first = recs.where(E.strip(F.col("text")) != "").groupBy("path").agg(F.min_by("text", "line_no").alias("text"), F.min("line_no").alias("head_no"), F.max("line_no").alias("last_no"))
+    return cut(first.select("path", "head_no", "last_no", fields(F.regexp_replace("text", "^﻿", ""), sep).alias("names")))
+
+
+def under_heads(recs: DataFrame, heads: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """recs behind the header of their file, up to its last record that is not blank, with the columns of heads (path, head_no, last_no and more).
+
+    Each header is handed to every stretch of its file's lines, so that one file is the work of many tasks.
+    """
+    at = lambda c: F.floor(F.col(c) / stretch)
+    each = heads.withColumn("_at_", F.explode(F.sequence(at("head_no"), at("last_no"))))
+    return recs.withColumn("_at_", at("line_no")).join(each, ["path", "_at_"]).where("line_no > head_no").drop("_at_", "last_no")
 
 
 def column_names(heads: DataFrame) -> list[str]:
@@ -122,7 +133,7 @@ def table_rows(lines: DataFrame, columns: list[str] | None = None, sep: str = "\
     recs = records(lines, sep, stretch)
     heads = headers(recs, sep)
     columns = column_names(heads) if columns is None else columns
-    j = recs.join(heads, "path").where("line_no > head_no").withColumn("values", fields(F.col("text"), sep))
+    j = under_heads(recs, heads, stretch).withColumn("values", fields(F.col("text"), sep))
     full = F.exists(F.slice("values", F.lit(1), F.greatest(F.size("names"), F.lit(1))), lambda x: x != "")
     return j.where(full).select("path", "line_no", *(by_name(F.col("names"), F.col("values"), c).alias(c) for c in columns))
 
@@ -159,8 +170,8 @@ def depth_values(lines: DataFrame, sep: str = "\t", names: list[str] = DEPTH_NAM
     heads = headers(recs, sep)
     known = F.transform("names", E.normalize_name)
     at = F.coalesce(*(F.nullif(F.array_position(known, n), F.lit(0)) for n in names))
-    heads = heads.select("path", "head_no", (at - 1).cast("int").alias("at")).where("at is not null")
-    j = recs.join(heads, "path").where("line_no > head_no")
+    heads = heads.select("path", "head_no", "last_no", (at - 1).cast("int").alias("at")).where("at is not null")
+    j = under_heads(recs, heads)
     value = F.get(fields(F.col("text"), sep), F.col("at")).try_cast("double")
     return j.select("path", value.alias("depth")).where("depth is not null and not isnan(depth)")
 

@@ -194,3 +194,18 @@ def test_metadata_from_a_file_with_its_lines(spark, tmp_path):
     assert dict(rows(counts)) == {"expected": 2, "rows": 4, "matched": 1, "missing": 1, "warnings": 1, "errors": 4}
     with pytest.raises(ValueError, match="line"):
         samples.validate_metadata(meta.drop("line"), expected, ["day"])
+
+
+def test_one_file_is_read_by_many_tasks(spark):
+    lines = spark.range(4001).select(F.lit("f").alias("path"), F.col("id").alias("line_no"), F.when(F.col("id") == 0, "key\tDepth").otherwise(F.concat_ws("\t", F.col("id").cast("string"), F.lit("7"))).alias("line"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        t = tables.table_rows(lines, ["key"], stretch=64).groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum(F.col("key").cast("long")).alias("keys")).collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sum(r.n for r in t) == 4000 and sum(r["keys"] for r in t) == 4000 * 4001 // 2
+    assert len(t) > 1 and max(r.n for r in t) < 3000
+    assert tables.depth_values(lines).count() == 4000
