@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segtally.functions import expr as E
@@ -191,20 +191,22 @@ def metadata_issues(meta: DataFrame, samples: DataFrame, key: str = "sample_id",
         raise ValueError(f"the table has no column {line!r}; read it with its line numbers")
     name = E.clean(F.col(key).cast("string"))
     own = [c for c in (*dates, *(coordinates or {}), *([barcode] if barcode else [])) if c in meta.columns]
-    rows = ranking.flag_duplicates(meta.select(F.col(line).cast("long").alias("_line"), name.alias("_name"), *(E.clean(F.col(c).cast("string")).alias(c) for c in own)), ["_name"], [F.asc("_line")])
-    known = samples.select(E.clean(F.col(key).cast("string")).alias("_name")).distinct().withColumn("_known", F.lit(True))
-    rows = rows.join(known, "_name", "left")
+    found = meta.select(F.col(line).cast("long").alias("_line"), name.alias("_name"), *(E.clean(F.col(c).cast("string")).alias(c) for c in own), F.lit(False).alias("_known"))
+    known = samples.select(E.clean(F.col(key).cast("string")).alias("_name")).distinct().where("_name != ''").withColumn("_known", F.lit(True))
+    # a sample stands behind the rows of its name; rows without a name, of which there may be any number, are compared with nothing
+    by = ["_name", "_alone"]
+    rows = found.unionByName(known, allowMissingColumns=True).withColumn("_alone", F.when(F.col("_name") == "", F.col("_line")))
+    rows = ranking.flag_duplicates(rows, by, [F.asc("_known"), F.asc("_line")]).withColumn("_expected", F.max("_known").over(Window.partitionBy(*by)))
     issue = lambda level, when, message: F.when(when, F.struct(F.lit(level).alias("level"), message.alias("message")))
     said = lambda text, c: F.concat(F.lit(text), F.lit(": "), F.col(c))
-    checks = [issue("ERROR", F.col("duplicate"), said(f"{key} stands here again", "_name")), issue("WARNING", F.col("_known").isNull(), said(f"no sample has this {key}", "_name"))]
+    checks = [issue("ERROR", F.col("duplicate"), said(f"{key} stands here again", "_name")), issue("WARNING", ~F.col("_expected"), said(f"no sample has this {key}", "_name"))]
     checks += [issue("ERROR", ~E.valid_iso_date(F.col(c)), said(f"{c} is no date of the form YYYY-MM-DD", c)) for c in dates if c in own]
     checks += [issue("ERROR", ~E.valid_coordinate(F.col(c), lo, hi), said(f"{c} is no number from {lo:g} to {hi:g}", c)) for c, (lo, hi) in (coordinates or {}).items() if c in own]
     if barcode in own:
         checks.append(issue("WARNING", (F.col(barcode) != "") & ~F.lower(barcode).rlike(r"^barcode\d+$"), said(f"{barcode} is not of the form barcode01", barcode)))
-    all_checks = F.when(F.col("_name") == "", F.array(F.struct(F.lit("ERROR").alias("level"), F.lit(f"{key} is empty").alias("message")))).otherwise(F.array_compact(F.array(*checks)))
-    issues = rows.select(F.col("_line").alias("line"), F.inline(all_checks))
-    lost = known.join(rows.select("_name").distinct(), "_name", "left_anti").where("_name != ''")
-    return issues.unionByName(lost.select(F.lit(None).cast("long").alias("line"), F.lit("ERROR" if strict else "WARNING").alias("level"), said("sample without metadata", "_name").alias("message")))
+    lost = issue("ERROR" if strict else "WARNING", ~F.col("duplicate"), said("sample without metadata", "_name"))
+    all_checks = F.when(F.col("_known"), F.array(lost)).when(F.col("_name") == "", F.array(issue("ERROR", F.lit(True), F.lit(f"{key} is empty")))).otherwise(F.array(*checks))
+    return rows.select(F.when(~F.col("_known"), F.col("_line")).alias("line"), F.inline(F.array_compact(all_checks)))
 
 
 def validate_metadata(meta: DataFrame, samples: DataFrame, columns: list[str], key: str = "sample_id", line: str = "line", dates: tuple[str, ...] = (), coordinates: dict[str, tuple[float, float]] | None = None,

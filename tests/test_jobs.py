@@ -253,3 +253,21 @@ def test_reads(spark):
     d = spark.createDataFrame([("k", "c2", 1.0), ("k", "c1", 3.0)], "k string, c string, v double")
     assert depth.depth_stats(d, ["k"], "v", 2, "c").first().contigs == "c1,c2"
     assert depth.depth_stats(d, ["k"], "v", 2, "c", F.col("v")).first().contigs == "c2,c1"
+
+
+def test_rows_without_a_name_are_dealt_out(spark):
+    meta = spark.range(2000).select(F.when(F.col("id") % 2 == 0, " ").otherwise(F.col("id").cast("string")).alias("sample_id"), F.col("id").alias("line"))
+    expected = spark.createDataFrame([("1",), (" 1",), ("",), ("x",)], "sample_id string")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = samples.metadata_issues(meta, expected).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    blank = [r for r in got if r.message == "sample_id is empty"]
+    assert sorted(r.line for r in blank) == list(range(0, 2000, 2)) and {r.level for r in blank} == {"ERROR"}
+    assert max(sum(r.task == t for r in blank) for t in {r.task for r in blank}) < 600
+    assert sorted(r.line for r in got if r.message.startswith("no sample has")) == list(range(3, 2000, 2))
+    assert [(r.line, r.level) for r in got if r.message == "sample without metadata: x"] == [(None, "WARNING")] and len(got) == 2000
