@@ -51,9 +51,8 @@ def annotation_totals(models: DataFrame) -> DataFrame:
 
 
 def _after(text: Column, label: str) -> Column:
-    """What follows the label, whatever the case of its letters; null without it."""
-    at = F.instr(F.lower(text), label)
-    return F.when(at > 0, F.substring(text, at + len(label), F.length(text)))
+    """What follows the label, whatever the case of its letters; null without it. It holds the text once, so nested calls stay as long as their number."""
+    return F.get(F.split(text, rf"(?i)\Q{label}\E", 2), F.lit(1))
 
 
 def parse_genotype_report(text: Column) -> list[Column]:
@@ -63,32 +62,31 @@ def parse_genotype_report(text: Column) -> list[Column]:
     to a colon behind the arrow, its reason behind the colon or, if nothing is there, on
     the next line.
     """
-    plain = F.translate(F.coalesce(text, F.lit("")), "\t\r", "  ")
-    plain = F.array_join(F.transform(F.split(plain, "\n"), lambda x: F.array_join(F.filter(F.split(x, " "), lambda w: w != ""), " ")), "\n")
-    filled = lambda c: F.nullif(E.strip(c), F.lit(""))
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: E.strip(x) != "")
-    gate = F.when(F.get(lines, F.lit(0)).startswith("sample\tstatus"), filled(F.split_part(F.try_element_at(lines, F.lit(2)), F.lit("\t"), F.lit(2))))
-    screen = F.when(gate.isin("H5N1_NOT_DETECTED", "H5N1_INDETERMINATE"), F.replace(gate, F.lit("H5N1_"), F.lit("")))
+    text = F.coalesce(text, F.lit(""))
+    # each step holds the one before it once: an expression that held it twice would double with every step
+    found = lambda c, pattern: F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.lit(0))
+    filled = lambda c: found(c, r"(?sU)^\s*(\S(?:.*\S)?)\s*\z")
+    plain = F.regexp_replace(text, r"[ \t\r]+", " ")
+    plain = F.trim(F.replace(F.replace(plain, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
+    # the second value of the second line, lines without text not counted
+    gate = filled(found(text, r"(?U)^(?:\s*\n)?sample\tstatus[^\n]*\n(?:\s*\n)?[^\n\t]*\t([^\t\n]*)"))
+    screened = gate.isin("H5N1_NOT_DETECTED", "H5N1_INDETERMINATE")
     called = _after(plain, "consensus genotype --> ")
-    call, behind = F.substring_index(F.substring_index(called, "\n", 1), ":", 1), _after(called, ":")
-    call = F.when(F.instr(F.substring_index(called, "\n", 1), ":") > 0, filled(call))
-    status = F.when(filled(plain).isNull(), "Not available").when(screen.isNotNull(), "Not run").when(gate.isNotNull(), gate)
-    reason = F.when(screen.isNotNull(), F.concat(F.lit("not run: the screen was "), screen)).when(gate.isNotNull(), "gated by the screen")
-    said = F.when(call.isNotNull(), filled(F.substring_index(E.strip(behind), "\n", 1)))
+    call = filled(found(called, r"^([^:\n]*+):"))
+    status = F.when(~text.rlike(r"(?U)\S"), "Not available").when(screened, "Not run").otherwise(gate)
+    reason = F.when(screened, F.concat(F.lit("not run: the screen was "), F.replace(gate, F.lit("H5N1_"), F.lit("")))).when(gate.isNotNull(), "gated by the screen")
+    said = E.strip(found(called, r"(?U)^[^:\n]*?[^:\s][^:\n]*+:\s*(\S[^\n]*)"))
     flat = F.replace(plain, F.lit("\n"), F.lit(" "))
-    total = _after(flat, "match found of total")
-    only = F.when(total.isNotNull(), F.substring_index(F.substring_index(F.lower(flat), "match found of total", 1), "only ", -1))
-    number = lambda c: _number(F.substring_index(E.strip(c), " ", 1)).cast("int")
-    behind_list = _after(flat, "segments in input file:")
-    ends = F.instr(F.lower(behind_list), "at percent identity")
-    listed = F.when(ends > 0, F.substring(behind_list, F.lit(1), ends - 1))
+    number = lambda c, before="": found(c, rf"(?isU)^{before}\s*([0-9]+)(?: |\s*\z)").try_cast("long").cast("int")
+    only = F.regexp_extract(flat, r"(?is)^(.*?)match found of total", 1)
+    listed = F.regexp_extract(flat, r"(?is)segments in input file:(.*?)at percent identity", 1)
     pair = lambda x: F.struct(F.upper(E.strip(F.substring_index(x, ":", 1))).alias("key"), E.strip(_after(x, ":")).alias("value"))
     items = F.filter(F.transform(F.filter(F.split(F.coalesce(listed, F.lit("")), ","), lambda x: F.instr(x, ":") > 0), pair), lambda x: (x["key"] != "") & (x["value"] != ""))
     calls = F.aggregate(items, F.create_map().cast("map<string,string>"), lambda m, x: F.map_concat(F.map_filter(m, lambda k, _: k != x["key"]), F.map_from_entries(F.array(x))))
     return [
         F.coalesce(status, call, F.lit("Not available")).alias("status"), F.coalesce(reason, said).alias("reason"),
         F.substring_index(F.substring_index(E.strip(_after(plain, "pident_threshold:")), "\n", 1), " ", 1).try_cast("double").alias("threshold"),
-        number(only).alias("matched_segments"), number(total).alias("input_segments"), calls.alias("calls"),
+        number(only, "(?>(?:.*only )?)").alias("matched_segments"), number(_after(flat, "match found of total")).alias("input_segments"), calls.alias("calls"),
     ]
 
 

@@ -50,3 +50,15 @@ def test_columns(spark):
     row = spark.range(1).select(E.matches(s("Barcode12"), r"barcode\d+"), E.segment_of_path(s("/a/HA.blast.tsv"), ".blast.tsv"), E.segment_of_path(s("/a/NA.txt"), ".tsv"), E.min_nullsafe(s(None).cast("int"), s(3)),
                                 E.selection_reason(s(2), s(True), s(True), s(100.0)), E.selection_reason(s(1), s(False), s(True), s(None).cast("double"))).first()
     assert tuple(row) == (True, "HA", "NA", 3, "selected from 2 candidate(s); FASTA+BAM pair available; median depth=100", "selected from 1 candidate(s); BAM only; no parseable coverage table")
+
+
+def test_genotype_report_holds_its_text_a_few_times(spark):
+    odd = "\n \t\nsample\tstatus\tmore\n\n s1\t H5N1_NOT_DETECTED \tx\n"
+    late = "S CONSENSUS  genotype -->\tB3.13 :\n\n see below \nonly x only\t6 of\nMATCH found of total\r\n 8\nsegments in input file: , ha : b , :c, na:"
+    rows = spark.createDataFrame([(0, odd), (1, late), (2, late + " at percent identity"), (3, " \n\t")], "i int, a_report string")
+    columns = reports.parse_genotype_report(F.col("a_report"))
+    got = [tuple(r)[1:] for r in rows.select("i", *columns).orderBy("i").collect()]
+    rest = ("B3.13", "see below", None, 6, 8)
+    assert got == [("Not run", "not run: the screen was NOT_DETECTED", None, None, None, {}), (*rest, {}), (*rest, {"HA": "b"}), ("Not available", None, None, None, None, {})]
+    plan = rows.select("i", *columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("a_report#") < 40, plan.count("a_report#")
