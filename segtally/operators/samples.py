@@ -221,9 +221,13 @@ def validate_metadata(meta: DataFrame, samples: DataFrame, columns: list[str], k
     table = rollup.conform_metadata(rows.where("last").drop("duplicate", "last"), samples.select(key).distinct(), key, columns)
     lost = F.col("line").isNull()
     count = lambda level: (F.count_if((F.col("level") == level) & ~lost) + F.coalesce(F.max(F.when((F.col("level") == level) & lost, 1)), F.lit(0))).cast("long")
+    # the counters need the names of the table and how often each stands there, not its rows
+    sides = samples.select(key, F.lit(1).alias("_samples"), F.lit(0).alias("_rows")).unionByName(meta.select(key, F.lit(0).alias("_samples"), F.lit(1).alias("_rows")))
+    names = sides.groupBy(key).agg((F.max("_samples") > 0).alias("_sample"), F.sum("_rows").alias("_rows"))
+    there = (F.col("_rows") > 0) & (E.clean(F.col(key).cast("string")) != "")
     counts = (
-        table.agg(F.count("*").alias("expected"), F.count_if(F.col("metadata_status") == "COMPLETE").alias("matched"), F.count_if(F.col("metadata_status") == "MISSING").alias("missing"))
-        .crossJoin(meta.agg(F.count("*").alias("rows"))).crossJoin(issues.agg(count("WARNING").alias("warnings"), count("ERROR").alias("errors")))  # one row each
+        names.agg(F.count_if("_sample").alias("expected"), F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("rows"), F.count_if(F.col("_sample") & there).alias("matched"), F.count_if(F.col("_sample") & ~there).alias("missing"))
+        .crossJoin(issues.agg(count("WARNING").alias("warnings"), count("ERROR").alias("errors")))  # one row each
         .unpivot([], ["expected", "rows", "matched", "missing", "warnings", "errors"], "name", "value")
     )
     if path:

@@ -95,8 +95,13 @@ def fields(text: Column, sep: str = "\t") -> Column:
 
 
 def headers(recs: DataFrame, sep: str = "\t") -> DataFrame:
-    """path, head_no and names of the first record of each file that is not blank, last_no of its last one; found in a job of its own."""
-    first = recs.where(E.strip(F.col("text")) != "").groupBy("path").agg(F.min_by("text", "line_no").alias("text"), F.min("line_no").alias("head_no"), F.max("line_no").alias("last_no"))
+    """path, head_no and names of the first record of each file that is not blank, last_no of its last one; found in jobs of their own.
+
+    The texts are looked up when their numbers are known: an aggregate that holds texts sorts all records of a task.
+    """
+    ends = cut(recs.where(E.strip(F.col("text")) != "").groupBy("path").agg(F.min("line_no").alias("head_no"), F.max("line_no").alias("last_no")))
+    lowest = ends.agg(F.max("head_no")).first()[0]
+    first = recs.where(F.col("line_no") <= F.lit(lowest).cast("long")).withColumnRenamed("line_no", "head_no").join(ends, ["path", "head_no"])
     return cut(first.select("path", "head_no", "last_no", fields(F.regexp_replace("text", "^﻿", ""), sep).alias("names")))
 
 

@@ -209,3 +209,29 @@ def test_one_file_is_read_by_many_tasks(spark):
     assert sum(r.n for r in t) == 4000 and sum(r["keys"] for r in t) == 4000 * 4001 // 2
     assert len(t) > 1 and max(r.n for r in t) < 3000
     assert tables.depth_values(lines).count() == 4000
+
+
+def test_headers_sort_no_records(spark, monkeypatch):
+    text = {"a": ["", " \t", "\ufeffkey\tx", "1\t2", "", "3\t4", ""], "b": ["x\tkey", "5\t6"], "c": ["", " "], "d": ["", "", "", "key"]}
+    lines = spark.createDataFrame([(p, n, x) for p, some in text.items() for n, x in enumerate(some)], "path string, line_no long, line string")
+    plans, old = [], tables.cut
+    monkeypatch.setattr(tables, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or old(df))
+    heads = tables.headers(tables.records(lines))
+    assert rows(heads, "path", "head_no", "last_no") == [("a", 2, 5), ("b", 0, 1), ("d", 3, 3)]
+    assert {r.path: r.names for r in heads.collect()} == {"a": ["key", "x"], "b": ["x", "key"], "d": ["key"]}
+    assert rows(tables.table_rows(lines, ["key", "x"])) == [("a", 3, "1", "2"), ("a", 5, "3", "4"), ("b", 1, "6", "5")]
+    assert rows(tables.headers(lines.where("path = 'c'").withColumnRenamed("line", "text"))) == []
+    assert len(plans) > 2 and not any("SortAggregate" in p for p in plans)
+
+
+def test_counters_read_the_table_twice(spark):
+    # once for the issues, once for the names
+    meta = spark.range(1, 2001).select(F.when(F.col("id") % 10 == 0, " ").when(F.col("id") % 10 == 1, None).otherwise(F.concat(F.lit("s"), (F.col("id") % 700).cast("string"))).alias("sample_id"), F.col("id").alias("line"))
+    expected = spark.createDataFrame([("s2",), ("s2",), ("s3",), (" s4",), ("",), (" ",), (None,), ("x",)], "sample_id string")
+    counts = samples.validate_metadata(meta, expected, [])[2]
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Range (1, 2001") == 2
+    # names of the samples are taken as they are: of seven, s2 and s3 stand in the table
+    got = dict(rows(counts))
+    assert {k: got[k] for k in ("expected", "rows", "matched", "missing")} == {"expected": 7, "rows": 2000, "matched": 2, "missing": 5}
+    none = dict(rows(samples.validate_metadata(meta.limit(0), expected.limit(0), [])[2]))
+    assert none == dict.fromkeys(("expected", "rows", "matched", "missing", "warnings", "errors"), 0)
