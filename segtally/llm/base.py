@@ -16,11 +16,14 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step takes; a longer document is a step of its own.
 BLOCK_BYTES = 2 << 20
+#: Bytes of text that are stored, and later met by what the buckets say of them, as one key.
+UNIT_BYTES = 8 << 20
 #: White space of the text contracts, as a Java and RE2 character class body.
 WS = r"\x20\x09-\x0D"
 
@@ -160,6 +163,29 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
             at = to
 
 
+def in_units(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, int, pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """blocks() with their units and numbers. A unit is a run of blocks of a task, at most ``UNIT_BYTES`` of text or one block,
+    so that its size follows neither the input nor the partitions; units and numbers rise in the order of the rows."""
+    unit, held = TaskContext.get().partitionId() << 24, 0
+    for k, (batch, raw, offsets) in enumerate(blocks(batches, limit)):
+        if held and held + len(raw) > UNIT_BYTES:
+            unit, held = unit + 1, 0
+        held += len(raw)
+        yield unit, k, batch, raw, offsets
+
+
+def n_units(spark: SparkSession, total: int) -> int:
+    """The buckets by unit of a table of ``total`` bytes of text."""
+    return int(min(max(1, total // UNIT_BYTES), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))))
+
+
+def with_answers(stored: DataFrame, said: DataFrame, n: int, *fields: str) -> DataFrame:
+    """The blocks of a table bucketed by unit into n, with what is said of each: said (unit, block, fields) is gathered by unit and comes to the blocks, which stay where they are."""
+    told = said.repartition(n, "unit").groupBy("unit").agg(F.collect_list(F.struct("block", *fields)).alias("answers"))
+    mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
+    return stored.join(told.hint("merge"), "unit", "left").select(*stored.columns, mine.alias("answers"))
+
+
 def _spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(inside)
     edge = np.zeros(n + 1, bool)

@@ -18,7 +18,7 @@ Cores and spans are hashed by 64 bits each, single windows by both their halves,
 two texts are taken for equal by 128 bits; no range is over 150 bytes long, too short
 for sums of powers to cancel. Blocks keep only the first of equal entries, so a passage that
 a third of all documents hold is one entry of each block. The blocks are written
-once, bucketed by the task that made them, and the answers come to them without
+once, bucketed by units of a few megabytes, and the answers of a unit come to it without
 moving the text again.
 
 Defined cases: null is ""; texts under 100 bytes keep all; equal ids come in the
@@ -38,11 +38,10 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_rows, blocks, by_bucket, cut, free_name, mix, powers
+from .base import arrow_rows, by_bucket, cut, free_name, in_units, mix, n_units, powers, with_answers
 
 LENGTH, CORE = 100, 50
 BLOCK = 1 << 19
@@ -106,12 +105,12 @@ def firsts(ids: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _send(rows: list, task: int, block: int, n_buckets: int, ids: np.ndarray, *keys: np.ndarray) -> None:
+def _send(rows: list, unit: int, block: int, n_buckets: int, ids: np.ndarray, *keys: np.ndarray) -> None:
     """Adds packed entries, in their order, to the rows for each bucket."""
     order, found, cuts = by_bucket(keys[0], n_buckets)
     for k, i, j in zip(found, cuts[:-1], cuts[1:]):
         sel = order[i:j]
-        rows.append((task, block, int(k), ids[sel].tobytes(), *(x[sel].tobytes() for x in keys)))
+        rows.append((unit, block, int(k), ids[sel].tobytes(), *(x[sel].tobytes() for x in keys)))
 
 
 def _told(answers: list, kind: int, n_buckets: int, keys: np.ndarray) -> np.ndarray:
@@ -134,7 +133,7 @@ def _merge(kind: int):
     """0: anchors, whose spans may differ (2) or stand earlier (1); 1: single windows, by both halves, which stand earlier or not."""
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("task", "ascending"), ("block", "ascending")])
+        t = t.sort_by([("unit", "ascending"), ("block", "ascending")])
         get = lambda c, k: np.concatenate([np.frombuffer(x.as_py(), k) for x in t[c]])
         ids, a, b = get("ids", np.int64), get("a", np.uint64), get("b", np.uint64)
         said = np.zeros(len(a), np.uint8)
@@ -152,12 +151,12 @@ def _merge(kind: int):
         parts = np.split(said, ends[:-1])
         keep = [i for i, x in enumerate(parts) if x.any()]
         t = t.take(pa.array(keep, pa.int64()))
-        return pa.table({"task": t["task"], "block": t["block"], "kind": pa.array([kind] * len(keep), pa.int32()), "bucket": t["bucket"], "said": pa.array([parts[i].tobytes() for i in keep], pa.binary())})
+        return pa.table({"unit": t["unit"], "block": t["block"], "kind": pa.array([kind] * len(keep), pa.int32()), "bucket": t["bucket"], "said": pa.array([parts[i].tobytes() for i in keep], pa.binary())})
 
     return run
 
 
-SAID = "task long, block long, kind int, bucket long, said binary"
+SAID = "unit long, block long, kind int, bucket long, said binary"
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -168,14 +167,12 @@ def spans(docs: DataFrame) -> DataFrame:
     n_buckets = int(max(16, total // BUCKET_BYTES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, k = TaskContext.get().partitionId(), 0
-        for batch, raw, offsets in blocks(batches, BLOCK):
+        for unit, k, batch, raw, offsets in in_units(batches, BLOCK):
             ids = batch.column("doc_id")
-            yield _batch([(task, k, pa.compute.fill_null(ids, LAST).to_numpy(zero_copy_only=False).tobytes(), offsets.astype(np.int64).tobytes(), raw.tobytes())], ["task", "block", "ids", "offsets", "raw"], [pa.int64()] * 2 + [pa.binary()] * 3)
-            k += 1
+            yield _batch([(unit, k, pa.compute.fill_null(ids, LAST).to_numpy(zero_copy_only=False).tobytes(), offsets.astype(np.int64).tobytes(), raw.tobytes())], ["unit", "block", "ids", "offsets", "raw"], [pa.int64()] * 2 + [pa.binary()] * 3)
 
     name = f"segtally_blocks_{uuid.uuid4().hex}"
-    tasks = max(1, d.rdd.getNumPartitions())
+    n = n_units(spark, total)
 
     @contextmanager
     def stored_blocks():
@@ -186,7 +183,7 @@ def spans(docs: DataFrame) -> DataFrame:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     try:
-        d.mapInArrow(pack, "task long, block long, ids binary, offsets binary, raw binary").write.bucketBy(tasks, "task").format("parquet").saveAsTable(name)
+        d.mapInArrow(pack, "unit long, block long, ids binary, offsets binary, raw binary").write.bucketBy(n, "unit").format("parquet").saveAsTable(name)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         raise
@@ -196,16 +193,16 @@ def spans(docs: DataFrame) -> DataFrame:
         for r in range(batch.num_rows):
             x = {c: batch.column(c)[r] for c in batch.schema.names}
             raw, offsets, ids = (np.frombuffer(x[c].as_py(), t) for c, t in (("raw", np.uint8), ("offsets", np.int64), ("ids", np.int64)))
-            yield x["task"].as_py(), x["block"].as_py(), Block(raw, offsets, ids), x["answers"].as_py() if "answers" in x else []
+            yield x["unit"].as_py(), x["block"].as_py(), Block(raw, offsets, ids), x["answers"].as_py() if "answers" in x else []
         pa.default_memory_pool().release_unused()
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for task, block, b, _ in opened(batch):
+            for unit, block, b, _ in opened(batch):
                 rows: list = []
                 first = firsts(b.ids[b.doc], b.span, b.core) if len(b.low) else np.zeros(0, bool)
-                _send(rows, task, block, n_buckets, b.ids[b.doc][first], b.core[first], b.span[first])
-                yield _batch(rows, ["task", "block", "bucket", "ids", "a", "b"], [pa.int64()] * 3 + [pa.binary()] * 3)
+                _send(rows, unit, block, n_buckets, b.ids[b.doc][first], b.core[first], b.span[first])
+                yield _batch(rows, ["unit", "block", "bucket", "ids", "a", "b"], [pa.int64()] * 3 + [pa.binary()] * 3)
 
     def states(b: Block, answers: list) -> np.ndarray:
         first = firsts(b.ids[b.doc], b.span, b.core) if len(b.low) else np.zeros(0, bool)
@@ -215,14 +212,14 @@ def spans(docs: DataFrame) -> DataFrame:
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for task, block, b, answers in opened(batch):
+            for unit, block, b, answers in opened(batch):
                 start, doc = b.windows(np.flatnonzero(states(b, answers) == 2))
                 h, h2 = b.halves(start)
                 rows: list = []
                 if len(h):
                     first = firsts(b.ids[doc], h2, h)
-                    _send(rows, task, block, n_buckets, b.ids[doc][first], h[first], h2[first])
-                yield _batch(rows, ["task", "block", "bucket", "ids", "a", "b"], [pa.int64()] * 3 + [pa.binary()] * 3)
+                    _send(rows, unit, block, n_buckets, b.ids[doc][first], h[first], h2[first])
+                yield _batch(rows, ["unit", "block", "bucket", "ids", "a", "b"], [pa.int64()] * 3 + [pa.binary()] * 3)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,17 +244,15 @@ def spans(docs: DataFrame) -> DataFrame:
                     rows.append((None if b.ids[i] == LAST else int(b.ids[i]), int(q - p), int(g.sum()), len(ends) // 2, hashlib.sha256(kept).hexdigest(), ends.astype(np.int64).tobytes()))
                 yield _batch(rows, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"], [pa.int64()] * 4 + [pa.string(), pa.binary()])
 
-    def with_answers(said: DataFrame) -> DataFrame:
-        told = said.repartition(tasks, "task").groupBy("task").agg(F.collect_list(F.struct("block", "kind", "bucket", "said")).alias("answers"))
-        mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
-        return stored.join(told, "task", "left").select("task", "block", "ids", "offsets", "raw", mine.alias("answers"))
+    def met(said: DataFrame) -> DataFrame:
+        return with_answers(stored, said, n, "kind", "bucket", "said")
 
     with stored_blocks(), arrow_rows(spark, 8):
-        first = stored.mapInArrow(anchors, "task long, block long, bucket long, ids binary, a binary, b binary")
+        first = stored.mapInArrow(anchors, "unit long, block long, bucket long, ids binary, a binary, b binary")
         said = cut(first.groupBy("bucket").applyInArrow(_merge(0), SAID))
-        second = with_answers(said).mapInArrow(edges, "task long, block long, bucket long, ids binary, a binary, b binary")
+        second = met(said).mapInArrow(edges, "unit long, block long, bucket long, ids binary, a binary, b binary")
         said = cut(said.union(second.groupBy("bucket").applyInArrow(_merge(1), SAID)))
-        out = cut(with_answers(said).mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"))
+        out = cut(met(said).mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"))
     return out
 
 
