@@ -10,8 +10,8 @@ is not broadcast: the probes come to the segments.
 Texts are stored in blocks. Each block sends its distinct n-grams once, by bucket, with
 their counts in its training texts; a bucket sums the counts of all blocks, builds its
 segment, probes it for every list that was sent and answers each block, for words also
-with the exact counts that the base score needs. Blocks are stored once, bucketed by the task
-that made them, and the answers come to them, where they are scored. An n-gram is as smooth as its context is rare: each order is mixed with
+with the exact counts that the base score needs. Blocks are stored once, bucketed by units
+of a few megabytes, and the answers of a unit come to it, where its blocks are scored. An n-gram is as smooth as its context is rare: each order is mixed with
 the one below in proportion to the count of its context (a Dirichlet prior), so that
 the probabilities of all words after a context sum to one but for quantisation.
 
@@ -36,11 +36,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.ipc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_rows, blocks, by_bucket, cut, flat, hashes, mix, words
+from .base import arrow_rows, by_bucket, cut, flat, hashes, in_units, mix, n_units, with_answers, words
 
 END = np.uint64(0xE4D)
 ADD = 0.1
@@ -155,16 +154,14 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int =
     n_buckets = max(8, total // bucket_bytes)
 
     def bodies_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number = TaskContext.get().partitionId(), 0
-        for batch, _, _ in blocks(batches, block_bytes):
+        for unit, number, batch, _, _ in in_units(batches, block_bytes):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_batch(batch)
-            yield _packed([(task, number, sink.getvalue().to_pybytes())], ["task", "block", "body"], [pa.int64(), pa.int64(), pa.binary()])
-            number += 1
+            yield _packed([(unit, number, sink.getvalue().to_pybytes())], ["unit", "block", "body"], [pa.int64(), pa.int64(), pa.binary()])
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for task, number, body in ((x, y, z) for b in batches for x, y, z in zip(b["task"], b["block"], b["body"])):
+        for unit, number, body in ((x, y, z) for b in batches for x, y, z in zip(b["unit"], b["block"], b["body"])):
             table = pa.ipc.open_stream(body.as_py()).read_all()
             row, h, pair, triple = grams(*flat(table["text"]))
             train = ~np.array(table["held_out"].to_pylist(), bool)[row]
@@ -176,10 +173,10 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int =
                 name = u if k == 0 else short(u)
                 for b, i, j in zip(found, cuts[:-1], cuts[1:]):
                     made.setdefault(int(b), [b""] * 6)[2 * k : 2 * k + 2] = planes(name[i:j]), planes(c[i:j])
-            rows = [(task.as_py(), number.as_py(), b, *x) for b, x in made.items()]
+            rows = [(unit.as_py(), number.as_py(), b, *x) for b, x in made.items()]
             pa.default_memory_pool().release_unused()
             for i in range(0, len(rows), 64):
-                yield _packed(rows[i : i + 64], ["task", "block", "bucket", *SENT], [pa.int64()] * 3 + [pa.binary()] * 6)
+                yield _packed(rows[i : i + 64], ["unit", "block", "bucket", *SENT], [pa.int64()] * 3 + [pa.binary()] * 6)
 
     def answer(t: pa.Table) -> pa.Table:
         known, keys, levels = [], [], []
@@ -200,21 +197,19 @@ def score(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int =
         del keys, levels, segment
         first = [1] + [0] * (t.num_rows - 1)  # the bucket's totals stand in one of its rows
         totals = [int((n > 0).sum()), int(n.sum())]
-        return pa.table({"task": t["task"], "block": t["block"], "bucket": t["bucket"], "wc": pa.array(exact, pa.binary()), **{c: pa.array(x, pa.binary()) for c, x in zip(("wl", "pl", "tl"), told)}, "words": [totals[0] * f for f in first], "tokens": [totals[1] * f for f in first]})
+        return pa.table({"unit": t["unit"], "block": t["block"], "bucket": t["bucket"], "wc": pa.array(exact, pa.binary()), **{c: pa.array(x, pa.binary()) for c, x in zip(("wl", "pl", "tl"), told)}, "words": [totals[0] * f for f in first], "tokens": [totals[1] * f for f in first]})
 
     name = f"segtally_texts_{uuid.uuid4().hex}"
-    tasks = max(1, d.rdd.getNumPartitions())
+    units = n_units(spark, total)
     try:
-        d.mapInArrow(bodies_of, "task long, block long, body binary").write.bucketBy(tasks, "task").format("parquet").saveAsTable(name)
+        d.mapInArrow(bodies_of, "unit long, block long, body binary").write.bucketBy(units, "unit").format("parquet").saveAsTable(name)
         stored = spark.table(name)
         with arrow_rows(spark, 2):
-            sent = stored.mapInArrow(lists, "task long, block long, bucket long, " + ", ".join(f"{c} binary" for c in SENT))
-            answers = cut(sent.groupBy("bucket").applyInArrow(answer, "task long, block long, bucket long, wc binary, wl binary, pl binary, tl binary, words long, tokens long"))
+            sent = stored.mapInArrow(lists, "unit long, block long, bucket long, " + ", ".join(f"{c} binary" for c in SENT))
+            answers = cut(sent.groupBy("bucket").applyInArrow(answer, "unit long, block long, bucket long, wc binary, wl binary, pl binary, tl binary, words long, tokens long"))
         v, n = (x or 0 for x in answers.agg(F.sum("words"), F.sum("tokens")).first())
-        told = answers.repartition(tasks, "task").groupBy("task").agg(F.collect_list(F.struct("block", "bucket", "wc", "wl", "pl", "tl")).alias("answers"))  # of the blocks of one task
-        mine = F.filter("answers", lambda a: a["block"] == F.col("block"))
         with arrow_rows(spark, 1):
-            return _met(stored.join(told, "task", "left").select("body", mine.alias("answers")), kind, n_buckets, v, n)
+            return _met(with_answers(stored, answers, units, "bucket", "wc", "wl", "pl", "tl").select("body", "answers"), kind, n_buckets, v, n)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -5,10 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from segtally.llm import suffix_dedup
+from segtally.llm import lm_score, suffix_dedup
 
 
-@pytest.mark.parametrize("name", ["suffix"])
+@pytest.mark.parametrize("name", ["suffix", "lm"])
 def test_answers_come_by_units(spark, monkeypatch, name):
     """Twenty texts of a megabyte, half of them copies, in one partition."""
     r = random.Random(5)
@@ -21,7 +21,7 @@ def test_answers_come_by_units(spark, monkeypatch, name):
         return join(left, right, *rest)
 
     monkeypatch.setattr(type(docs), "join", seen)
-    got = {"suffix": suffix_dedup.spans}[name](docs).collect()
+    got = {"suffix": suffix_dedup.spans, "lm": lm_score.score}[name](docs).collect()
     assert sorted(x.doc_id for x in got) == list(range(20))
     assert told and all(0 < most < 0.7 * whole for most, whole in told)
     if name == "suffix":
